@@ -82,22 +82,31 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     is bounded by ``n_buckets``. Returns the number of touched buckets.
 
     Replaying the same batch gives the same table (delete-then-insert), so a
-    micro-batch that is retried after a failed commit is safe.
+    micro-batch that is retried after a failed commit is safe. Choose
+    ``n_buckets`` so one bucket is a few hundred MB: a bucket is rewritten
+    whole by one task when it is touched.
     """
-    staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
-    if not _exists(spark, path):
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(BUCKET_COL).parquet(path))
-        return n_buckets
-    touched = [r[0] for r in staged.select(BUCKET_COL).distinct().collect()]
-    if not touched:
-        return 0
-    current = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
-    cols = [c for c in current.columns if c != BUCKET_COL]
-    merged = upsert(current.select(*cols, BUCKET_COL), staged.select(*cols, BUCKET_COL), keys, guard_col)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET_COL).parquet(path))
-    return len(touched)
+    staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets)).persist()
+    try:
+        if not _exists(spark, path):
+            _write_buckets(staged, path)
+            return n_buckets
+        touched = [r[0] for r in staged.select(BUCKET_COL).distinct().collect()]
+        if not touched:
+            return 0
+        current = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
+        cols = [c for c in current.columns if c != BUCKET_COL]
+        merged = upsert(current.select(*cols, BUCKET_COL), staged.select(*cols, BUCKET_COL), keys, guard_col)
+        _write_buckets(merged, path)
+        return len(touched)
+    finally:
+        staged.unpersist()
+
+
+def _write_buckets(df: DataFrame, path: str) -> None:
+    # Rows of one bucket meet in one task: one file per bucket, not one per task and bucket.
+    (df.repartition(BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(BUCKET_COL).parquet(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -16,9 +16,10 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate of a plan, or None when it cannot tell."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # Spark Connect or an estimate that is not available
         return None
+    return int(size) if isinstance(size, int) else int(str(size.toString()))
 
 
 def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
