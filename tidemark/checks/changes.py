@@ -130,8 +130,9 @@ def _upsert_batch(spark, sf):
     o = table(spark, sf, "orders")
     cut = F.lit(ORDER_CUT).cast("timestamp_ntz")
     new_rows = o.filter(F.col("o_orderdate") >= cut)
-    changed = upsert.update_by_key(o.filter(F.col("o_orderdate") < cut), _patch(spark, sf), ["o_orderkey"])
-    changed = changed.join(_patch(spark, sf).select("o_orderkey"), "o_orderkey", "left_semi")
+    # The changed rows: earlier orders carrying their patched values.
+    changed = (o.filter(F.col("o_orderdate") < cut).drop("o_orderstatus", "o_totalprice")
+                .join(_patch(spark, sf), "o_orderkey"))
     return new_rows.unionByName(changed)
 
 
