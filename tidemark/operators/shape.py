@@ -64,8 +64,17 @@ def count_rows(df: DataFrame, alias: str = "n") -> DataFrame:
 
 
 def sort_by(df: DataFrame, *cols, ascending: bool = True) -> DataFrame:
-    """Global sort (T1): range partitioning by sampled bounds, no single-task sort."""
-    return df.orderBy(*[F.col(c).asc() if ascending else F.col(c).desc() for c in cols])
+    """Global sort (T1): range partitioning by sampled bounds, no single-task sort.
+
+    Rows equal on ``cols`` are ordered by a hash of the whole row, so the
+    range bounds can split a value shared by many rows over several tasks.
+    """
+    order = [F.col(c).asc() if ascending else F.col(c).desc() for c in cols]
+    return df.orderBy(*order, row_hash(df))
+
+
+def row_hash(df: DataFrame):
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def first_n(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

@@ -88,7 +88,8 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
     spark = df.sparkSession
     name = norm_name(name)
     if not spark.catalog.tableExists(name):
-        w = df.write.mode("append").format("parquet").option("path", location)
+        out = df.hint("rebalance", *partition_by) if partition_by else df
+        w = out.write.mode("append").format("parquet").option("path", location)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.saveAsTable(name)
@@ -103,6 +104,9 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
     target = spark.table(name).schema
     aligned = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
                           else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if parts:
+        aligned = aligned.hint("rebalance", *parts)
     aligned.write.mode("append").insertInto(name)
 
 

@@ -104,8 +104,10 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
 
 
 def _write_buckets(df: DataFrame, path: str) -> None:
-    # Rows of one bucket meet in one task: one file per bucket, not one per task and bucket.
-    (df.repartition(BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Cluster rows by bucket so a bucket becomes few files, not one per task and
+    # bucket. ``rebalance`` (not ``repartition``) lets AQE split a bucket that
+    # holds a large share of the rows over several tasks and merge small ones.
+    (df.hint("rebalance", BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(BUCKET_COL).parquet(path))
 
 

@@ -57,5 +57,10 @@ def purge(spark: SparkSession, path: str, table: str | None, store: BookmarkStor
 
 
 def history(df: DataFrame, stamp_col: str, keys: list[str]) -> DataFrame:
-    """Every load of each key, in load order (I2): a sort by key and stamp."""
-    return df.orderBy(*[F.col(k) for k in keys], F.col(stamp_col))
+    """Every load of each key, in load order (I2): a sort by key and stamp.
+
+    A row hash ends the sort key, so one key with very many loads can still
+    be split across range partitions.
+    """
+    from tidemark.operators.shape import row_hash
+    return df.orderBy(*[F.col(k) for k in keys], F.col(stamp_col), row_hash(df))

@@ -51,5 +51,11 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 
 
 def anti_join(left: DataFrame, right: DataFrame, on, limit: int | None = None) -> DataFrame:
-    """Rows of ``left`` with no match in ``right`` (E5), as a direct ``left_anti``."""
-    return join_dimension(left, right, on, "left_anti", limit)
+    """Rows of ``left`` with no match in ``right`` (E5), as a direct ``left_anti``.
+
+    Only the key columns of ``right`` are kept and deduplicated first: the
+    partial aggregate turns a hot key into one row per task before any
+    shuffle, and a small key set can then be broadcast.
+    """
+    cols = [on] if isinstance(on, str) else list(on)
+    return join_dimension(left, right.select(*cols).distinct(), cols, "left_anti", limit)

@@ -9,11 +9,13 @@ def append_parquet(df: DataFrame, path: str, partition_by: list[str] | None = No
                    compression: str = "snappy") -> None:
     """Append Parquet, partitioned when ``partition_by`` is given (B1, B2).
 
-    Append never removes data (S20). The input partitioning is kept: a load
-    stamp has one value per run, and clustering by it would funnel a whole
-    run into one task.
+    Append never removes data (S20). Rows are rebalanced by the partition
+    columns so each folder gets few, reasonably sized files; AQE splits a
+    value that holds many rows (a load stamp has one value per run) over
+    several tasks instead of funnelling it into one.
     """
-    writer = df.write.mode("append").option("compression", compression)
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = out.write.mode("append").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
