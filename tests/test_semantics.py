@@ -226,3 +226,21 @@ def test_broadcast_only_behind_size_check(spark, sf):
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
     plain = maybe_broadcast(nation, limit=1)
     assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+
+
+# --- plans: pushdown and pruning --------------------------------------------------------------
+
+def test_bookmark_predicate_reaches_the_scan(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    q = after_bookmark(ev, ["event_id", "ts"], {"event_id": "10", "ts": "2024-01-02 00:00:00.000000"})
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(GreaterThan(event_id,10)" in plan
+
+
+def test_enrichment_prunes_columns(spark, sf):
+    from tidemark.plans.enrich import enrich_changes
+    from tidemark.sources.cdc import events_as_changes
+    read = lambda t: spark.read.parquet(f"{sf}/{t}.parquet")
+    df = enrich_changes(events_as_changes(read("events")), read("customer"), read("nation"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "props" not in plan and "c_acctbal" not in plan

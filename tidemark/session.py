@@ -55,7 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
-    # Unset: local mode or a test. A cluster launcher always names a shared folder.
+    # Unset: allowed only in local mode (tests). On a cluster a machine-local
+    # folder would be invisible to other executors and lost with the host.
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                           "(e.g. on the cluster file system) for scratch tables and checkpoints")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
