@@ -244,3 +244,19 @@ def test_enrichment_prunes_columns(spark, sf):
     df = enrich_changes(events_as_changes(read("events")), read("customer"), read("nation"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan and "c_acctbal" not in plan
+
+
+def test_top_k_many_questions_in_blocks(spark, sf):
+    emb = spark.read.parquet(f"{sf}/embeddings.parquet")
+    got = retrieval.top_k(emb.repartition(3), "vec_id", "embedding", emb, "vec_id", "embedding", k=3)
+    pdf = emb.toPandas()
+    m = np.vstack(pdf["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)))
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    ids = pdf["vec_id"].to_numpy()
+    s = m @ m.T
+    want = []
+    for j, q in enumerate(ids):
+        order = sorted(range(len(ids)), key=lambda i: (-round(s[i, j], 6), ids[i]))[:3]
+        want += [(int(q), int(ids[i]), r + 1) for r, i in enumerate(order)]
+    assert len(ids) > retrieval.QUESTION_BLOCK
+    assert rows(got, "query_id", "vec_id", "rank") == sorted(want)

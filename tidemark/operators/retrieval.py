@@ -2,7 +2,7 @@
 
 The question set is small and its size is checked before it is broadcast
 (as a numpy matrix). Each corpus partition scores its rows against all
-questions in one matrix product inside ``mapInPandas`` and emits only its
+questions with matrix products inside ``mapInPandas`` and emits only its
 local candidates, so what crosses the shuffle is at most
 ``partitions x questions x k`` rows, whatever the corpus size. The exact
 global order (score rounded to 6 places, then id) is decided by a
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_QUESTIONS = 4096          # broadcast bound: questions x dims x 8 bytes
+QUESTION_BLOCK = 256          # questions scored together against one Arrow batch
 SCORE_DIGITS = 6
 _MARGIN = 10.0 ** -SCORE_DIGITS   # keep near-ties so rounding cannot change the winners
 
@@ -63,20 +64,16 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
         for pdf in batches:
             if pdf.empty:
                 continue
-            m = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["v"].to_numpy()])
-            sims = _normalise(m) @ qn.T                      # rows x questions
+            m = _normalise(np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["v"].to_numpy()]))
             vid = pdf["id"].to_numpy(dtype=np.int64)
-            out_q, out_v, out_s = [], [], []
             take = min(k, len(vid))
-            for j in range(sims.shape[1]):
-                col = sims[:, j]
-                kth = np.partition(col, len(col) - take)[len(col) - take]
-                keep = np.nonzero(col >= kth - _MARGIN)[0]
-                out_q.append(np.full(len(keep), ids[j], dtype=np.int64))
-                out_v.append(vid[keep])
-                out_s.append(col[keep])
-            yield pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
-                                "raw_score": np.concatenate(out_s)})
+            # Questions in blocks: memory per block is rows x QUESTION_BLOCK doubles.
+            for lo in range(0, len(ids), QUESTION_BLOCK):
+                sims = m @ qn[lo:lo + QUESTION_BLOCK].T            # rows x block
+                kth = np.partition(sims, len(vid) - take, axis=0)[len(vid) - take]
+                rows, cols = np.nonzero(sims >= kth - _MARGIN)      # local top-k and near ties
+                yield pd.DataFrame({"query_id": ids[lo + cols], "vec_id": vid[rows],
+                                    "raw_score": sims[rows, cols]})
 
     cands = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
                    .mapInPandas(score_partition, CANDIDATE_SCHEMA))
