@@ -260,3 +260,17 @@ def test_top_k_many_questions_in_blocks(spark, sf):
         want += [(int(q), int(ids[i]), r + 1) for r, i in enumerate(order)]
     assert len(ids) > retrieval.QUESTION_BLOCK
     assert rows(got, "query_id", "vec_id", "rank") == sorted(want)
+
+
+def test_idempotent_run_survives_crash_before_commit(spark):
+    from tidemark.plans.incremental import run_incremental
+    root = scratch_path(spark, "t_retry")
+    store = BookmarkStore(spark, f"{root}/_state")
+    src = spark.range(0, 100).select(F.col("id").alias("k"))
+    kw = dict(keys=["k"], store=store, sink_path=f"{root}/sink", stamp_col=None, idempotent=True)
+    run_incremental(spark, src, "j", commit=False, **kw)     # written, bookmark not advanced
+    run_incremental(spark, src, "j", **kw)                   # retry of the same run
+    assert spark.read.parquet(f"{root}/sink").count() == 100
+    more = spark.range(0, 150).select(F.col("id").alias("k"))
+    assert run_incremental(spark, more, "j", **kw).rows == 50
+    assert spark.read.parquet(f"{root}/sink").count() == 150

@@ -121,3 +121,19 @@ def purge_and_reload(spark, sf):
 SELECT event_id, ts FROM events ORDER BY event_id DESC, ts DESC LIMIT 1""")
 def bookmark_high_water(spark, sf):
     return high_water(table(spark, sf, "events"), ["event_id", "ts"])
+
+
+@check("bookmark_crash_retry", _TWO_RUNS_SQL)
+def bookmark_crash_retry(spark, sf):
+    # Run 1 writes but "crashes" before its commit; the retry starts from the
+    # same bookmark, so it replaces its own run folder instead of appending again.
+    run1, run2 = sources(spark, sf)
+    db, root = fresh_db(spark, "retry")
+    name = f"{db}.demo_1_daily"
+    store = BookmarkStore(spark, f"{root}/_bookmarks")
+    kw = dict(keys=["updated_time"], store=store, sink_path=f"{root}/sink", stamp_col="partition_col",
+              date_format="%Y-%m-%d", partition_by=["partition_col"], table=name, idempotent=True)
+    run_incremental(spark, run1, "demo1", at=RUN1_AT, commit=False, **kw)
+    run_incremental(spark, run1, "demo1", at=RUN1_AT, **kw)
+    run_incremental(spark, run2, "demo1", at=RUN2_AT, **kw)
+    return spark.table(name).drop("run_id")

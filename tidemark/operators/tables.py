@@ -79,11 +79,14 @@ def append_to_table(df: DataFrame, name: str) -> None:
     df.select(*cols).write.insertInto(norm_name(name))
 
 
-def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[str] | None = None) -> None:
+def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[str] | None = None,
+                  replace_partitions: bool = False) -> None:
     """Write and register a table, adding new columns first when the frame has them.
 
     Columns are never dropped or retyped: a frame missing a column writes
-    NULL there. New partitions are registered by the write itself.
+    NULL there. New partitions are registered by the write itself. With
+    ``replace_partitions`` the partitions present in ``df`` are overwritten
+    (dynamic mode) instead of appended to.
     """
     spark = df.sparkSession
     name = norm_name(name)
@@ -107,7 +110,10 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     if parts:
         aligned = aligned.hint("rebalance", *parts)
-    aligned.write.mode("append").insertInto(name)
+    if replace_partitions and parts:
+        aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    else:
+        aligned.write.mode("append").insertInto(name)
 
 
 def list_tables(spark: SparkSession, exclude=SYSTEM_DATABASES) -> DataFrame:

@@ -2,12 +2,16 @@
 
 Order: read past the bookmark -> stamp -> write (and register) -> commit
 the bookmark. A crash between write and commit re-appends the same rows on
-the next run, as the reference does; passing ``run_id`` adds a run column
-so such a repeat can be found and removed.
+the next run, as the reference does. With ``idempotent=True`` each run
+writes into its own ``run_id`` partition, named from the bookmark it
+started from: a retry after such a crash starts from the same mark, gets
+the same id and overwrites its own folder instead of appending twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stamps import stamp
 from tidemark.operators.tables import drop_table, save_evolving
-from tidemark.sinks.files import append_parquet, delete_path
+from tidemark.sinks.files import append_parquet, delete_path, replace_parquet_partitions
 from tidemark.sources.bookmark import BookmarkStore, after_bookmark, mark_of, observe_high_water
 
 
@@ -25,23 +29,44 @@ class LoadResult:
     mark: dict | None
 
 
+RUN_COL = "run_id"
+
+
+def run_id_for(job: str, mark: dict | None, version: int) -> str:
+    """Stable id of the run that starts from ``mark`` (same start, same id)."""
+    text = json.dumps([job, mark, version], sort_keys=True)
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
 def run_incremental(spark: SparkSession, source: DataFrame, job: str, keys: list[str] | None,
                     store: BookmarkStore, sink_path: str, stamp_col: str | None = "partition_col",
                     date_format: str | None = None, at=None, partition_by: list[str] | None = None,
-                    table: str | None = None, inclusive: bool = False) -> LoadResult:
-    """One run of an incremental load. ``keys=None`` means no bookmark."""
+                    table: str | None = None, inclusive: bool = False, idempotent: bool = False,
+                    commit: bool = True) -> LoadResult:
+    """One run of an incremental load. ``keys=None`` means no bookmark.
+
+    ``commit=False`` writes without advancing the bookmark (what a crash
+    after the write leaves behind).
+    """
+    mark_before = store.get(job) if keys else None
     batch = source
     if keys:
-        batch = after_bookmark(source, keys, store.get(job), inclusive)
+        batch = after_bookmark(source, keys, mark_before, inclusive)
     if stamp_col:
         batch = stamp(batch, stamp_col, date_format, at)
+    parts = list(partition_by or [])
+    if idempotent:
+        batch = batch.withColumn(RUN_COL, F.lit(run_id_for(job, mark_before, store.version(job))))
+        parts.append(RUN_COL)
     observed, obs = observe_high_water(batch, keys or batch.columns[:1])
     if table:
-        save_evolving(observed, table, sink_path, partition_by)
+        save_evolving(observed, table, sink_path, parts or None, replace_partitions=idempotent)
+    elif idempotent:
+        replace_parquet_partitions(observed, sink_path, parts)
     else:
-        append_parquet(observed, sink_path, partition_by)
+        append_parquet(observed, sink_path, parts or None)
     mark, rows = mark_of(obs)
-    if keys:
+    if keys and commit:
         store.commit(job, keys, mark)
     return LoadResult(rows, mark if keys else None)
 

@@ -21,6 +21,14 @@ def append_parquet(df: DataFrame, path: str, partition_by: list[str] | None = No
     writer.parquet(path)
 
 
+def replace_parquet_partitions(df: DataFrame, path: str, partition_by: list[str],
+                               compression: str = "snappy") -> None:
+    """Write partitions, replacing only the partition folders present in ``df``."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").option("compression", compression)
+       .partitionBy(*partition_by).parquet(path))
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """CSV with a header and no index column, replacing what the folder held.
 
