@@ -83,14 +83,16 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
 
     Replaying the same batch gives the same table (delete-then-insert), so a
     micro-batch that is retried after a failed commit is safe. Choose
-    ``n_buckets`` so one bucket is a few hundred MB: a bucket is rewritten
-    whole by one task when it is touched.
+    ``n_buckets`` so one bucket is a few hundred MB: a touched bucket is
+    read and rewritten whole.
     """
-    staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets)).persist()
+    staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
+    if not _exists(spark, path):
+        _write_buckets(staged, path)
+        return n_buckets
+    # Read twice (touched ids, then the merge): keep it for the length of the upsert.
+    staged = staged.persist()
     try:
-        if not _exists(spark, path):
-            _write_buckets(staged, path)
-            return n_buckets
         touched = [r[0] for r in staged.select(BUCKET_COL).distinct().collect()]
         if not touched:
             return 0

@@ -27,14 +27,19 @@ class BookmarkStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._seen: dict[str, list] = {}   # last row read per job, dropped on every append
 
     def _rows(self, job: str):
+        if job in self._seen:
+            return self._seen[job]
         from tidemark.sinks.files import path_exists
         if not path_exists(self.spark, self.path):
             return None
         df = self.spark.read.schema(STATE_SCHEMA).json(self.path)
         # One row per commit of this job: the newest is taken, bounded to one row.
-        return df.filter(F.col("job") == job).orderBy(F.col("version").desc()).limit(1).collect()
+        rows = df.filter(F.col("job") == job).orderBy(F.col("version").desc()).limit(1).collect()
+        self._seen[job] = rows
+        return rows
 
     def get(self, job: str) -> dict | None:
         """Latest committed value as ``{key: text}``, or None when unset or reset."""
@@ -51,6 +56,7 @@ class BookmarkStore:
         row = (job, self.version(job) + 1, json.dumps(keys),
                None if value is None else json.dumps(value),
                _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        self._seen.pop(job, None)
         (self.spark.createDataFrame([row], STATE_SCHEMA).coalesce(1)
              .write.mode("append").json(self.path))
 
