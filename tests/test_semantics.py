@@ -274,3 +274,19 @@ def test_idempotent_run_survives_crash_before_commit(spark):
     more = spark.range(0, 150).select(F.col("id").alias("k"))
     assert run_incremental(spark, more, "j", **kw).rows == 50
     assert spark.read.parquet(f"{root}/sink").count() == 150
+
+
+def test_assign_keys_after_a_shuffle(spark):
+    # Row order inside partitions after a shuffle is not repeatable; the keys must still be exact.
+    left = spark.range(0, 2000).select((F.col("id") * 13 % 2000).alias("nat"))
+    right = spark.range(0, 2000).select(F.col("id").alias("nat"), (F.col("id") % 7).alias("g"))
+    joined = left.join(right.hint("shuffle_hash"), "nat").repartition(6, "g")
+    out = keys.assign_keys(joined, ["nat"], "sk", start=1, num_partitions=5)
+    assert rows(out, "nat", "sk") == [(i, i + 1) for i in range(2000)]
+
+
+def test_assign_keys_without_copy_on_a_scan(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
+    out = keys.assign_keys(o, ["o_orderkey"], "sk", start=1, materialize=False)
+    got = rows(out, "o_orderkey", "sk")
+    assert [sk for _, sk in got] == list(range(1, len(got) + 1))

@@ -5,13 +5,13 @@ task. Instead rows are range-partitioned by the natural order, numbered
 inside each partition, and shifted by the row count of all earlier
 partitions.
 
-The counting branch and the numbering branch are one query over one range
-exchange, which Spark reuses (``ReusedExchange``), so both read the same
-partitions; the partition count is explicit, so AQE does not coalesce it.
-If an executor is lost its map output is recomputed to the same rows (range
-bounds are fixed for the query, and the row hash makes the order total).
-For an input that is not deterministic, ``checkpoint=True`` first writes it
-to the shared checkpoint folder.
+The counting pass and the numbering pass must see identical partitions.
+By default the range-partitioned, sorted rows are checkpointed once to the
+shared checkpoint folder (the one write the keyed output needs anyway) and
+both passes read that copy, so a lost executor or an input whose row order
+changes between runs (anything downstream of a shuffle) cannot shift a key.
+``materialize=False`` skips the copy and relies on Spark reusing the one
+range exchange for both passes; use it only for a plain deterministic scan.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ _PID, _MONO = "_tm_pid", "_tm_mono"
 
 def assign_keys(df: DataFrame, order_cols: list[str], key_col: str = "id", start: int | None = None,
                 after: DataFrame | None = None, after_col: str | None = None,
-                num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
+                num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """Add ``key_col`` numbering rows 1, 2, ... in ``order_cols`` order, plus a base.
 
     The base is ``start - 1`` when ``start`` is given (C8 restart), else the
@@ -34,12 +34,13 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str = "id", start
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = df.checkpoint(eager=True) if checkpoint else df
-    tiebreak = F.xxhash64(*[F.col(c) for c in source.columns]).alias("_tm_tb")
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tm_tb")
     ordered = [F.col(c) for c in order_cols] + [F.col("_tm_tb")]
-    ranged = (source.withColumn("_tm_tb", tiebreak)
-                    .repartitionByRange(n, *ordered)
-                    .sortWithinPartitions(*ordered))
+    ranged = (df.withColumn("_tm_tb", tiebreak)
+                .repartitionByRange(n, *ordered)
+                .sortWithinPartitions(*ordered))
+    if materialize:
+        ranged = ranged.checkpoint(eager=True)
     numbered = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MONO, F.monotonically_increasing_id())
     # Rows per partition -> rows in all earlier partitions. At most n rows: broadcast.
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
