@@ -6,6 +6,6 @@ library collects data rows to the driver except bounded values: a
 bookmark high-water mark, touched bucket ids and per-partition counts.
 """
 
-from tidemark.session import build_session, scratch_path, table_path
+from tidemark.session import build_session, scratch_path
 
-__all__ = ["build_session", "scratch_path", "table_path"]
+__all__ = ["build_session", "scratch_path"]

@@ -8,7 +8,6 @@ Only when it is unset (local runs, tests) a local folder is chosen.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,6 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory."""
     return f"{_base(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def table_path(spark: SparkSession, root: str, name: str) -> str:
-    return os.path.join(root, name.replace("-", "_"))
