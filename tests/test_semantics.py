@@ -290,3 +290,16 @@ def test_assign_keys_without_copy_on_a_scan(spark, sf):
     out = keys.assign_keys(o, ["o_orderkey"], "sk", start=1, materialize=False)
     got = rows(out, "o_orderkey", "sk")
     assert [sk for _, sk in got] == list(range(1, len(got) + 1))
+
+
+def test_incremental_run_with_nothing_new(spark):
+    from tidemark.plans.incremental import run_incremental
+    root = scratch_path(spark, "t_empty_run")
+    store = BookmarkStore(spark, f"{root}/_state")
+    src = spark.range(0, 10).select(F.col("id").alias("k"))
+    kw = dict(keys=["k"], store=store, sink_path=f"{root}/sink", stamp_col="load_ts", at="2024-01-01 00:00:00")
+    assert run_incremental(spark, src, "j", **kw).rows == 10
+    again = run_incremental(spark, src, "j", **kw)
+    assert again.rows == 0 and again.mark is None
+    assert store.get("j") == {"k": "9"}
+    assert spark.read.parquet(f"{root}/sink").count() == 10
