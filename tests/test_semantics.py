@@ -303,3 +303,24 @@ def test_incremental_run_with_nothing_new(spark):
     assert again.rows == 0 and again.mark is None
     assert store.get("j") == {"k": "9"}
     assert spark.read.parquet(f"{root}/sink").count() == 10
+
+
+def test_timestamp_partition_value_cast_back(spark):
+    # A timestamp partition value is written URL-encoded and discovered as text.
+    from tidemark.sinks.files import append_parquet
+    from tidemark.sources.files import read_parquet
+    root = scratch_path(spark, "t_part_ts")
+    df = spark.range(3).transform(stamps.stamp, "load_ts", at="2024-01-02 10:11:12.123456")
+    append_parquet(df, root, ["load_ts"])
+    raw = spark.read.parquet(root)
+    assert dict(raw.dtypes)["load_ts"] != "timestamp_ntz"
+    back = read_parquet(spark, root, {"load_ts": "timestamp_ntz"})
+    assert {r["load_ts"] for r in back.collect()} == {dt.datetime(2024, 1, 2, 10, 11, 12, 123456)}
+
+
+def test_jdbc_merge_statements_composite_key():
+    from tidemark.sources.jdbc import merge_statements
+    sql = merge_statements("s.t", "s.t_stage", ["a", "b"], ["a", "b", "c"], not_null="a")
+    assert sql[0] == "DELETE FROM s.t USING s.t_stage WHERE s.t_stage.a = s.t.a AND s.t_stage.b = s.t.b"
+    assert sql[1] == "INSERT INTO s.t SELECT a, b, c FROM s.t_stage WHERE a IS NOT NULL"
+    assert sql[2] == "DROP TABLE s.t_stage"
