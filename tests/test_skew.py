@@ -37,10 +37,12 @@ def test_latest_per_key_hot_key_limited_before_shuffle(spark):
 
 def test_anti_join_dedups_hot_keys_before_shuffle(spark):
     left = spark.range(0, 2000).select(F.col("id").alias("k"))
-    out = anti_join(left, hot(spark), "k")
-    assert out.count() == 2000 - 1001
-    plan = plan_of(out)
-    assert "HashAggregate" in plan     # distinct keys of the hot side, partial first
+    small = anti_join(left, hot(spark), "k")
+    assert small.count() == 2000 - 1001
+    assert "BroadcastHashJoin" in plan_of(small)      # small key set: broadcast as is
+    big = anti_join(left, hot(spark), "k", limit=1)   # too big to broadcast: dedup, then shuffle
+    assert big.count() == 2000 - 1001
+    assert "HashAggregate" in plan_of(big)
 
 
 def test_primary_key_check_on_hot_key(spark):

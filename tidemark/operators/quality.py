@@ -40,5 +40,5 @@ def not_null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def foreign_key_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose foreign key has no parent row (Q3); null keys are not orphans."""
-    keys = parent.select(F.col(pk).alias(fk)).distinct()
+    keys = parent.select(F.col(pk).alias(fk))
     return anti_join(child.filter(F.col(fk).isNotNull()), keys, fk)

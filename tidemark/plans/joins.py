@@ -53,9 +53,14 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 def anti_join(left: DataFrame, right: DataFrame, on, limit: int | None = None) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` (E5), as a direct ``left_anti``.
 
-    Only the key columns of ``right`` are kept and deduplicated first: the
-    partial aggregate turns a hot key into one row per task before any
-    shuffle, and a small key set can then be broadcast.
+    Only the key columns of ``right`` are kept. A key set small enough to
+    broadcast is broadcast as it is (repeated keys cost nothing in a hash
+    relation); a larger one is deduplicated first, so the partial aggregate
+    turns a hot key into one row per task before the shuffle join.
     """
     cols = [on] if isinstance(on, str) else list(on)
-    return join_dimension(left, right.select(*cols).distinct(), cols, "left_anti", limit)
+    keys = right.select(*cols)
+    size, lim = estimated_bytes(keys), broadcast_limit(keys, limit)
+    if size is not None and 0 < size <= lim:
+        return left.join(F.broadcast(keys), cols, "left_anti")
+    return left.join(keys.distinct(), cols, "left_anti")
