@@ -324,3 +324,8 @@ def test_jdbc_merge_statements_composite_key():
     assert sql[0] == "DELETE FROM s.t USING s.t_stage WHERE s.t_stage.a = s.t.a AND s.t_stage.b = s.t.b"
     assert sql[1] == "INSERT INTO s.t SELECT a, b, c FROM s.t_stage WHERE a IS NOT NULL"
     assert sql[2] == "DROP TABLE s.t_stage"
+
+
+def test_null_counts_odd_column_names(spark):
+    df = spark.createDataFrame([(None, 1), (2, None)], "`record-type` int, `it's` int")
+    assert rows(quality.null_counts(df), "column_name", "nulls") == [("it's", 1), ("record-type", 1)]

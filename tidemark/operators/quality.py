@@ -27,9 +27,10 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     One global aggregate (partials per task), then ``stack`` to long form.
     """
     cols = cols or df.columns
-    sums = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"_n{i}")
+    sums = df.agg(*[F.sum(F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)).cast("bigint").alias(f"_n{i}")
                     for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(cols))
+    pairs = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + f"', _n{i}"
+                      for i, c in enumerate(cols))
     return sums.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, nulls)")
 
 

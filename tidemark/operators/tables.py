@@ -122,7 +122,7 @@ def list_tables(spark: SparkSession, exclude=SYSTEM_DATABASES) -> DataFrame:
     for db in spark.catalog.listDatabases():
         if db.name in exclude:
             continue
-        frames.append(spark.sql(f"SHOW TABLES IN {db.name}")
+        frames.append(spark.sql(f"SHOW TABLES IN `{db.name}`")
                       .select(F.lit(db.name).alias("database"), "tableName", "isTemporary"))
     if not frames:
         return spark.createDataFrame([], "database string, tableName string, isTemporary boolean")
