@@ -372,3 +372,12 @@ def test_no_bookmark_reads_everything_each_run(spark):
         assert r.rows == 5 and r.mark is None
     assert spark.read.parquet(f"{root}/sink").count() == 10
     assert store.get("j") is None
+
+
+def test_vector_matrix_fast_and_ragged_paths():
+    import pyarrow as pa
+    from tidemark.operators.retrieval import _matrix
+    even = pa.array([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]], type=pa.list_(pa.float32())).slice(1)
+    assert _matrix(even).tolist() == [[3.0, 4.0], [5.0, 6.0]]
+    ragged = pa.array([[1.0, 2.0], None, [3.0]], type=pa.list_(pa.float32()))
+    assert _matrix(ragged).tolist() == [[1.0, 2.0], [0.0, 0.0], [0.0, 0.0]]

@@ -2,7 +2,7 @@
 
 The question set is small and its size is checked before it is broadcast
 (as a numpy matrix). Each corpus partition scores its rows against all
-questions with matrix products inside ``mapInPandas`` and emits only its
+questions with matrix products inside ``mapInArrow`` and emits only its
 local candidates, so what crosses the shuffle is at most
 ``partitions x questions x k`` rows, whatever the corpus size. The exact
 global order (score rounded to 6 places, then id) is decided by a
@@ -12,7 +12,7 @@ global order (score rounded to 6 places, then id) is decided by a
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +35,27 @@ def _normalise(m: np.ndarray) -> np.ndarray:
     return m / norms
 
 
+def _matrix(col) -> np.ndarray:
+    """Arrow list column -> (rows x dims) float64 matrix.
+
+    Equal-length lists without nulls are one flat buffer, reshaped without a
+    per-row step; anything else (ragged or null vectors, a zero vector
+    instead) goes row by row.
+    """
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    if col.null_count == 0 and n:
+        offsets = col.offsets.to_numpy()
+        width = offsets[1] - offsets[0]
+        if width > 0 and np.all(np.diff(offsets) == width):
+            flat = col.values.slice(offsets[0], n * width).to_numpy(zero_copy_only=False)
+            return flat.astype(np.float64).reshape(n, width)
+    rows = [np.asarray(v if v is not None else [], dtype=np.float64) for v in col.to_pylist()]
+    width = max((len(r) for r in rows), default=0)
+    return np.vstack([r if len(r) == width else np.zeros(width) for r in rows]) if rows else np.zeros((0, 0))
+
+
 def question_matrix(questions: DataFrame, id_col: str, vec_col: str,
                     limit: int = MAX_QUESTIONS) -> tuple[np.ndarray, np.ndarray]:
     """Collect the question vectors after proving there are at most ``limit``."""
@@ -61,22 +82,23 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
 
     def score_partition(batches):
         ids, qn = bc.value
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            m = _normalise(np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["v"].to_numpy()]))
-            vid = pdf["id"].to_numpy(dtype=np.int64)
+            m = _normalise(_matrix(rb.column(1)))
+            vid = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             take = min(k, len(vid))
             # Questions in blocks: memory per block is rows x QUESTION_BLOCK doubles.
             for lo in range(0, len(ids), QUESTION_BLOCK):
                 sims = m @ qn[lo:lo + QUESTION_BLOCK].T            # rows x block
                 kth = np.partition(sims, len(vid) - take, axis=0)[len(vid) - take]
                 rows, cols = np.nonzero(sims >= kth - _MARGIN)      # local top-k and near ties
-                yield pd.DataFrame({"query_id": ids[lo + cols], "vec_id": vid[rows],
-                                    "raw_score": sims[rows, cols]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[lo + cols]), pa.array(vid[rows]), pa.array(sims[rows, cols])],
+                    names=["query_id", "vec_id", "raw_score"])
 
     cands = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-                   .mapInPandas(score_partition, CANDIDATE_SCHEMA))
+                   .mapInArrow(score_partition, CANDIDATE_SCHEMA))
     scored = cands.withColumn("score", F.round("raw_score", SCORE_DIGITS))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
