@@ -381,3 +381,15 @@ def test_vector_matrix_fast_and_ragged_paths():
     assert _matrix(even).tolist() == [[3.0, 4.0], [5.0, 6.0]]
     ragged = pa.array([[1.0, 2.0], None, [3.0]], type=pa.list_(pa.float32()))
     assert _matrix(ragged).tolist() == [[1.0, 2.0], [0.0, 0.0], [0.0, 0.0]]
+
+
+def test_bucketing_is_stored_and_enforced(spark):
+    path = scratch_path(spark, "t_bucketing") + "/t"
+    base = spark.range(0, 100).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    upsert.upsert_table(spark, path, base, ["k"], n_buckets=8)
+    patch = spark.createDataFrame([(3, 1)], "k long, v int")
+    assert upsert.upsert_table(spark, path, patch, ["k"]) == 1        # count taken from the table
+    with pytest.raises(ValueError):
+        upsert.upsert_table(spark, path, patch, ["k"], n_buckets=16)  # would scatter keys
+    out = upsert.read_table(spark, path)
+    assert out.count() == 100 and out.filter("k = 3").first()["v"] == 1

@@ -8,12 +8,16 @@ stored as hash buckets and rewrites only the buckets a batch touches.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.joins import anti_join, maybe_broadcast
 
 BUCKET_COL = "tm_bucket"
+BUCKETING_FILE = "_tm_bucketing.json"   # leading "_": Spark's file listing skips it
+DEFAULT_BUCKETS = 64
 
 
 def update_by_key(target: DataFrame, patch: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,7 +77,7 @@ def bucket_of(keys: list[str], n_buckets: int):
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                 n_buckets: int = 64, guard_col: str | None = None) -> int:
+                 n_buckets: int | None = None, guard_col: str | None = None) -> int:
     """Upsert ``batch`` into the Parquet table at ``path``, bucketed by key hash.
 
     Only the buckets the batch touches are read and rewritten, with dynamic
@@ -83,12 +87,20 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
 
     Replaying the same batch gives the same table (delete-then-insert), so a
     micro-batch that is retried after a failed commit is safe. Choose
-    ``n_buckets`` so one bucket is a few hundred MB: a touched bucket is
-    read and rewritten whole.
+    ``n_buckets`` when the table is created so one bucket is a few hundred
+    MB: a touched bucket is read and rewritten whole. The bucketing is stored
+    with the table; later calls may omit it and must not change it.
     """
+    stored = _read_bucketing(spark, path) if _exists(spark, path) else None
+    if stored:
+        if n_buckets not in (None, stored["n_buckets"]) or list(keys) != stored["keys"]:
+            raise ValueError(f"table at {path} is bucketed as {stored}; got keys={keys}, n_buckets={n_buckets}")
+        n_buckets = stored["n_buckets"]
+    n_buckets = n_buckets or DEFAULT_BUCKETS
     staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
     if not _exists(spark, path):
         _write_buckets(staged, path)
+        _write_bucketing(spark, path, {"n_buckets": n_buckets, "keys": list(keys)})
         return n_buckets
     # Read twice (touched ids, then the merge): keep it for the length of the upsert.
     staged = staged.persist()
@@ -118,6 +130,34 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET_COL)
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_bucketing(spark: SparkSession, path: str, meta: dict) -> None:
+    p, fs = _fs_path(spark, f"{path}/{BUCKETING_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps(meta).encode()))
+    finally:
+        out.close()
+
+
+def _read_bucketing(spark: SparkSession, path: str) -> dict | None:
+    p, fs = _fs_path(spark, f"{path}/{BUCKETING_FILE}")
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
