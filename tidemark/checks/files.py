@@ -106,27 +106,27 @@ def sink_catalog_evolve(spark, sf):
     return spark.table(name)
 
 
-@check("ddl_create_idempotent", "SELECT * FROM nation")
+@check("ddl_create_idempotent", "SELECT * FROM supplier")
 def ddl_create_idempotent(spark, sf):
     db, root = fresh_db(spark, "ddl")
-    nation = table(spark, sf, "nation")
-    name = f"{db}.nation"
-    tables.create_table(spark, name, nation.schema, f"{root}/nation")
-    tables.create_table(spark, name, nation.schema, f"{root}/nation")   # exists: no-op
-    tables.append_to_table(nation, name)
+    sup = table(spark, sf, "supplier")
+    name = f"{db}.supplier"
+    tables.create_table(spark, name, sup.schema, f"{root}/supplier")
+    tables.create_table(spark, name, sup.schema, f"{root}/supplier")   # exists: no-op
+    tables.append_to_table(sup, name)
     return spark.table(name)
 
 
-@check("ddl_drop", "SELECT * FROM region")
+@check("ddl_drop", "SELECT * FROM customer")
 def ddl_drop(spark, sf):
     db, root = fresh_db(spark, "drop")
-    tables.save_evolving(table(spark, sf, "region"), f"{db}.region", f"{root}/region")
-    tables.save_evolving(table(spark, sf, "nation"), f"{db}.nation", f"{root}/nation")
-    tables.drop_table(spark, f"{db}.nation")
-    tables.drop_table(spark, f"{db}.nation")   # IF EXISTS: second drop is a no-op
-    if spark.catalog.tableExists(f"{db}.nation"):
+    tables.save_evolving(table(spark, sf, "customer"), f"{db}.customer", f"{root}/customer")
+    tables.save_evolving(table(spark, sf, "supplier"), f"{db}.supplier", f"{root}/supplier")
+    tables.drop_table(spark, f"{db}.supplier")
+    tables.drop_table(spark, f"{db}.supplier")   # IF EXISTS: second drop is a no-op
+    if spark.catalog.tableExists(f"{db}.supplier"):
         raise AssertionError("table still listed after DROP")
-    return spark.table(f"{db}.region")
+    return spark.table(f"{db}.customer")
 
 
 @check("ddl_truncate", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
@@ -154,22 +154,22 @@ def ddl_clone_empty(spark, sf):
 
 
 @check("dml_insert_rows", """
-SELECT * FROM nation
-UNION ALL SELECT 25 AS n_nationkey, 'ATLANTIS' AS n_name, 0 AS n_regionkey
-UNION ALL SELECT 26, 'LEMURIA', 1""")
+SELECT * FROM supplier
+UNION ALL SELECT -1 AS s_suppkey, 'Supplier#new-1' AS s_name, 0 AS s_nationkey, CAST(100.5 AS DOUBLE) AS s_acctbal
+UNION ALL SELECT -2, 'Supplier#new-2', 1, CAST(-7.25 AS DOUBLE)""")
 def dml_insert_rows(spark, sf):
     db, root = fresh_db(spark, "insert")
-    name = f"{db}.nation"
-    tables.save_evolving(table(spark, sf, "nation"), name, f"{root}/nation")
-    tables.insert_rows(spark, name, [(25, "ATLANTIS", 0), (26, "LEMURIA", 1)])
+    name = f"{db}.supplier"
+    tables.save_evolving(table(spark, sf, "supplier"), name, f"{root}/supplier")
+    tables.insert_rows(spark, name, [(-1, "Supplier#new-1", 0, 100.5), (-2, "Supplier#new-2", 1, -7.25)])
     return spark.table(name)
 
 
 @check("catalog_list_tables")
 def catalog_list_tables(spark, sf):
     db, root = fresh_db(spark, "list")
-    tables.save_evolving(table(spark, sf, "region"), f"{db}.region", f"{root}/region")
-    tables.save_evolving(table(spark, sf, "nation"), f"{db}.nation", f"{root}/nation")
+    tables.save_evolving(table(spark, sf, "supplier"), f"{db}.supplier", f"{root}/supplier")
+    tables.save_evolving(table(spark, sf, "part"), f"{db}.part", f"{root}/part")
     return tables.list_tables(spark).filter(F.col("database") == db)
 
 
