@@ -393,3 +393,17 @@ def test_bucketing_is_stored_and_enforced(spark):
         upsert.upsert_table(spark, path, patch, ["k"], n_buckets=16)  # would scatter keys
     out = upsert.read_table(spark, path)
     assert out.count() == 100 and out.filter("k = 3").first()["v"] == 1
+
+
+def test_partitions_written_outside_the_catalog_are_registered(spark):
+    from tidemark.operators import tables
+    from tidemark.sinks.files import append_parquet
+    root = scratch_path(spark, "t_recover")
+    tables.create_database(spark, "tm_t_recover", root + "/_db")
+    name = "tm_t_recover.t"
+    tables.save_evolving(spark.range(4).select(F.col("id").alias("k"), F.lit("a").alias("p")),
+                         name, root + "/t", ["p"])
+    append_parquet(spark.range(3).select(F.col("id").alias("k"), F.lit("b").alias("p")), root + "/t", ["p"])
+    assert spark.table(name).count() == 4
+    tables.register_partitions(spark, name)
+    assert spark.table(name).count() == 7

@@ -116,6 +116,11 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
         aligned.write.mode("append").insertInto(name)
 
 
+def register_partitions(spark: SparkSession, name: str) -> None:
+    """Add partition folders written straight to a table's location to the catalog."""
+    spark.catalog.recoverPartitions(norm_name(name))
+
+
 def list_tables(spark: SparkSession, exclude=SYSTEM_DATABASES) -> DataFrame:
     """Tables of every non-system database (C14), as a DataFrame of names."""
     frames = []
