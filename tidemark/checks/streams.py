@@ -14,6 +14,7 @@ from tidemark.checks import check, table
 from tidemark.checks.core import CHANGES_SQL, changes
 from tidemark.operators.cdc import flatten
 from tidemark.session import scratch_path
+from tidemark.sources.files import read_parquet
 from tidemark.streaming import cdc_stream as cs
 
 CUT = "2024-01-16"
@@ -66,15 +67,18 @@ def stream_restart(spark, sf):
 
     def tagger(run):
         def fn(batch, batch_id):
-            (flatten(batch).select("transaction-id", "operation", F.lit(run).alias("run"))
-                 .write.mode("append").parquet(out))
+            # One partition per batch id, replaced if the batch is replayed.
+            (flatten(batch).select("transaction-id", "operation", F.lit(run).alias("run"),
+                                   F.lit(batch_id).alias("batch_id"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(out))
         return fn
 
     cs.write_change_files(first, landing)
     cs.run_stream(cs.change_stream(spark, landing), tagger(1), ckpt)
     cs.write_change_files(second, landing)
     cs.run_stream(cs.change_stream(spark, landing), tagger(2), ckpt)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @check("stream_cdc_upsert", _wide_sql())
@@ -104,7 +108,7 @@ def stream_static_join(spark, sf):
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
     cs.write_change_files(second, landing)
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
-    return spark.read.parquet(audit)
+    return read_parquet(spark, audit, {"batch_id": "bigint"})
 
 
 @check("stream_empty_batch", _wide_sql(where=f" AND created_at < TIMESTAMP '{CUT}'"))

@@ -69,25 +69,33 @@ def kafka_change_stream(spark: SparkSession, servers: str, topic: str,
 
 
 def upsert_batch_fn(target_path: str, dims: Callable[[], tuple[DataFrame, DataFrame]],
-                    keys: list[str] = WIDE_KEYS, n_buckets: int = 64, ties: str = "rank",
-                    audit_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                    keys: list[str] = WIDE_KEYS, n_buckets: int | None = None, ties: str = "rank",
+                    audit_path: str | None = None,
+                    guard_col: str | None = None) -> Callable[[DataFrame, int], None]:
     """The per-batch function (R5, U1): enrich then upsert.
 
     ``dims`` is called on every batch so dimension tables are read fresh
     each time (S7). An empty batch writes nothing (R3). A failing write
-    raises, so the checkpoint does not advance past it (S8).
+    raises, so the checkpoint does not advance past it (S8). Without
+    ``guard_col`` a late, older record overwrites a newer row, as in the
+    reference (S3); with it (e.g. ``"updated_at"``) the newer row stays.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         customer, nation = dims()
         rows = enrich_changes(batch, customer, nation, ties=ties)
-        if audit_path:
-            # Re-used twice (audit and upsert): persist for the batch only.
-            rows = rows.persist()
-            rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(audit_path)
-        upsert_table(batch.sparkSession, target_path, rows, keys, n_buckets)
-        if audit_path:
+        if not audit_path:
+            upsert_table(batch.sparkSession, target_path, rows, keys, n_buckets, guard_col)
+            return
+        # Used twice (audit and upsert): persist for this batch only. The audit
+        # is one partition per batch id, replaced if the batch is replayed.
+        rows = rows.persist()
+        try:
+            (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(audit_path))
+            upsert_table(batch.sparkSession, target_path, rows, keys, n_buckets, guard_col)
+        finally:
             rows.unpersist()
     return process
 
