@@ -407,3 +407,19 @@ def test_partitions_written_outside_the_catalog_are_registered(spark):
     assert spark.table(name).count() == 4
     tables.register_partitions(spark, name)
     assert spark.table(name).count() == 7
+
+
+def test_inclusive_bookmark_picks_up_same_tick_rows_once(spark):
+    # Row 2 is written in the same second as the mark after run 1 has read.
+    from tidemark.plans.incremental import run_incremental
+    t = dt.datetime(2024, 1, 1, 12, 0, 0)
+    run1 = spark.createDataFrame([(1, t)], "id int, ts timestamp_ntz")
+    run2 = spark.createDataFrame([(1, t), (2, t), (3, t + dt.timedelta(seconds=1))], "id int, ts timestamp_ntz")
+    for inclusive, want in ((False, [(1,), (3,)]), (True, [(1,), (2,), (3,)])):
+        root = scratch_path(spark, "t_incl")
+        store = BookmarkStore(spark, f"{root}/_state")
+        kw = dict(keys=["ts"], store=store, sink_path=f"{root}/sink", stamp_col=None,
+                  inclusive=inclusive, dedup_keys=["id"])
+        run_incremental(spark, run1, "j", **kw)
+        run_incremental(spark, run2, "j", **kw)
+        assert rows(spark.read.parquet(f"{root}/sink"), "id") == want

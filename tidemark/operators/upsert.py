@@ -91,16 +91,18 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     MB: a touched bucket is read and rewritten whole. The bucketing is stored
     with the table; later calls may omit it and must not change it.
     """
-    stored = _read_bucketing(spark, path) if _exists(spark, path) else None
+    stored = _read_bucketing(spark, path)
     if stored:
         if n_buckets not in (None, stored["n_buckets"]) or list(keys) != stored["keys"]:
             raise ValueError(f"table at {path} is bucketed as {stored}; got keys={keys}, n_buckets={n_buckets}")
         n_buckets = stored["n_buckets"]
     n_buckets = n_buckets or DEFAULT_BUCKETS
+    if not stored:
+        # Recorded before any data, so a table never exists without it.
+        _write_bucketing(spark, path, {"n_buckets": n_buckets, "keys": list(keys)})
     staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
-    if not _exists(spark, path):
+    if not _has_buckets(spark, path):
         _write_buckets(staged, path)
-        _write_bucketing(spark, path, {"n_buckets": n_buckets, "keys": list(keys)})
         return n_buckets
     # Read twice (touched ids, then the merge): keep it for the length of the upsert.
     staged = staged.persist()
@@ -158,8 +160,10 @@ def _read_bucketing(spark: SparkSession, path: str) -> dict | None:
     return json.loads(text)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def _has_buckets(spark: SparkSession, path: str) -> bool:
+    """Whether any bucket folder has been written (the metadata file alone is not a table)."""
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p):
+        return False
+    return any(st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET_COL}=")
+               for st in fs.listStatus(p))

@@ -42,16 +42,21 @@ def run_incremental(spark: SparkSession, source: DataFrame, job: str, keys: list
                     store: BookmarkStore, sink_path: str, stamp_col: str | None = "partition_col",
                     date_format: str | None = None, at=None, partition_by: list[str] | None = None,
                     table: str | None = None, inclusive: bool = False, idempotent: bool = False,
-                    commit: bool = True) -> LoadResult:
+                    commit: bool = True, dedup_keys: list[str] | None = None) -> LoadResult:
     """One run of an incremental load. ``keys=None`` means no bookmark.
 
-    ``commit=False`` writes without advancing the bookmark (what a crash
-    after the write leaves behind).
+    ``inclusive=True`` re-reads rows equal to the mark, so rows written later
+    within the same clock tick are not missed (S9); with ``dedup_keys`` the
+    ones already loaded are dropped by key against the sink. ``commit=False``
+    writes without advancing the bookmark (what a crash after the write
+    leaves behind).
     """
     mark_before = store.get(job) if keys else None
     batch = source
     if keys:
         batch = after_bookmark(source, keys, mark_before, inclusive)
+        if inclusive and mark_before and dedup_keys:
+            batch = _drop_loaded(spark, batch, keys, mark_before, dedup_keys, sink_path, table)
     if stamp_col:
         batch = stamp(batch, stamp_col, date_format, at)
     parts = list(partition_by or [])
@@ -71,6 +76,26 @@ def run_incremental(spark: SparkSession, source: DataFrame, job: str, keys: list
     return LoadResult(rows, mark if keys else None)
 
 
+def _drop_loaded(spark: SparkSession, batch: DataFrame, keys: list[str], mark: dict,
+                 dedup_keys: list[str], sink_path: str, table: str | None) -> DataFrame:
+    """Remove boundary rows (bookmark keys equal to the mark) the sink already holds."""
+    from tidemark.plans.joins import anti_join
+    from tidemark.sinks.files import path_exists
+    if table:
+        if not spark.catalog.tableExists(table):
+            return batch
+        sink = spark.table(table)
+    elif path_exists(spark, sink_path):
+        sink = spark.read.parquet(sink_path)
+    else:
+        return batch
+    types = dict((f.name, f.dataType) for f in sink.schema.fields)
+    at_mark = sink
+    for k in keys:     # equality on every bookmark key: a pushed filter, few rows
+        at_mark = at_mark.filter(F.col(k) == F.lit(mark[k]).cast(types[k]))
+    return anti_join(batch, at_mark.select(*dedup_keys), dedup_keys)
+
+
 def purge(spark: SparkSession, path: str, table: str | None, store: BookmarkStore | None,
           job: str | None) -> None:
     """Data, catalog entry and bookmark go together."""
