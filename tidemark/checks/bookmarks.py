@@ -137,3 +137,29 @@ def bookmark_crash_retry(spark, sf):
     run_incremental(spark, run1, "demo1", at=RUN1_AT, **kw)
     run_incremental(spark, run2, "demo1", at=RUN2_AT, **kw)
     return spark.table(name).drop("run_id")
+
+
+TICK_CUT = "2024-01-16 00:30:00"
+
+
+@check("bookmark_inclusive", f"""
+SELECT event_id AS customer_id, user_id, date_trunc('hour', ts) AS updated_time,
+       CASE WHEN ts < TIMESTAMP '{TICK_CUT}' THEN '{RUN1_AT[:10]}' ELSE '{RUN2_AT[:10]}' END AS partition_col
+FROM events""")
+def bookmark_inclusive(spark, sf):
+    # S9 on a coarse clock: updated_time has hour precision, and run 1 reads the
+    # table half way through an hour. Rows written later in that hour share the
+    # mark; the inclusive run loads them, and the ones already loaded are skipped.
+    ev = table(spark, sf, "events").select(
+        F.col("event_id").alias("customer_id"), "user_id", F.date_trunc("hour", "ts").alias("updated_time"),
+        F.col("ts"))
+    run1 = ev.filter(F.col("ts") < F.lit(TICK_CUT).cast("timestamp_ntz")).drop("ts")
+    run2 = ev.drop("ts")
+    root = scratch_path(spark, "bookmark_incl")
+    store = BookmarkStore(spark, f"{root}/_bookmarks")
+    kw = dict(keys=["updated_time"], store=store, sink_path=f"{root}/sink", stamp_col="partition_col",
+              date_format="%Y-%m-%d", partition_by=["partition_col"], inclusive=True,
+              dedup_keys=["customer_id"])
+    run_incremental(spark, run1, "demo1", at=RUN1_AT, **kw)
+    run_incremental(spark, run2, "demo1", at=RUN2_AT, **kw)
+    return read_parquet(spark, f"{root}/sink", {"partition_col": "string"})
