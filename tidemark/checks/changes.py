@@ -221,3 +221,20 @@ def cdc_snapshot_diff(spark, sf):
     ev = table(spark, sf, "events")
     old, new = _snapshot(ev, DAY_CUT), _snapshot(ev, "2024-02-01")
     return snapshot_diff(old, new, ["user_id"], F.lit(DIFF_AT).cast("timestamp_ntz"))
+
+
+@check("upsert_guarded_late", """
+SELECT user_id, event_type, event_id, ts, value FROM (
+  SELECT *, rank() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS rnk FROM events)
+WHERE rnk = 1""")
+def upsert_guarded_late(spark, sf):
+    # The whole month is applied first; then the first half arrives late. With the
+    # guard on ts (S3) the late, older rows do not replace the newer ones.
+    ev = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    cut = F.lit(DAY_CUT).cast("timestamp_ntz")
+    k = ["user_id", "event_type"]
+    path = scratch_path(spark, "upsert_guard") + "/latest"
+    upsert.upsert_table(spark, path, latest_per_key(ev, k, "ts"), k, n_buckets=8)
+    late = latest_per_key(ev.filter(F.col("ts") < cut), k, "ts")
+    upsert.upsert_table(spark, path, late, k, guard_col="ts")
+    return upsert.read_table(spark, path)
