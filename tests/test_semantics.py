@@ -423,3 +423,15 @@ def test_inclusive_bookmark_picks_up_same_tick_rows_once(spark):
         run_incremental(spark, run1, "j", **kw)
         run_incremental(spark, run2, "j", **kw)
         assert rows(spark.read.parquet(f"{root}/sink"), "id") == want
+
+
+def test_pick_passage_modes(spark):
+    ex = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "c")], "query_id long, rank int, passage string")
+    assert retrieval.pick_passage(ex, "last").first()["passage"] == "c"
+    assert retrieval.pick_passage(ex, "first").first()["passage"] == "a"
+    assert retrieval.pick_passage(ex, "all").first()["passage"] == "a\nb\nc"
+
+
+def test_not_null_violations_lists_only_failing_columns(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
+    assert rows(quality.not_null_violations(df, ["k", "v"]), "column_name", "nulls") == [("v", 1)]

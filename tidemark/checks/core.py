@@ -80,6 +80,19 @@ def cdc_latest_per_day(spark, sf):
     return latest_per_key(ev, ["user_id"], "day", ties="rank")
 
 
+@check("cdc_latest_unique", """
+SELECT user_id, event_id, event_type, day FROM (
+  SELECT user_id, event_id, event_type, date_trunc('day', ts) AS day,
+         row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def cdc_latest_unique(spark, sf):
+    # ties="row_number": one row per key even on a coarse clock (S1, S17), ties
+    # broken by the newest event id.
+    ev = table(spark, sf, "events").select(
+        "user_id", "event_id", "event_type", F.date_trunc("day", "ts").alias("day"))
+    return latest_per_key(ev, ["user_id"], "day", ties="row_number", tiebreak=["event_id"])
+
+
 @check("join_inner_dims", """
 SELECT c.c_custkey, c.c_name, c.c_mktsegment, c.c_nationkey, n.n_name, n.n_regionkey
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
