@@ -29,31 +29,45 @@ CANDIDATE_SCHEMA = T.StructType([
 ])
 
 
-def _normalise(m: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
-    norms[norms == 0] = np.inf      # a zero vector scores 0 against everything
-    return m / norms
+def _kernels():
+    """The vector helpers used inside tasks.
 
-
-def _matrix(col) -> np.ndarray:
-    """Arrow list column -> (rows x dims) float64 matrix.
-
-    Equal-length lists without nulls are one flat buffer, reshaped without a
-    per-row step; anything else (ragged or null vectors, a zero vector
-    instead) goes row by row.
+    They are built in a function, so the scoring closure that uses them is
+    shipped to executors by value: a worker needs numpy and pyarrow, not an
+    import of this package.
     """
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    n = len(col)
-    if col.null_count == 0 and n:
-        offsets = col.offsets.to_numpy()
-        width = offsets[1] - offsets[0]
-        if width > 0 and np.all(np.diff(offsets) == width):
-            flat = col.values.slice(offsets[0], n * width).to_numpy(zero_copy_only=False)
-            return flat.astype(np.float64).reshape(n, width)
-    rows = [np.asarray(v if v is not None else [], dtype=np.float64) for v in col.to_pylist()]
-    width = max((len(r) for r in rows), default=0)
-    return np.vstack([r if len(r) == width else np.zeros(width) for r in rows]) if rows else np.zeros((0, 0))
+    import numpy as np
+    import pyarrow as pa
+
+    def normalise(m):
+        norms = np.linalg.norm(m, axis=1, keepdims=True)
+        norms[norms == 0] = np.inf      # a zero vector scores 0 against everything
+        return m / norms
+
+    def matrix(col):
+        """Arrow list column -> (rows x dims) float64 matrix.
+
+        Equal-length lists without nulls are one flat buffer, reshaped without
+        a per-row step; anything else (ragged or null vectors, a zero vector
+        instead) goes row by row.
+        """
+        if isinstance(col, pa.ChunkedArray):
+            col = col.combine_chunks()
+        n = len(col)
+        if col.null_count == 0 and n:
+            offsets = col.offsets.to_numpy()
+            width = offsets[1] - offsets[0]
+            if width > 0 and np.all(np.diff(offsets) == width):
+                flat = col.values.slice(offsets[0], n * width).to_numpy(zero_copy_only=False)
+                return flat.astype(np.float64).reshape(n, width)
+        rows = [np.asarray(v if v is not None else [], dtype=np.float64) for v in col.to_pylist()]
+        width = max((len(r) for r in rows), default=0)
+        return np.vstack([r if len(r) == width else np.zeros(width) for r in rows]) if rows else np.zeros((0, 0))
+
+    return normalise, matrix
+
+
+_normalise, _matrix = _kernels()
 
 
 def question_matrix(questions: DataFrame, id_col: str, vec_col: str,
