@@ -111,7 +111,7 @@ def test_bookmark_predicates(spark):
 
 
 def test_bookmark_store_commit_and_reset(spark):
-    store = BookmarkStore(spark, scratch_path(spark, "t_bm") + "/_state")
+    store = BookmarkStore(spark, scratch_path(spark, "t_bm") + "/state")
     assert store.get("j") is None
     store.commit("j", ["id"], {"id": "5"})
     store.commit("j", ["id"], None)           # an empty run keeps the mark
@@ -265,7 +265,7 @@ def test_top_k_many_questions_in_blocks(spark, sf):
 def test_idempotent_run_survives_crash_before_commit(spark):
     from tidemark.plans.incremental import run_incremental
     root = scratch_path(spark, "t_retry")
-    store = BookmarkStore(spark, f"{root}/_state")
+    store = BookmarkStore(spark, f"{root}/state")
     src = spark.range(0, 100).select(F.col("id").alias("k"))
     kw = dict(keys=["k"], store=store, sink_path=f"{root}/sink", stamp_col=None, idempotent=True)
     run_incremental(spark, src, "j", commit=False, **kw)     # written, bookmark not advanced
@@ -295,7 +295,7 @@ def test_assign_keys_without_copy_on_a_scan(spark, sf):
 def test_incremental_run_with_nothing_new(spark):
     from tidemark.plans.incremental import run_incremental
     root = scratch_path(spark, "t_empty_run")
-    store = BookmarkStore(spark, f"{root}/_state")
+    store = BookmarkStore(spark, f"{root}/state")
     src = spark.range(0, 10).select(F.col("id").alias("k"))
     kw = dict(keys=["k"], store=store, sink_path=f"{root}/sink", stamp_col="load_ts", at="2024-01-01 00:00:00")
     assert run_incremental(spark, src, "j", **kw).rows == 10
@@ -365,7 +365,7 @@ def test_stream_reads_dimensions_on_every_batch(spark, sf):
 def test_no_bookmark_reads_everything_each_run(spark):
     from tidemark.plans.incremental import run_incremental
     root = scratch_path(spark, "t_nobm")
-    store = BookmarkStore(spark, f"{root}/_state")
+    store = BookmarkStore(spark, f"{root}/state")
     src = spark.range(0, 5).select(F.col("id").alias("k"))
     for _ in range(2):
         r = run_incremental(spark, src, "j", keys=None, store=store, sink_path=f"{root}/sink", stamp_col=None)
@@ -417,7 +417,7 @@ def test_inclusive_bookmark_picks_up_same_tick_rows_once(spark):
     run2 = spark.createDataFrame([(1, t), (2, t), (3, t + dt.timedelta(seconds=1))], "id int, ts timestamp_ntz")
     for inclusive, want in ((False, [(1,), (3,)]), (True, [(1,), (2,), (3,)])):
         root = scratch_path(spark, "t_incl")
-        store = BookmarkStore(spark, f"{root}/_state")
+        store = BookmarkStore(spark, f"{root}/state")
         kw = dict(keys=["ts"], store=store, sink_path=f"{root}/sink", stamp_col=None,
                   inclusive=inclusive, dedup_keys=["id"])
         run_incremental(spark, run1, "j", **kw)

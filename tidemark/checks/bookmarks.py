@@ -46,7 +46,7 @@ def sources(spark, sf):
 def _two_runs(spark, sf, keys, table_name=None):
     run1, run2 = sources(spark, sf)
     root = scratch_path(spark, "bookmark")
-    store = BookmarkStore(spark, f"{root}/_bookmarks")
+    store = BookmarkStore(spark, f"{root}/bookmarks")
     kw = dict(keys=keys, store=store, sink_path=f"{root}/sink", stamp_col="partition_col",
               date_format="%Y-%m-%d", partition_by=["partition_col"], table=table_name)
     run_incremental(spark, run1, "demo1", at=RUN1_AT, **kw)
@@ -130,7 +130,7 @@ def bookmark_crash_retry(spark, sf):
     run1, run2 = sources(spark, sf)
     db, root = fresh_db(spark, "retry")
     name = f"{db}.demo_1_daily"
-    store = BookmarkStore(spark, f"{root}/_bookmarks")
+    store = BookmarkStore(spark, f"{root}/bookmarks")
     kw = dict(keys=["updated_time"], store=store, sink_path=f"{root}/sink", stamp_col="partition_col",
               date_format="%Y-%m-%d", partition_by=["partition_col"], table=name, idempotent=True)
     run_incremental(spark, run1, "demo1", at=RUN1_AT, commit=False, **kw)
@@ -156,7 +156,7 @@ def bookmark_inclusive(spark, sf):
     run1 = ev.filter(F.col("ts") < F.lit(TICK_CUT).cast("timestamp_ntz")).drop("ts")
     run2 = ev.drop("ts")
     root = scratch_path(spark, "bookmark_incl")
-    store = BookmarkStore(spark, f"{root}/_bookmarks")
+    store = BookmarkStore(spark, f"{root}/bookmarks")
     kw = dict(keys=["updated_time"], store=store, sink_path=f"{root}/sink", stamp_col="partition_col",
               date_format="%Y-%m-%d", partition_by=["partition_col"], inclusive=True,
               dedup_keys=["customer_id"])

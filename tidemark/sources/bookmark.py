@@ -22,7 +22,11 @@ STATE_SCHEMA = "job string, version long, keys string, value string, committed_a
 
 
 class BookmarkStore:
-    """Versioned bookmark rows under one shared folder."""
+    """Versioned bookmark rows under one shared folder.
+
+    Name the folder without a leading ``_`` or ``.``: Spark's file listing
+    treats such names as hidden.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
