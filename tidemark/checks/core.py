@@ -106,6 +106,25 @@ def join_denormalize(spark, sf):
                                  table(spark, sf, "nation"))
 
 
+@check("join_orders_chain", """
+SELECT o.o_orderkey AS ticket_id, o.o_totalprice AS ticket_price, o.o_orderdate,
+       c.c_custkey AS purchased_by, c.c_name, n.n_name AS location
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def join_orders_chain(spark, sf):
+    # The ticket -> customer -> event chain of the fixtures: orders to two dimensions.
+    from tidemark.plans.joins import join_dimension
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("ticket_id"),
+                                          F.col("o_totalprice").alias("ticket_price"), "o_orderdate",
+                                          F.col("o_custkey").alias("purchased_by"))
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("purchased_by"), "c_name",
+                                               "c_nationkey")
+    nat = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
+                                            F.col("n_name").alias("location"))
+    chain = join_dimension(join_dimension(o, cust, "purchased_by"), nat, "c_nationkey")
+    return chain.drop("c_nationkey")
+
+
 @check("mask_pii", """
 SELECT c_custkey, regexp_replace(c_name, '\\d', '*', 'g') AS phone_masked,
        sha256(c_name) AS email_token
