@@ -435,3 +435,24 @@ def test_pick_passage_modes(spark):
 def test_not_null_violations_lists_only_failing_columns(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
     assert rows(quality.not_null_violations(df, ["k", "v"]), "column_name", "nulls") == [("v", 1)]
+
+
+def test_zoned_bookmark_survives_a_session_time_zone_change(spark):
+    from tidemark.plans.incremental import run_incremental
+    root = scratch_path(spark, "t_tz")
+    store = BookmarkStore(spark, f"{root}/state")
+    src = spark.createDataFrame([(1, "2024-01-01 10:00:00"), (2, "2024-01-01 11:00:00")], "k int, t string") \
+        .select("k", F.to_timestamp("t").alias("ts"))          # zoned (LTZ) timestamps
+    kw = dict(keys=["ts"], store=store, sink_path=f"{root}/sink", stamp_col=None)
+    try:
+        run_incremental(spark, src, "j", **kw)
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")   # east of UTC: a bare mark would move back
+        assert run_incremental(spark, src, "j", **kw).rows == 0       # same instants: nothing new
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_stamp_from_datetime_is_zone_free(spark):
+    at = dt.datetime(2024, 3, 4, 5, 6, 7, 123456)
+    got = spark.range(1).transform(stamps.stamp, "ts", at=at).first()["ts"]
+    assert got == at

@@ -73,7 +73,8 @@ def now_column(at: _dt.datetime | str | None = None) -> Column:
         return F.localtimestamp()
     if isinstance(at, str):
         return F.to_timestamp_ntz(F.lit(at))
-    return F.lit(at.replace(tzinfo=None)).cast("timestamp_ntz")
+    # As text: a datetime literal would be read in the Python process's zone.
+    return F.to_timestamp_ntz(F.lit(at.replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")))
 
 
 def stamp(df: DataFrame, col_name: str, date_format: str | None = None,

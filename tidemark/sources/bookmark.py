@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+MARK_TSZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"   # zoned values carry their offset
 STATE_SCHEMA = "job string, version long, keys string, value string, committed_at timestamp_ntz"
 
 
@@ -118,7 +119,7 @@ def observe_high_water(df: DataFrame, keys: list[str], name: str = "bookmark"):
     hw = F.max(F.struct(*keys))
     # Full microsecond text: the JSON default keeps milliseconds only, which
     # would move the mark back and re-read rows.
-    fmt = {"timestampFormat": MARK_TS_FORMAT, "timestampNTZFormat": MARK_TS_FORMAT}
+    fmt = {"timestampFormat": MARK_TSZ_FORMAT, "timestampNTZFormat": MARK_TS_FORMAT}
     observed = df.observe(obs, F.to_json(hw, fmt).alias("hw"), F.count(F.lit(1)).alias("rows"))
     return observed, obs
 
