@@ -456,3 +456,25 @@ def test_stamp_from_datetime_is_zone_free(spark):
     at = dt.datetime(2024, 3, 4, 5, 6, 7, 123456)
     got = spark.range(1).transform(stamps.stamp, "ts", at=at).first()["ts"]
     assert got == at
+
+
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_partition_overwrites_do_not_depend_on_the_session_mode(spark, session_mode):
+    from tidemark.operators import tables
+    root = scratch_path(spark, "t_owmode")
+    db = f"tm_t_owmode_{session_mode}"
+    tables.create_database(spark, db, root + "/_db")
+    name = f"{db}.t"
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
+    try:
+        part = lambda p, n: spark.range(n).select(F.col("id").alias("k"), F.lit(p).alias("p"))
+        tables.save_evolving(part("a", 3), name, root + "/t", ["p"])
+        tables.save_evolving(part("b", 2), name, root + "/t", ["p"], replace_partitions=True)
+        tables.save_evolving(part("b", 4), name, root + "/t", ["p"], replace_partitions=True)
+        assert rows(spark.table(name).groupBy("p").count(), "p", "count") == [("a", 3), ("b", 4)]
+        tables.truncate_table(spark, name)
+        assert spark.table(name).count() == 0
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == session_mode
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)

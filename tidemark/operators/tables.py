@@ -7,11 +7,32 @@ warehouse folder. Names with ``-`` are normalised to ``_``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SYSTEM_DATABASES = ("global_temp", "information_schema", "sys")
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def overwrite_mode(spark: SparkSession, mode: str):
+    """Partition overwrite mode for one ``insertInto(overwrite=True)``.
+
+    ``insertInto`` ignores the writer's ``partitionOverwriteMode`` option and
+    reads the session setting, so the setting is scoped around the statement.
+    """
+    before = spark.conf.get(OVERWRITE_MODE, None)
+    spark.conf.set(OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(OVERWRITE_MODE)
+        else:
+            spark.conf.set(OVERWRITE_MODE, before)
 
 
 def norm_name(name: str) -> str:
@@ -50,7 +71,8 @@ def truncate_table(spark: SparkSession, name: str) -> None:
         return
     # An empty frame from the schema alone: the table itself is not read.
     empty = spark.createDataFrame([], spark.table(name).schema)
-    (empty.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name))
+    with overwrite_mode(spark, "static"):      # every partition goes
+        empty.write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
 
 
@@ -111,7 +133,8 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
     if parts:
         aligned = aligned.hint("rebalance", *parts)
     if replace_partitions and parts:
-        aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        with overwrite_mode(spark, "dynamic"):  # only the partitions present in the frame
+            aligned.write.insertInto(name, overwrite=True)
     else:
         aligned.write.mode("append").insertInto(name)
 
