@@ -478,3 +478,17 @@ def test_partition_overwrites_do_not_depend_on_the_session_mode(spark, session_m
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == session_mode
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_merge_statement_and_parquet_refusal(spark):
+    sql = upsert.merge_statement("db.t", "v", ["k"], ["k", "v"])
+    assert sql == ("MERGE INTO db.t t USING v s ON t.`k` = s.`k` WHEN MATCHED THEN UPDATE SET t.`v` = s.`v`"
+                   " WHEN NOT MATCHED THEN INSERT (`k`, `v`) VALUES (s.`k`, s.`v`)")
+    from tidemark.operators import tables
+    root = scratch_path(spark, "t_merge")
+    tables.create_database(spark, "tm_t_merge", root + "/_db")
+    tables.save_evolving(spark.range(3).select(F.col("id").alias("k"), F.lit(0).alias("v")),
+                         "tm_t_merge.t", root + "/t")
+    with pytest.raises(Exception):       # plain Parquet has no row-level MERGE
+        upsert.merge_into(spark, "tm_t_merge.t", spark.createDataFrame([(1, 5)], "k long, v int"), ["k"])
+    assert spark.table("tm_t_merge.t").count() == 3

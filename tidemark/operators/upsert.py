@@ -72,6 +72,38 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     return kept.unionByName(staged.select(*target.columns))
 
 
+def merge_statement(target: str, source: str, keys: list[str], columns: list[str]) -> str:
+    """``MERGE INTO`` text: update matched keys, insert the rest (C11 on row-level tables)."""
+    q = lambda c: f"`{c}`"
+    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    sets = ", ".join(f"t.{q(c)} = s.{q(c)}" for c in columns if c not in keys)
+    cols = ", ".join(q(c) for c in columns)
+    vals = ", ".join(f"s.{q(c)}" for c in columns)
+    matched = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
+    return (f"MERGE INTO {target} t USING {source} s ON {on}{matched}"
+            f" WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
+
+
+def merge_into(spark: SparkSession, target: str, batch: DataFrame, keys: list[str]) -> None:
+    """Upsert into a catalog table whose format supports row-level ``MERGE`` (C11).
+
+    The batch must hold one row per key (``latest_per_key(ties="row_number")``):
+    ``MERGE`` refuses several source rows for one target row, where
+    delete-then-insert (``upsert_table``) would keep them all. Plain Parquet
+    tables raise here; use ``upsert_table`` for those.
+    """
+    import uuid
+    view = f"tm_merge_{uuid.uuid4().hex[:8]}"
+    staged = batch
+    for k in keys:
+        staged = staged.filter(F.col(k).isNotNull())
+    staged.createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_statement(target, view, keys, spark.table(target).columns))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def bucket_of(keys: list[str], n_buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
