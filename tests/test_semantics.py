@@ -492,3 +492,13 @@ def test_merge_statement_and_parquet_refusal(spark):
     with pytest.raises(Exception):       # plain Parquet has no row-level MERGE
         upsert.merge_into(spark, "tm_t_merge.t", spark.createDataFrame([(1, 5)], "k long, v int"), ["k"])
     assert spark.table("tm_t_merge.t").count() == 3
+
+
+def test_bookmark_store_keeps_few_versions(spark):
+    import os
+    store = BookmarkStore(spark, scratch_path(spark, "t_bm_many") + "/state")
+    for i in range(25):
+        store.commit("job/a b", ["id"], {"id": str(i)})
+    assert store.get("job/a b") == {"id": "24"} and store.version("job/a b") == 25
+    folder = store._job_dir("job/a b").replace("file:", "")
+    assert len(os.listdir(folder)) <= BookmarkStore.keep * 2    # plus checksum files

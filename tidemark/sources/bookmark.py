@@ -1,9 +1,9 @@
 """Bookmarked incremental reads.
 
 A bookmark is the high-water mark of a tuple of key columns, kept per job
-in a small state table on shared storage. Each commit appends a new
-version row, so a crashed commit leaves the previous version readable and
-a reset is one more version with no value. The read predicate is the
+as small versioned files on shared storage. Each commit adds a new
+version, so a crashed commit leaves the previous version readable and a
+reset is one more version with no value. The read predicate is the
 lexicographic ``(k1, k2, ...) > (v1, v2, ...)``, built from literals so it
 folds and reaches the scan (Parquet row-group skipping, JDBC ``WHERE``).
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,51 +20,80 @@ from pyspark.sql import types as T
 
 MARK_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MARK_TSZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"   # zoned values carry their offset
-STATE_SCHEMA = "job string, version long, keys string, value string, committed_at timestamp_ntz"
+_VERSION_FILE = re.compile(r"v(\d+)\.json")
 
 
 class BookmarkStore:
-    """Versioned bookmark rows under one shared folder.
-
-    Name the folder without a leading ``_`` or ``.``: Spark's file listing
-    treats such names as hidden.
+    """Versioned bookmark state, one small file per commit, on shared storage.
+
+    Each job has a folder holding ``v<version>.json`` files. A commit creates
+    the next version and never overwrites one, so a crash at any point leaves
+    the previous version readable. Only the newest ``keep`` versions stay, so
+    a job that runs every minute for years still lists a handful of files.
+    Reads and writes go through the Hadoop file system of the path; no Spark
+    job is involved.
     """
 
+    keep = 10
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
-        self._seen: dict[str, list] = {}   # last row read per job, dropped on every append
-
-    def _rows(self, job: str):
-        if job in self._seen:
-            return self._seen[job]
-        from tidemark.sinks.files import path_exists
-        if not path_exists(self.spark, self.path):
+        self.path = path.rstrip("/")
+
+    # -- file system helpers (driver side, metadata-sized) --
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _job_dir(self, job: str) -> str:
+        return f"{self.path}/{re.sub(r'[^A-Za-z0-9_.-]', '_', job)}"
+
+    def _versions(self, job: str) -> list[int]:
+        p, fs = self._fs(self._job_dir(job))
+        if not fs.exists(p):
+            return []
+        found = [_VERSION_FILE.fullmatch(st.getPath().getName()) for st in fs.listStatus(p)]
+        return sorted(int(m.group(1)) for m in found if m)
+
+    def _file(self, job: str, version: int) -> str:
+        return f"{self._job_dir(job)}/v{version:012d}.json"
+
+    def _latest(self, job: str) -> dict | None:
+        versions = self._versions(job)
+        if not versions:
             return None
-        df = self.spark.read.schema(STATE_SCHEMA).json(self.path)
-        # One row per commit of this job: the newest is taken, bounded to one row.
-        rows = df.filter(F.col("job") == job).orderBy(F.col("version").desc()).limit(1).collect()
-        self._seen[job] = rows
-        return rows
-
+        p, fs = self._fs(self._file(job, versions[-1]))
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    # -- public --
     def get(self, job: str) -> dict | None:
         """Latest committed value as ``{key: text}``, or None when unset or reset."""
-        rows = self._rows(job)
-        if not rows or rows[0]["value"] is None:
-            return None
-        return json.loads(rows[0]["value"])
+        rec = self._latest(job)
+        return None if rec is None else rec["value"]
 
     def version(self, job: str) -> int:
-        rows = self._rows(job)
-        return int(rows[0]["version"]) if rows else 0
+        versions = self._versions(job)
+        return versions[-1] if versions else 0
 
     def _append(self, job: str, keys: list[str], value: dict | None) -> None:
-        row = (job, self.version(job) + 1, json.dumps(keys),
-               None if value is None else json.dumps(value),
-               _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-        self._seen.pop(job, None)
-        (self.spark.createDataFrame([row], STATE_SCHEMA).coalesce(1)
-             .write.mode("append").json(self.path))
+        version = self.version(job) + 1
+        rec = {"job": job, "version": version, "keys": keys, "value": value,
+               "committed_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()}
+        p, fs = self._fs(self._file(job, version))
+        out = fs.create(p, False)          # never overwrite: a concurrent writer fails here
+        try:
+            out.write(bytearray(json.dumps(rec).encode()))
+        finally:
+            out.close()
+        for old in self._versions(job)[:-self.keep]:
+            q, qfs = self._fs(self._file(job, old))
+            qfs.delete(q, False)
 
     def commit(self, job: str, keys: list[str], value: dict | None) -> None:
         """Advance the bookmark (A5); call only after the sink has returned."""
