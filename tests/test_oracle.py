@@ -14,10 +14,8 @@ def con(sf):
     return duck_connection(sf)
 
 
-def test_every_check_has_an_oracle_or_is_listed_rows_only():
-    rows_only = set(QUERIES) - set(ORACLES)
-    assert rows_only == {"catalog_list_tables", "inspect_schema"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_check_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_runs(spark):
@@ -32,6 +30,6 @@ def test_matches_oracle(spark, sf, con, name):
     assert compare(df, con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_rows_only(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() > 0
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_non_empty(spark, sf, name):
+    assert QUERIES[name](spark, sf).take(1)

@@ -165,15 +165,22 @@ def dml_insert_rows(spark, sf):
     return spark.table(name)
 
 
-@check("catalog_list_tables")
+@check("catalog_list_tables", """
+SELECT * FROM (VALUES ('part', false), ('supplier', false)) t("tableName", "isTemporary")""")
 def catalog_list_tables(spark, sf):
     db, root = fresh_db(spark, "list")
     tables.save_evolving(table(spark, sf, "supplier"), f"{db}.supplier", f"{root}/supplier")
     tables.save_evolving(table(spark, sf, "part"), f"{db}.part", f"{root}/part")
-    return tables.list_tables(spark).filter(F.col("database") == db)
+    # The database name is fresh per run; the tables it lists are the result.
+    return tables.list_tables(spark).filter(F.col("database") == db).select("tableName", "isTemporary")
 
 
-@check("inspect_schema")
+@check("inspect_schema", """
+SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name,
+       CASE lower(data_type) WHEN 'varchar' THEN 'string' WHEN 'timestamp' THEN 'timestamp_ntz'
+                             WHEN 'integer' THEN 'int' ELSE lower(data_type) END AS type,
+       is_nullable = 'YES' AS nullable
+FROM information_schema.columns WHERE table_name = 'events'""")
 def inspect_schema(spark, sf):
     return tables.schema_rows(table(spark, sf, "events"))
 
