@@ -20,8 +20,8 @@ spark.stop()
 
 
 def test_retrieval_runs_where_workers_cannot_import_the_package():
-    with tempfile.TemporaryDirectory() as cwd:
-        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-        out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True,
-                             text=True, timeout=600)
+    cwd = tempfile.mkdtemp(prefix="tidemark-cwd-")    # a fresh empty folder per run, left in place
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True,
+                         text=True, timeout=600)
     assert "HITS 10" in out.stdout, out.stderr[-2000:]
