@@ -502,3 +502,21 @@ def test_bookmark_store_keeps_few_versions(spark):
     assert store.get("job/a b") == {"id": "24"} and store.version("job/a b") == 25
     folder = store._job_dir("job/a b").replace("file:", "")
     assert len(os.listdir(folder)) <= BookmarkStore.keep * 2    # plus checksum files
+
+
+def test_table_selection_wildcards(spark, sf):
+    from tidemark.sources.cdc import events_as_changes, select_tables
+    ch = events_as_changes(spark.read.parquet(f"{sf}/events.parquet"), schema_name="sales", table_name="events")
+    n = ch.count()
+    assert select_tables(ch, [("sales", "%")]).count() == n
+    assert select_tables(ch, [("%", "events")]).count() == n
+    assert select_tables(ch, [("public", "%")]).count() == 0
+    assert select_tables(ch, [("public", "%"), ("sales", "events")]).count() == n
+
+
+def test_history_is_in_load_order_per_key(spark):
+    from tidemark.plans.incremental import history
+    df = spark.createDataFrame([(2, "2024-01-02", "b"), (1, "2024-01-03", "c"), (1, "2024-01-01", "a")],
+                               "k int, load_date string, v string")
+    assert [tuple(r) for r in history(df, "load_date", ["k"]).collect()] == \
+        [(1, "2024-01-01", "a"), (1, "2024-01-03", "c"), (2, "2024-01-02", "b")]
