@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks import check, table
 from tidemark.checks.core import changes
-from tidemark.checks.stateless import _LEFT_SQL, _customer_activity
+from tidemark.checks.stateless import CUSTOMER_ACTIVITY_SQL, customer_activity
 from tidemark.operators import generate, keys, upsert
 from tidemark.operators.cdc import flatten, latest_per_key
 from tidemark.session import scratch_path
@@ -108,12 +108,12 @@ def dml_delete_using(spark, sf):
 
 
 @check("dml_insert_select", f"""
-SELECT * FROM ({_LEFT_SQL}) WHERE event_id IS NOT NULL
+SELECT * FROM ({CUSTOMER_ACTIVITY_SQL}) WHERE event_id IS NOT NULL
 UNION ALL
-SELECT * FROM ({_LEFT_SQL}) WHERE event_id IS NOT NULL""")
+SELECT * FROM ({CUSTOMER_ACTIVITY_SQL}) WHERE event_id IS NOT NULL""")
 def dml_insert_select(spark, sf):
     # Target: customers with activity; source: all customers, the keyless ones skipped.
-    src = _customer_activity(spark, sf)
+    src = customer_activity(spark, sf)
     target = src.filter(F.col("event_id").isNotNull())
     return upsert.insert_select(target, src, ["event_id"])
 

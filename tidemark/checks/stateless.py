@@ -47,26 +47,26 @@ def filter_isin(spark, sf):
     return shape.filter_isin(ev, "event_type", ["signup", "purchase"])
 
 
-def _customer_activity(spark, sf):
+def customer_activity(spark, sf):
     cust = table(spark, sf, "customer").select("c_custkey", "c_name")
     act = enrich.activity(changes(spark, sf)).select(
         F.col("user_id").alias("c_custkey"), "event_id", "event_type")
     return cust.join(act, "c_custkey", "left")
 
 
-_LEFT_SQL = f"""
+CUSTOMER_ACTIVITY_SQL = f"""
 SELECT c.c_custkey, c.c_name, l.event_id, l.event_type
 FROM customer c LEFT OUTER JOIN ({LATEST_SQL}) l ON c.c_custkey = l.user_id"""
 
 
-@check("join_left_outer", _LEFT_SQL)
+@check("join_left_outer", CUSTOMER_ACTIVITY_SQL)
 def join_left_outer(spark, sf):
-    return _customer_activity(spark, sf)
+    return customer_activity(spark, sf)
 
 
-@check("filter_null", f"SELECT c_custkey, c_name FROM ({_LEFT_SQL}) WHERE event_id IS NULL")
+@check("filter_null", f"SELECT c_custkey, c_name FROM ({CUSTOMER_ACTIVITY_SQL}) WHERE event_id IS NULL")
 def filter_null(spark, sf):
-    return shape.filter_null(_customer_activity(spark, sf), "event_id").select("c_custkey", "c_name")
+    return shape.filter_null(customer_activity(spark, sf), "event_id").select("c_custkey", "c_name")
 
 
 @check("filter_not_equal", """
@@ -292,12 +292,12 @@ def dq_primary_key(spark, sf):
 
 
 @check("dq_not_null", f"""
-SELECT 'c_custkey' AS column_name, count(*) FILTER (WHERE c_custkey IS NULL) AS nulls FROM ({_LEFT_SQL})
-UNION ALL SELECT 'c_name', count(*) FILTER (WHERE c_name IS NULL) FROM ({_LEFT_SQL})
-UNION ALL SELECT 'event_id', count(*) FILTER (WHERE event_id IS NULL) FROM ({_LEFT_SQL})
-UNION ALL SELECT 'event_type', count(*) FILTER (WHERE event_type IS NULL) FROM ({_LEFT_SQL})""")
+SELECT 'c_custkey' AS column_name, count(*) FILTER (WHERE c_custkey IS NULL) AS nulls FROM ({CUSTOMER_ACTIVITY_SQL})
+UNION ALL SELECT 'c_name', count(*) FILTER (WHERE c_name IS NULL) FROM ({CUSTOMER_ACTIVITY_SQL})
+UNION ALL SELECT 'event_id', count(*) FILTER (WHERE event_id IS NULL) FROM ({CUSTOMER_ACTIVITY_SQL})
+UNION ALL SELECT 'event_type', count(*) FILTER (WHERE event_type IS NULL) FROM ({CUSTOMER_ACTIVITY_SQL})""")
 def dq_not_null(spark, sf):
-    return quality.null_counts(_customer_activity(spark, sf), ["c_custkey", "c_name", "event_id", "event_type"])
+    return quality.null_counts(customer_activity(spark, sf), ["c_custkey", "c_name", "event_id", "event_type"])
 
 
 @check("dq_foreign_key", """
