@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from tidemark import checks
 from tidemark.checks.compare import compare, duck_connection
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+checks.load_all()
+QUERIES = {name: fn for name, fn in E.queries().items() if name in checks.QUERIES}
+ORACLES = {name: sql for name, sql in E.oracle_sql().items() if name in checks.QUERIES}
 
 
 @pytest.fixture(scope="module")
