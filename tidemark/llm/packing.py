@@ -72,14 +72,14 @@ class Encoder:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
         for word, code in zip(words, self.model.encode_batch([" " + w for w in words], add_special_tokens=False)):
             self.words[word] = None if not word or word[0].isspace() else np.array(code.ids, np.uint32)
 
     def encode(self, text: str) -> np.ndarray:
         first, *rest = text.split(" ")
         known = self.words
+        if len(known) > CACHED_WORDS:
+            known.clear()
         if missing := list({w for w in rest if w not in known}):
             self.learn(missing)
         parts = [known[w] for w in rest]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, lines, mixing, packing, urls
+from tidemark.llm import chat, digest, lines, mixing, ngram_join, packing, quality, spans, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_quality_pu")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", (quality.fold("doc_id") == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op2_source_mix", """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
@@ -73,6 +80,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_sentence_spans")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.dedup_spans(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 @query("op4_line_dedup", f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -115,11 +128,52 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op6_document_digest")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op7_best_fit_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
 
 
+@query("op8_exact_top_k", """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         list_sum(list_transform(list_zip(q.v, v.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q, v WHERE q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+@query("op9_ngram_join", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM g),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
+SELECT d.doc_id, (SELECT min(r.b) FROM r WHERE r.a = d.doc_id) AS class_id,
+       (SELECT count(*) FROM p WHERE p.a = d.doc_id) AS n_links
+FROM documents d
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
 ESCAPED_SQL = "replace(replace(replace({}, '\\', '\\\\'), '</turn>', '<\\/turn>'), '<turn/>', '<\\turn/>')"
 
 
