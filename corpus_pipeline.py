@@ -8,16 +8,35 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, packing
+from tidemark.llm import lines, mixing, ngram_join, packing, quality
 from tidemark.llm.common import materialise
 from tidemark.llm.queries import table, tokenizer_path
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from labels outside the held-out fold."""
+    model = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).filter("predicted = 1").select(docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in the smallest doc_id that holds them."""
-    return _characters(lines.dedup_lines(docs)).select(docs.columns)
+    return lines.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of documents linked by similarity 0.8 of five-word shingles, the smallest doc_id stays.
+
+    Rows that repeat that id are one document: the smallest text stays.
+    """
+    classes = ngram_join.similarity_classes(docs, n=5, threshold=0.8)
+    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("tm_id")).distinct()
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return (docs.join(stay, docs.doc_id.eqNullSafe(stay.tm_id), "left_semi").withColumn("tm_first", first)
+            .filter("tm_first = 1").select(docs.columns))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +49,10 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(docs, tokenizer_path(), capacity=1024, end_id=2)
 
 
-def _characters(docs: DataFrame) -> DataFrame:
-    """``n_chars`` as the text now has them."""
-    from pyspark.sql import functions as F
-
-    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
-
-
 STAGES = [
+    ("quality classifier", quality_classifier),
     ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_join_stage),
     ("source mix", source_mix),
     ("best-fit packing", best_fit_packing),
 ]

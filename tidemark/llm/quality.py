@@ -97,11 +97,11 @@ class Model:
 
 
 def _adam(gradient, size: int, steps: int, rate: float) -> np.ndarray:
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    w, m, v = (np.zeros(size, np.float32) for _ in range(3))
     for t in range(1, steps + 1):
         g = gradient(w)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w = (w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
     return w
 
 
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, id_col: st
     if not (side == 1).any() or not (side == 0).any():
         return None
     mean, scale = x[side == 0].mean(axis=0), x[side == 0].std(axis=0) + 1e-2
-    z = np.clip(np.column_stack([(x - mean) / scale, np.ones(len(x))]), -10, 10).astype(np.float64)
+    z = np.clip(np.column_stack([(x - mean) / scale, np.ones(len(x))]), -10, 10).astype(np.float32)
     order = np.random.default_rng(seed)
     p, u = order.permutation(z[side == 1]), order.permutation(z[side == 0])
     prior = class_prior(p, u)
