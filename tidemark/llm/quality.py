@@ -59,7 +59,10 @@ def features(texts: list[bytes]) -> np.ndarray:
     sizes = np.diff(starts) - 1
     kind = _CLASS[data]
     row = np.repeat(np.arange(len(texts)), sizes + 1)
-    pairs = np.bincount(row[:-1] * 256 + kind[:-1] * 16 + kind[1:], minlength=len(texts) * 256)[:len(texts) * 256]
+    within = np.ones(len(data), bool)                   # not from or to the byte after a text
+    within[starts[1:] - 1] = False
+    within = within[:-1] & within[1:]
+    pairs = np.bincount((row[:-1] * 256 + kind[:-1] * 16 + kind[1:])[within], minlength=len(texts) * 256)
     out[:, :256] = np.sqrt(pairs.reshape(-1, 256) / np.maximum(sizes, 1)[:, None])
     n = np.diff(bounds)
     owner = np.repeat(np.arange(len(texts)), n)
