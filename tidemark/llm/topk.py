@@ -6,15 +6,16 @@ bounded by the block sizes whatever the table. A stated set of queries meets all
 rows, in blocks.
 
 The index of a block has a posting list per dimension, cut into segments of equal
-quantised impact (the size of the component in ``LEVELS`` steps, with its sign),
-in impact order. A query goes over segments of all dimensions by descending
-quantised impact, |its component| times the segment's level, a band of impacts at
-a time. A posting adds its contribution to its row's accumulator. What a row can
-still gain or lose is at most the band's lower end for each of its postings not
-seen yet, so each row has a proven lower and upper bound. A query stops when the
+quantised impact: the size of the component in ``LEVELS`` steps. Segments are
+processed by descending impact, a band of levels at a time: the segments of a band,
+of all dimensions, are laid out as one matrix, and one product adds their
+contributions to the accumulators of all queries of the unit. What a row can still
+gain or lose for a query is at most the largest component of the levels to come,
+times the query's components in the dimensions in which the row's posting was not
+seen yet. So each row has a proven lower and upper bound. A query stops when the
 rows whose upper bound reaches the k-th best lower bound (the possible members,
-ties included) are few enough to score exactly, which costs less than going on;
-nothing outside them can be in the result. Then they are scored exactly.
+ties included) are few; nothing outside them can be in its result. They are then
+scored exactly, in whole numbers.
 
 A window with a group limit merges the units' best rows, at most k per query and
 block of vectors.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise
 
 LEVELS = 16                # quantised impacts of a component
-BANDS = (0.5, 0.25, 0.125, 0.0625, 0.03125)     # of a query's highest impact
+BANDS = (8, 4, 2, 1, 0)    # each band has the levels over this one and up to the one before
 SCORED = 64                # so few possible members are scored without going on
 EXACT = 1 << 22            # components beyond this are scored with Python integers
 
@@ -60,60 +61,48 @@ class Index:
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
-        n, width = rows.shape
-        self.step = max(1, -(-int(np.abs(rows).max(initial=0)) // LEVELS))
-        level = np.sign(rows) * -(-np.abs(rows) // self.step)           # -LEVELS .. LEVELS
-        self.order = np.argsort(level, axis=0, kind="stable").T.copy()  # per dimension: rows by level
-        self.values = np.take_along_axis(rows, self.order.T, axis=0).T.astype(np.float64)
-        marks = np.arange(-LEVELS, LEVELS + 2)
-        self.cuts = np.stack([np.searchsorted(level[self.order[d], d], marks) for d in range(width)]) if width else None
-
-    def possible(self, query: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
-        """Rows outside of which no member of the query's top k can be."""
-        n, width = self.rows.shape
-        weight = np.abs(query)
-        top = int(weight.max(initial=0)) * LEVELS * self.step
-        others = np.flatnonzero(~own)
-        if len(others) <= max(k, SCORED) or not top:
-            return others
-        active = np.count_nonzero(weight)
-        gained, seen = np.zeros(n), np.zeros(n, np.int64)
-        low, high = np.zeros(width, np.int64), np.full(width, n, np.int64)   # what each list has left
-        for band in BANDS:
-            limit = band * top
-            # The segments of a list whose impact is over the limit stand at its two ends.
-            least = np.minimum(LEVELS + 1, np.floor(limit / np.maximum(weight, 1) / self.step).astype(np.int64) + 1)
-            least[weight == 0] = LEVELS + 1
-            to_low = np.maximum(low, self.cuts[np.arange(width), LEVELS + 1 - least])
-            to_high = np.minimum(high, self.cuts[np.arange(width), np.minimum(LEVELS + least, 2 * LEVELS + 1)])
-            rows, gains = [], []
-            for d in np.flatnonzero((to_low > low) | (to_high < high)):
-                for part in (slice(low[d], to_low[d]), slice(max(to_high[d], to_low[d]), high[d])):
-                    if part.stop > part.start:
-                        rows.append(self.order[d, part])
-                        gains.append(self.values[d, part] * query[d])
-            low, high = to_low, np.maximum(to_high, to_low)
-            if rows:
-                at = np.concatenate(rows)
-                gained += np.bincount(at, np.concatenate(gains), minlength=n)
-                seen += np.bincount(at, minlength=n)
-            rest = limit * (active - seen)
-            floor_ = np.partition((gained - rest)[others], len(others) - k)[len(others) - k]
-            members = others[(gained + rest)[others] >= floor_]
-            if len(members) <= SCORED:
-                return members
-        return members
-
-    def best(self, query: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
-        if max(np.abs(query).max(initial=0), np.abs(self.rows).max(initial=0)) > EXACT:
-            at = np.flatnonzero(~own)
-            scores = [sum(int(a) * int(b) for a, b in zip(self.rows[i], query)) for i in at]
-            scores = np.array([min(max(s, 1 - (1 << 63)), (1 << 63) - 1) for s in scores], np.int64)
-        else:
-            at = self.possible(query, own, k)
-            scores = self.rows[at] @ query
-        first = np.lexsort((ids[at], -scores))[:k]
-        return [(int(ids[at[i]]), int(scores[i])) for i in first]
+        step = max(1, -(-int(np.abs(rows).max(initial=0)) // LEVELS))
+        level = -(-np.abs(rows) // step).T
+        self.bands, high = [], LEVELS
+        for low in BANDS:
+            held = (level > low) & (level <= high)
+            self.bands.append((np.where(held, rows.T, 0).astype(np.float64), held.astype(np.float64), low * step))
+            high = low
+
+    def possible(self, queries: np.ndarray, own: np.ndarray, k: int):
+        """(query, rows) for each query: outside of the rows no member of its top k can be.
+
+        ``own[i]`` marks the rows that are not candidates of query i.
+        """
+        n = len(self.rows)
+        left, q = np.arange(len(queries)), queries.astype(np.float64)
+        gained, unseen = np.zeros((len(q), n)), np.abs(q).sum(axis=1)[:, None] - np.zeros((1, n))
+        for values, held, limit in self.bands:
+            gained += q @ values
+            unseen -= np.abs(q) @ held
+            rest = limit * unseen
+            least = np.where(own, -np.inf, gained - rest)
+            kth = np.partition(least, n - k, axis=1)[:, n - k] if n >= k else np.full(len(q), -np.inf)
+            members = (gained + rest >= kth[:, None]) & ~own
+            done = (members.sum(axis=1) <= SCORED) | (limit == 0)
+            yield from ((left[i], np.flatnonzero(members[i])) for i in np.flatnonzero(done))
+            left, q, own, gained, unseen = (x[~done] for x in (left, q, own, gained, unseen))
+            if not len(left):
+                return
+
+    def best(self, queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int):
+        """(query id, id, score) of each query's k best rows."""
+        own = ids[None, :] == query_ids[:, None]
+        small = max(np.abs(queries).max(initial=0), np.abs(self.rows).max(initial=0)) <= EXACT
+        found = self.possible(queries, own, k) if small else ((i, np.flatnonzero(~own[i])) for i in range(len(queries)))
+        for i, at in found:
+            if small:
+                scores = self.rows[at] @ queries[i]
+            else:
+                scores = [sum(int(a) * int(b) for a, b in zip(self.rows[r], queries[i])) for r in at]
+                scores = np.array([min(max(s, 1 - (1 << 63)), (1 << 63) - 1) for s in scores], np.int64)
+            for r in np.lexsort((ids[at], -scores))[:k]:
+                yield int(query_ids[i]), int(ids[at[r]]), int(scores[r])
 
 
 def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
@@ -140,11 +129,9 @@ def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: st
         found: dict[str, list[int]] = {"query_id": [], "vec_id": [], "score": []}
         held = ids[~asks]
         if asks.any() and len(held):
-            index = Index(matrix[~asks])
-            for query_id, query in zip(ids[asks], matrix[asks]):
-                for i, s in index.best(query, held == query_id, held, k):
-                    for name, value in zip(found, (int(query_id), i, s)):
-                        found[name].append(value)
+            for row in Index(matrix[~asks]).best(matrix[asks], ids[asks], held, k):
+                for name, value in zip(found, row):
+                    found[name].append(value)
         return pa.table({name: pa.array(v, pa.int64()) for name, v in found.items()})
 
     local = sides.groupBy("part", "block").applyInArrow(score, "query_id long, vec_id long, score long")
