@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tidemark.checks.compare import compare, duck_connection
+from duck_compare import compare, duck_connection
 from tidemark.llm.queries import ORACLES, QUERIES
 
 

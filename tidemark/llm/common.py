@@ -42,3 +42,16 @@ def without(df: DataFrame, names) -> DataFrame:
 def id_key(name: str):
     """The id as a long that is never null."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
+
+
+def slices(sizes, most: int = 1 << 21):
+    """(start, end) of runs of items whose sizes sum to ``most`` at most (or of one larger item),
+    so that work on arrays over all of a run's bytes has bounded memory."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)

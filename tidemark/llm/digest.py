@@ -52,7 +52,7 @@ from tidemark.llm.common import NULL_ID, id_key, materialise
 WINDOW, VOTES = 64, 16
 USUAL, LEAST = 680, 100                  # thousandths of 6 bits
 BITS, PROBES, PER_FILTER = 2048, 5, 160
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 NEVER = np.int64(1 << 40)
 
 

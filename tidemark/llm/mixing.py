@@ -12,10 +12,11 @@ whole numbers up to one last division.
 copies of each document, and a seeded sample of about ``(t / s - floor)`` of its
 words once more: documents in the order of ``md5(seed:id)`` (then id) until
 the words before a document plus half of it pass the wanted number. The last
-document taken is found in two steps that split any source: words per
-(source, first 4 digits of the hash), a prefix sum over those at most 65,536 rows
-a source, and an exact look at the one bucket in which the sum ends. Nothing is
-ordered or gathered by source as a whole.
+document taken is found by narrowing: words per (source, next two digits of the
+hash), a prefix sum over those at most 256 rows a source, and again within the one
+bucket in which the sum ends, down to a bucket of 1 / 16^6 of the source, whose
+documents are looked at in order. Nothing is ordered or gathered by source as a
+whole.
 
 A word is a run of ``[^\\x20\\x09-\\x0D]``. Texts are read once, for sizes; all
 further steps use the small table of id, source, size and hash.
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
 
+DIGITS = 6                 # of the hash, by which the end of the fractional pass is found
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -88,18 +90,20 @@ def _limits(slim: DataFrame, weights, max_epochs: int, total: int | None) -> Dat
                .withColumn("part", F.col("target") - F.col("whole") * F.col("source_size")))
     sources = materialise(sources, "mix-targets")
 
-    # In which bucket of the hash order does the fractional pass end?
+    # In which bucket of the hash order does the fractional pass end? Two more digits at a time.
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
-    sums = slim.groupBy("source", F.substring("h", 1, 4).alias("bucket")).agg(F.sum("size").alias("words"))
-    before = F.sum("words").over(Window.partitionBy("source").orderBy("bucket")
-                                 .rowsBetween(Window.unboundedPreceding, -1))
-    ends = (sums.withColumn("before", F.coalesce(before, F.lit(0))).alias("a").join(sources.alias("b"), same)
-            .filter("part > 0 and before < part and before + words >= part")
-            .select(F.col("a.source").alias("source"), "bucket", "before", "part"))
-    ends = materialise(ends, "mix-ends")
+    ends = sources.filter("part > 0").select("source", F.lit("").alias("bucket"), F.lit(0).cast("long").alias("before"), "part")
+    for digits in range(2, DIGITS + 1, 2):
+        sums = (slim.alias("a").join(ends.alias("b"), same & (F.substring("a.h", 1, digits - 2) == F.col("b.bucket")))
+                .groupBy(F.col("a.source").alias("source"), F.substring("a.h", 1, digits).alias("bucket"))
+                .agg(F.sum("a.size").alias("words"), F.first("b.before").alias("base"), F.first("b.part").alias("part")))
+        earlier = F.sum("words").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+        ends = materialise(sums.withColumn("before", F.col("base") + F.coalesce(earlier, F.lit(0)))
+                           .filter("before < part and before + words >= part")
+                           .select("source", "bucket", "before", "part"), "mix-ends")
     # The documents of that one bucket, in exact order.
     inside = (slim.groupBy("source", "h", "tm_id").agg(F.sum("size").alias("size"))
-              .alias("a").join(ends.alias("b"), same & (F.substring("a.h", 1, 4) == F.col("b.bucket")))
+              .alias("a").join(ends.alias("b"), same & (F.substring("a.h", 1, DIGITS) == F.col("b.bucket")))
               .select(F.col("a.source").alias("source"), "h", "tm_id", "size", "before", "part"))
     upto = F.sum("size").over(Window.partitionBy("source").orderBy("h", "tm_id")
                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -114,7 +118,7 @@ def _limits(slim: DataFrame, weights, max_epochs: int, total: int | None) -> Dat
 def _with_copies(rows: DataFrame, limits: DataFrame, id_col: str, source_col: str) -> DataFrame:
     """``rows`` (with their place ``tm_h``) plus source_size, target, copies."""
     here = F.struct(F.col("tm_h").alias("h"), F.col(f"`{id_col}`").alias("tm_id"))
-    bucket = F.substring("tm_h", 1, 4)
+    bucket = F.substring("tm_h", 1, DIGITS)
     again = (F.when(F.col("bucket").isNull(), False).when(bucket < F.col("bucket"), True)
              .when(bucket > F.col("bucket"), False).otherwise(F.coalesce(here <= F.col("last"), F.lit(False))))
     return (rows.join(limits, F.col(f"`{source_col}`").eqNullSafe(F.col("tm_source")), "left")

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NULL_ID, id_key, materialise
+from tidemark.llm.common import NULL_ID, id_key, materialise, slices
 
 BLOCK_ROWS, BLOCK_GRAMS = 256, 400_000
 CHUNK = 20_000                   # rows of whole units that are worked on together
@@ -123,14 +123,22 @@ def _pieces(data: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return np.split(data, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
+def _texts(batches):
+    """(first column, texts) of slices of bounded size of (column, text) batches."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        for a, b in slices([len(t) for t in texts]):
+            yield batch.column(0)[a:b], texts[a:b]
+
+
 def _scan(n: int, size: int):
     def run(batches):
-        for batch in batches:
-            words, per, grams, counts = word_grams([t or "" for t in batch.column(1).to_pylist()], n)
+        for ids, texts in _texts(batches):
+            words, per, grams, counts = word_grams(texts, n)
             signed = iter(signatures(grams, counts, size))
             keys = [xxhash.xxh3_128_digest(w.tobytes()) for w in _pieces(words, per)]
             yield pa.RecordBatch.from_pydict({
-                "tm_id": batch.column(0), "key": pa.array(keys, pa.binary()),
+                "tm_id": ids, "key": pa.array(keys, pa.binary()),
                 "grams": pa.array(counts, pa.int64()),
                 "sig": pa.array([next(signed).tobytes() if c else None for c in counts], pa.binary())})
 
@@ -138,12 +146,12 @@ def _scan(n: int, size: int):
 
 
 def _gram_sets(n: int):
-    """(text, wanted key) -> (key, sorted distinct grams) of the rows whose words have that key."""
+    """(wanted key, text) -> (key, sorted distinct grams) of the rows whose words have that key."""
     def run(batches):
-        for batch in batches:
-            words, per, grams, counts = word_grams([t or "" for t in batch.column(0).to_pylist()], n)
+        for wanted, texts in _texts(batches):
+            words, per, grams, counts = word_grams(texts, n)
             keys, sets = [], []
-            for w, g, want in zip(_pieces(words, per), _pieces(grams, counts), batch.column(1).to_pylist()):
+            for w, g, want in zip(_pieces(words, per), _pieces(grams, counts), wanted.to_pylist()):
                 if xxhash.xxh3_128_digest(w.tobytes()) == want:
                     keys.append(want), sets.append(np.unique(g).tobytes())
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "grams": pa.array(sets, pa.binary())})
@@ -308,7 +316,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     unit_fields = "key binary, tree int, block int, crossed boolean, unit long"
     kept = materialise(dealt(units.join(nodes.select("key", "sig"), "key")).mapInArrow(paired, unit_fields), "join-pairs")
     wanted = kept.select("key").distinct().join(nodes, "key").select(F.col("node").alias("tm_id"), F.col("key").alias("want"))
-    sets = materialise(slim.join(wanted, "tm_id").select("text", "want").mapInArrow(_gram_sets(n), "key binary, grams binary")
+    sets = materialise(slim.join(wanted, "tm_id").select("want", "text").mapInArrow(_gram_sets(n), "key binary, grams binary")
                        .dropDuplicates(["key"]), "join-grams")
 
     def verified(batches):

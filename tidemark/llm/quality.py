@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import without
+from tidemark.llm.common import slices, without
 from tidemark.llm.ngram_join import hash_words
 
 _CLASS = np.zeros(256, np.int64)
@@ -52,7 +52,13 @@ N_FEATURES = 256 + 7
 
 
 def features(texts: list[bytes]) -> np.ndarray:
-    """One row of N_FEATURES a text, all texts together."""
+    """One row of N_FEATURES a text."""
+    parts = [_features(texts[a:b]) for a, b in slices([len(t) for t in texts])]
+    return np.concatenate(parts) if parts else np.zeros((0, N_FEATURES), np.float32)
+
+
+def _features(texts: list[bytes]) -> np.ndarray:
+    """All texts together."""
     out = np.zeros((len(texts), N_FEATURES), np.float32)
     words, at, bounds, starts = hash_words(texts)
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)

@@ -27,10 +27,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_key, materialise, without
+from tidemark.llm.common import id_key, materialise, slices, without
 from tidemark.llm.ngram_join import _mix, hash_run, hash_words
 
 _STOP, _SPACE = np.zeros(256, bool), np.zeros(256, bool)
@@ -48,7 +49,7 @@ def sentences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     ends = data == 10
     ends[:-1] |= _STOP[data[:-1]] & _SPACE[data[1:]]
-    before = np.cumsum(ends)                         # line and sentence ends up to a place
+    before = np.cumsum(ends) - ends                  # line and sentence ends before a place
     opens = np.ones(len(at), bool)
     opens[1:] = before[at[1:]] > before[at[:-1]]
     opens[bounds[:-1][bounds[:-1] < len(at)]] = True
@@ -86,10 +87,13 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def emit(batches):
         for batch in batches:
-            at, position, (one, two) = _runs([t or b"" for t in batch.column(2).cast(pa.large_binary()).to_pylist()], span, min_words)
-            yield pa.RecordBatch.from_pydict({
-                "tm_id": batch.column(0).take(pa.array(at)), "tm_hash": batch.column(1).take(pa.array(at)),
-                "position": pa.array(position.astype(np.int32)), "h1": pa.array(one.view(np.int64)), "h2": pa.array(two.view(np.int64))})
+            texts = [t or b"" for t in batch.column(2).cast(pa.large_binary()).to_pylist()]
+            for a, b in slices([len(t) for t in texts]):
+                at, position, (one, two) = _runs(texts[a:b], span, min_words)
+                at = pa.array(at + a)
+                yield pa.RecordBatch.from_pydict({
+                    "tm_id": batch.column(0).take(at), "tm_hash": batch.column(1).take(at),
+                    "position": pa.array(position.astype(np.int32)), "h1": pa.array(one.view(np.int64)), "h2": pa.array(two.view(np.int64))})
 
     runs = keyed.select("tm_id", "tm_hash", text).mapInArrow(emit, "tm_id long, tm_hash long, position int, h1 long, h2 long")
     place = F.struct("tm_id", "tm_hash", "position")
@@ -99,7 +103,8 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = later.groupBy("tm_id", "tm_hash").agg(F.collect_set("position").alias("tm_gone"))
 
     def cut(batches):
-        for batch in batches:
+        for batch in (x.slice(a, b - a) for x in batches for a, b in slices(
+                pc.fill_null(pc.binary_length(x.column(x.schema.get_field_index(text_col))), 0).to_pylist())):
             names = batch.schema.names
             at = names.index(text_col)
             texts = batch.column(at).cast(pa.large_binary()).to_pylist()
