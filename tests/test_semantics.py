@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import prompt, seeded, stamps
 from tidemark.operators import keys, quality, retrieval, upsert
 from tidemark.operators.cdc import cast_keys, latest_per_key
-from tidemark.plans.joins import maybe_broadcast
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, scratch_table
 from tidemark.sources.bookmark import BookmarkStore, after_bookmark, high_water
 from tidemark.sources.cdc import snapshot_diff
 
@@ -81,18 +80,15 @@ def test_update_and_delete_by_key(spark):
 
 
 def test_upsert_table_rewrites_only_touched_buckets(spark):
-    import os
-    path = scratch_path(spark, "t_upsert") + "/t"
+    path = scratch_table("t_upsert")
     base = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
-    upsert.upsert_table(spark, path, base, ["k"], n_buckets=8)
-    local = path.replace("file:", "")
-    before = {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("tm_")}
+    upsert.upsert_table(spark, path, base, ["k"], n_buckets=8, location=scratch_path(spark, path))
+    before = upsert._partition_locations(spark, path)
     batch = spark.createDataFrame([(5, 1)], "k long, v int")
     assert upsert.upsert_table(spark, path, batch, ["k"], n_buckets=8) == 1
     assert upsert.upsert_table(spark, path, batch, ["k"], n_buckets=8) == 1   # replay
-    after = {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("tm_")}
-    changed = [d for d in before if before[d] != after[d]]
-    assert len(changed) == 1
+    after = upsert._partition_locations(spark, path)
+    assert len([d for d in before if before[d] != after[d]]) == 1
     out = upsert.read_table(spark, path)
     assert out.count() == 1000
     assert out.filter("k = 5").first()["v"] == 1
@@ -204,10 +200,16 @@ def test_top_k_matches_brute_force(spark, sf):
     assert rows(got, "query_id", "vec_id", "rank") == sorted(want)
 
 
-def test_top_k_refuses_unbounded_question_set(spark, sf):
-    emb = spark.read.parquet(f"{sf}/embeddings.parquet")
-    with pytest.raises(ValueError):
-        retrieval.top_k(emb, "vec_id", "embedding", emb, "vec_id", "embedding", k=3, limit=10)
+def test_top_k_takes_any_number_of_questions_and_reports_unusable_vectors(spark, sf):
+    emb = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    one = retrieval.top_k(emb, "vec_id", "embedding", emb, "vec_id", "embedding", k=3)
+    many = retrieval.top_k(emb, "vec_id", "embedding", emb, "vec_id", "embedding", k=3, per_scan=40)
+    assert rows(one, "query_id", "vec_id", "rank") == rows(many, "query_id", "vec_id", "rank")
+    odd = spark.createDataFrame([(-1, None), (-2, [1.0, None]), (-3, [1.0])], "vec_id long, embedding array<float>")
+    both = retrieval.top_k(emb.unionByName(odd), "vec_id", "embedding", emb.unionByName(odd.filter("vec_id > -3")), "vec_id", "embedding", k=3)
+    assert rows(both, "query_id", "vec_id", "rank") == rows(one, "query_id", "vec_id", "rank")
+    got = retrieval.unusable_vectors(emb.unionByName(odd), "vec_id", "embedding", 64)
+    assert rows(got, "vec_id", "reason") == [(-3, "length"), (-2, "null component"), (-1, "null")]
 
 
 # --- Q1-Q3 and joins ------------------------------------------------------------------------
@@ -220,12 +222,10 @@ def test_quality_checks(spark):
     assert rows(quality.foreign_key_orphans(df, "k", parent, "k"), "k") == [(2,)]
 
 
-def test_broadcast_only_behind_size_check(spark, sf):
-    nation = spark.read.parquet(f"{sf}/nation.parquet")
-    hinted = maybe_broadcast(nation)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    plain = maybe_broadcast(nation, limit=1)
-    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+def test_joins_carry_no_broadcast_hint(spark, sf):
+    from tidemark.plans import enrich
+    dims = enrich.dimensions(spark.read.parquet(f"{sf}/customer.parquet"), spark.read.parquet(f"{sf}/nation.parquet"))
+    assert "broadcast" not in dims._jdf.queryExecution().analyzed().toString().lower()
 
 
 # --- plans: pushdown and pruning --------------------------------------------------------------
@@ -354,7 +354,7 @@ def test_stream_reads_dimensions_on_every_batch(spark, sf):
         calls.append(1)
         return spark.read.parquet(f"{sf}/customer.parquet"), spark.read.parquet(f"{sf}/nation.parquet")
 
-    fn = cs.upsert_batch_fn(scratch_path(spark, "t_dims") + "/t", dims, n_buckets=2)
+    fn = cs.upsert_batch_fn(scratch_table("t_dims"), dims, n_buckets=2, location=scratch_path(spark, "t_dims"))
     batch = events_as_changes(spark.read.parquet(f"{sf}/events.parquet"))
     fn(batch, 0)
     fn(batch, 1)
@@ -384,9 +384,9 @@ def test_vector_matrix_fast_and_ragged_paths():
 
 
 def test_bucketing_is_stored_and_enforced(spark):
-    path = scratch_path(spark, "t_bucketing") + "/t"
+    path = scratch_table("t_bucketing")
     base = spark.range(0, 100).select(F.col("id").alias("k"), F.lit(0).alias("v"))
-    upsert.upsert_table(spark, path, base, ["k"], n_buckets=8)
+    upsert.upsert_table(spark, path, base, ["k"], n_buckets=8, location=scratch_path(spark, path))
     patch = spark.createDataFrame([(3, 1)], "k long, v int")
     assert upsert.upsert_table(spark, path, patch, ["k"]) == 1        # count taken from the table
     with pytest.raises(ValueError):
@@ -501,7 +501,8 @@ def test_bookmark_store_keeps_few_versions(spark):
         store.commit("job/a b", ["id"], {"id": str(i)})
     assert store.get("job/a b") == {"id": "24"} and store.version("job/a b") == 25
     folder = store._job_dir("job/a b").replace("file:", "")
-    assert len(os.listdir(folder)) <= BookmarkStore.keep * 2    # plus checksum files
+    assert len(os.listdir(folder)) <= store.keep * 2    # plus checksum files
+    assert BookmarkStore(spark, scratch_path(spark, "t_bm_all"), keep=None).keep is None
 
 
 def test_table_selection_wildcards(spark, sf):
@@ -520,3 +521,114 @@ def test_history_is_in_load_order_per_key(spark):
                                "k int, load_date string, v string")
     assert [tuple(r) for r in history(df, "load_date", ["k"]).collect()] == \
         [(1, "2024-01-01", "a"), (1, "2024-01-03", "c"), (2, "2024-01-02", "b")]
+
+
+# --- replays, odd input ---------------------------------------------------------------
+
+def _orders_table(spark, name, n=200):
+    target = scratch_table(name)
+    base = spark.range(0, n).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    upsert.upsert_table(spark, target, base, ["k"], n_buckets=4, location=scratch_path(spark, target))
+    return target
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_upsert_crash_at_any_step_and_replay(spark, monkeypatch, step):
+    target = _orders_table(spark, f"t_crash{step}")
+    batch = spark.range(150, 260).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    calls = {"n": 0}
+
+    def failing(fn):
+        def run(*a, **k):
+            if calls["n"] == step:
+                calls["n"] += 1
+                raise RuntimeError("crash")
+            calls["n"] += 1
+            return fn(*a, **k)
+        return run
+
+    # The steps after staging: the listing, then one switch per bucket, then the deletions.
+    monkeypatch.setattr(upsert, "_partition_locations", failing(upsert._partition_locations))
+    monkeypatch.setattr(upsert, "_point", failing(upsert._point))
+    monkeypatch.setattr(upsert, "delete_path", failing(upsert.delete_path))
+    with pytest.raises(RuntimeError):
+        upsert.upsert_table(spark, target, batch, ["k"])
+    assert upsert.read_table(spark, target).filter("k < 150 and v = 0").count() == 150    # no row is ever missing
+    upsert.upsert_table(spark, target, batch, ["k"])
+    got = {r.k: r.v for r in upsert.read_table(spark, target).collect()}
+    assert got == {k: int(k >= 150) for k in range(260)} and upsert.read_table(spark, target).count() == 260
+
+
+def test_upsert_first_batch_empty_unknown_columns_and_null_guard(spark):
+    target = scratch_table("t_first")
+    empty = spark.createDataFrame([], "k long, v int, t int")
+    assert upsert.upsert_table(spark, target, empty, ["k"], n_buckets=4, location=scratch_path(spark, target)) == 0
+    assert upsert.read_table(spark, target).collect() == []
+    upsert.upsert_table(spark, target, spark.createDataFrame([(1, 1, 5), (None, 2, 5)], empty.schema), ["k"])
+    with pytest.raises(ValueError, match="extra"):
+        upsert.upsert_table(spark, target, spark.createDataFrame([(1, 1, 5, 0)], "k long, v int, t int, extra int"), ["k"])
+    upsert.upsert_table(spark, target, spark.createDataFrame([(1, 9, None)], empty.schema), ["k"], guard_col="t")
+    assert rows(upsert.read_table(spark, target), "k", "v") == [(1, 9)]
+
+
+def test_small_upsert_does_not_shuffle_kept_rows(spark):
+    target = _orders_table(spark, "t_plan", 5000)
+    path = scratch_path(spark, "t_staged")
+    spark.createDataFrame([(3, 1, 0)], "k long, v int, tm_bucket int").write.parquet(path)
+    staged = spark.read.parquet(path)
+    plan = upsert.upsert(spark.table(target), staged, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert plan.count("Exchange hashpartitioning") == 1         # of the staged keys, for their distinct set
+
+
+def test_update_refuses_two_patch_rows_for_a_key(spark):
+    patch = spark.createDataFrame([(1, "A"), (1, "B")], "k int, v string")
+    with pytest.raises(Exception, match="several rows"):
+        upsert.update_by_key(_target(spark), patch, ["k"]).collect()
+
+
+def test_parent_keys_refuse_a_shared_natural_key(spark):
+    parents = spark.createDataFrame([("a",), ("a",), ("b",)], "name string")
+    kids = spark.createDataFrame([("b", 1), ("zz", 2), (None, 3)], "name string, n int")
+    with pytest.raises(Exception, match="several parents"):
+        keys.parent_child_keys(parents, "name", spark.createDataFrame([("a", 1)], "name string, n int"), "name").children.collect()
+    got = keys.parent_child_keys(parents.distinct(), "name", kids, "name")
+    assert rows(got.children, "n") == [(1,)] and rows(got.orphans, "n") == [(2,), (3,)]
+
+
+def test_seeded_mix_of_large_keys(spark):
+    big = spark.createDataFrame([(9_000_000_000_000_000_000,), (-5,)], "k long")
+    got = [r[0] for r in big.select(seeded.mix("k")).collect()]
+    assert got == [((k % 2147483648) * 1103515245 + 12345) % 2147483648 for k in (9_000_000_000_000_000_000, -5)]
+
+
+def test_snapshot_diff_is_one_join(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    plan = snapshot_diff(old, old, ["k"], F.lit(0))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and "Union" not in plan
+
+
+def test_wanted_operations_reach_the_scan(spark, sf):
+    from tidemark.sources.cdc import events_as_changes
+    df = events_as_changes(spark.read.parquet(f"{sf}/events.parquet"), ops=("insert", "update"))
+    assert "In(event_type" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_constant_partition_columns_need_no_shuffle(spark):
+    from tidemark.sinks.files import clustered
+    df = spark.range(10).withColumn("day", F.lit("x"))
+    assert "REBALANCE" not in clustered(df, ["day"], ["day"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in clustered(df, ["id", "day"], ["day"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_launcher_settings_are_kept():
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r)\nfrom tidemark.session import build_session\ns = build_session('local[1]')\n"
+            "print('GOT', s.conf.get('spark.sql.session.timeZone'), s.conf.get('spark.sql.sources.partitionOverwriteMode'),"
+            " s.conf.get('spark.sql.adaptive.enabled'))") % repo
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--conf spark.sql.session.timeZone=Asia/Tokyo --conf spark.sql.sources.partitionOverwriteMode=static pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "GOT Asia/Tokyo static true" in out.stdout, out.stderr[-1500:]

@@ -5,17 +5,17 @@ from pyspark.sql import functions as F
 
 from tidemark.checks import table
 from tidemark.operators.upsert import read_table
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, scratch_table
 from tidemark.sources.cdc import events_as_changes
 from tidemark.streaming import cdc_stream as cs
 
 
 def test_failed_batch_is_not_committed_and_is_replayed(spark, sf):
     root = scratch_path(spark, "t_stream_fail")
-    landing, target, ckpt = f"{root}/landing", f"{root}/target", f"{root}/_ckpt"
+    landing, target, ckpt = f"{root}/landing", scratch_table("t_fail"), f"{root}/_ckpt"
     cs.write_change_files(events_as_changes(table(spark, sf, "events")), landing)
     dims = lambda: (table(spark, sf, "customer"), table(spark, sf, "nation"))
-    good = cs.upsert_batch_fn(target, dims, n_buckets=4)
+    good = cs.upsert_batch_fn(target, dims, n_buckets=4, location=f"{root}/target")
 
     def failing(batch, batch_id):
         raise RuntimeError("sink down")
@@ -35,9 +35,9 @@ def test_failed_batch_is_not_committed_and_is_replayed(spark, sf):
 
 def test_replayed_batch_gives_the_same_table(spark, sf):
     root = scratch_path(spark, "t_stream_replay")
-    target = f"{root}/target"
+    target = scratch_table("t_replay")
     dims = lambda: (table(spark, sf, "customer"), table(spark, sf, "nation"))
-    fn = cs.upsert_batch_fn(target, dims, n_buckets=4)
+    fn = cs.upsert_batch_fn(target, dims, n_buckets=4, location=f"{root}/target")
     batch = events_as_changes(table(spark, sf, "events"))
     fn(batch, 0)
     first = sorted(read_table(spark, target).collect())
@@ -51,13 +51,13 @@ def test_guarded_stream_keeps_newer_rows(spark, sf):
     dims = lambda: (table(spark, sf, "customer"), table(spark, sf, "nation"))
     ch = events_as_changes(table(spark, sf, "events"))
     late = F.col("data.created_at") < F.lit("2024-01-16").cast("timestamp_ntz")
-    plain, guarded = f"{root}/plain", f"{root}/guarded"
+    plain, guarded = scratch_table("t_plain"), scratch_table("t_guarded")
     for path, guard in ((plain, None), (guarded, "updated_at")):
-        fn = cs.upsert_batch_fn(path, dims, n_buckets=4, guard_col=guard)
+        fn = cs.upsert_batch_fn(path, dims, n_buckets=4, guard_col=guard, location=f"{root}/{path}")
         fn(ch.filter(~late), 0)
         fn(ch.filter(late), 1)
-    in_order = f"{root}/in_order"
-    fn = cs.upsert_batch_fn(in_order, dims, n_buckets=4)
+    in_order = scratch_table("t_in_order")
+    fn = cs.upsert_batch_fn(in_order, dims, n_buckets=4, location=f"{root}/in_order")
     fn(ch.filter(late), 0)
     fn(ch.filter(~late), 1)
     want = sorted(read_table(spark, in_order).collect())

@@ -38,4 +38,4 @@ def load_all() -> None:
         importlib.import_module(f"tidemark.checks.{mod}")
 
 
-CHECK_MODULES = ["core", "stateless", "generate", "files", "bookmarks", "changes", "streams", "retrieval"]
+CHECK_MODULES = ["core", "stateless", "generate", "files", "bookmarks", "changes", "streams", "retrieval", "robust"]

@@ -9,7 +9,7 @@ from tidemark.checks.core import changes
 from tidemark.checks.stateless import CUSTOMER_ACTIVITY_SQL, customer_activity
 from tidemark.operators import generate, keys, upsert
 from tidemark.operators.cdc import flatten, latest_per_key
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, scratch_table
 from tidemark.sources.cdc import encode_changes, select_tables, snapshot_diff
 
 ORDER_CUT = "1998-01-01"
@@ -49,7 +49,7 @@ FROM seats JOIN p ON seats.s_name = p.s_name""")
 def keys_parent_child(spark, sf):
     sup = table(spark, sf, "supplier")
     seats = generate.seat_list(sup, "s_name").withColumnRenamed("event_id", "s_name")
-    _, kids = keys.parent_child_keys(sup.select("s_name"), "s_name",
+    _, kids, _ = keys.parent_child_keys(sup.select("s_name"), "s_name",
                                      seats.select("s_name", "seat_level", "seat_index"), "s_name",
                                      parent_key="event_key", child_order=["seat_index"],
                                      child_key="ticket_key")
@@ -144,14 +144,14 @@ SELECT * FROM ({_BATCH_SQL})""")
 def upsert_apply(spark, sf):
     # Target: orders before the cut, in 16 key-hash buckets. Batch: new orders
     # after the cut plus re-priced pending ones. Applied twice: replay is a no-op.
-    path = scratch_path(spark, "upsert") + "/orders"
+    target = scratch_table("upsert_orders")
     o = table(spark, sf, "orders")
-    upsert.upsert_table(spark, path, o.filter(F.col("o_orderdate") < F.lit(ORDER_CUT).cast("timestamp_ntz")),
-                        ["o_orderkey"], n_buckets=16)
+    upsert.upsert_table(spark, target, o.filter(F.col("o_orderdate") < F.lit(ORDER_CUT).cast("timestamp_ntz")),
+                        ["o_orderkey"], n_buckets=16, location=scratch_path(spark, target))
     batch = _upsert_batch(spark, sf)
-    upsert.upsert_table(spark, path, batch, ["o_orderkey"], n_buckets=16)
-    upsert.upsert_table(spark, path, batch, ["o_orderkey"], n_buckets=16)
-    return upsert.read_table(spark, path)
+    upsert.upsert_table(spark, target, batch, ["o_orderkey"], n_buckets=16)
+    upsert.upsert_table(spark, target, batch, ["o_orderkey"], n_buckets=16)
+    return upsert.read_table(spark, target)
 
 
 @check("upsert_composite_key", """
@@ -164,10 +164,11 @@ def upsert_composite_key(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
     cut = F.lit(DAY_CUT).cast("timestamp_ntz")
     k = ["user_id", "event_type"]
-    path = scratch_path(spark, "upsert_ck") + "/latest"
-    upsert.upsert_table(spark, path, latest_per_key(ev.filter(F.col("ts") < cut), k, "ts"), k, n_buckets=8)
-    upsert.upsert_table(spark, path, latest_per_key(ev.filter(F.col("ts") >= cut), k, "ts"), k, n_buckets=8)
-    return upsert.read_table(spark, path)
+    target = scratch_table("upsert_latest")
+    upsert.upsert_table(spark, target, latest_per_key(ev.filter(F.col("ts") < cut), k, "ts"), k, n_buckets=8,
+                        location=scratch_path(spark, target))
+    upsert.upsert_table(spark, target, latest_per_key(ev.filter(F.col("ts") >= cut), k, "ts"), k, n_buckets=8)
+    return upsert.read_table(spark, target)
 
 
 # --- change-feed selection and snapshot diff ---------------------------------------
@@ -233,8 +234,45 @@ def upsert_guarded_late(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
     cut = F.lit(DAY_CUT).cast("timestamp_ntz")
     k = ["user_id", "event_type"]
-    path = scratch_path(spark, "upsert_guard") + "/latest"
-    upsert.upsert_table(spark, path, latest_per_key(ev, k, "ts"), k, n_buckets=8)
+    target = scratch_table("upsert_guarded")
+    upsert.upsert_table(spark, target, latest_per_key(ev, k, "ts"), k, n_buckets=8,
+                        location=scratch_path(spark, target))
     late = latest_per_key(ev.filter(F.col("ts") < cut), k, "ts")
-    upsert.upsert_table(spark, path, late, k, guard_col="ts")
-    return upsert.read_table(spark, path)
+    upsert.upsert_table(spark, target, late, k, guard_col="ts")
+    return upsert.read_table(spark, target)
+
+
+@check("upsert_null_keys_first_write", "SELECT user_id, event_id, event_type FROM events WHERE event_type <> 'click'")
+def upsert_null_keys_first_write(spark, sf):
+    # The first write goes the way of any other: rows whose key is null are skipped.
+    ev = table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    first = ev.withColumn("event_id", F.when(F.col("event_type") != "click", F.col("event_id")))
+    target = scratch_table("upsert_nulls")
+    upsert.upsert_table(spark, target, first, ["event_id"], n_buckets=8, location=scratch_path(spark, target))
+    upsert.upsert_table(spark, target, first.filter("event_id is null"), ["event_id"])
+    return upsert.read_table(spark, target)
+
+
+@check("upsert_mixed_key_types", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'text key' WHEN o_orderkey % 7 = 1 THEN 'int key'
+       ELSE o_orderpriority END AS o_orderpriority FROM orders""")
+def upsert_mixed_key_types(spark, sf):
+    # A bigint-keyed table, then batches whose key comes as int and as text.
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint"), "o_orderpriority")
+    target = scratch_table("upsert_types")
+    upsert.upsert_table(spark, target, o, ["o_orderkey"], n_buckets=8, location=scratch_path(spark, target))
+    for rest, kind, value in ((0, "string", "text key"), (1, "int", "int key")):
+        batch = o.filter(F.col("o_orderkey") % 7 == rest).select(F.col("o_orderkey").cast(kind), F.lit(value).alias("o_orderpriority"))
+        upsert.upsert_table(spark, target, batch, ["o_orderkey"])
+    return upsert.read_table(spark, target)
+
+
+@check("dml_update_touch_time", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'held' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2024-02-01' ELSE o_orderdate END AS updated_time
+FROM orders""")
+def dml_update_touch_time(spark, sf):
+    # The keyed update also sets the time on which the next bookmarked load depends.
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("updated_time"))
+    patch = o.filter("o_orderkey % 5 = 0").select("o_orderkey", F.lit("held").alias("o_orderstatus"))
+    return upsert.update_by_key(o, patch, ["o_orderkey"], touch={"updated_time": F.lit("2024-02-01").cast("timestamp_ntz")})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.checks import check, table
-from tidemark.operators.cdc import flatten, keep_operations, latest_per_key
+from tidemark.operators.cdc import DEFAULT_OPS, flatten, keep_operations, latest_per_key
 from tidemark.plans import enrich
 from tidemark.sources.cdc import events_as_changes
 
@@ -44,8 +44,8 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
 
-def changes(spark, sf):
-    return events_as_changes(table(spark, sf, "events"))
+def changes(spark, sf, ops=None):
+    return events_as_changes(table(spark, sf, "events"), ops=ops)
 
 
 @check("cdc_flatten", f"SELECT * FROM ({CHANGES_SQL})")
@@ -65,7 +65,7 @@ def cdc_filter_ops(spark, sf):
 
 @check("cdc_latest_per_key", f"SELECT * EXCLUDE (rnk) FROM ({LATEST_SQL})")
 def cdc_latest_per_key(spark, sf):
-    return enrich.activity(changes(spark, sf))
+    return enrich.activity(changes(spark, sf, DEFAULT_OPS))
 
 
 @check("cdc_latest_per_day", """
@@ -102,7 +102,7 @@ def join_inner_dims(spark, sf):
 
 @check("join_denormalize", WIDE_SQL)
 def join_denormalize(spark, sf):
-    return enrich.enrich_changes(changes(spark, sf), table(spark, sf, "customer"),
+    return enrich.enrich_changes(changes(spark, sf, DEFAULT_OPS), table(spark, sf, "customer"),
                                  table(spark, sf, "nation"))
 
 
@@ -113,7 +113,6 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def join_orders_chain(spark, sf):
     # The ticket -> customer -> event chain of the fixtures: orders to two dimensions.
-    from tidemark.plans.joins import join_dimension
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("ticket_id"),
                                           F.col("o_totalprice").alias("ticket_price"), "o_orderdate",
                                           F.col("o_custkey").alias("purchased_by"))
@@ -121,7 +120,7 @@ def join_orders_chain(spark, sf):
                                                "c_nationkey")
     nat = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                             F.col("n_name").alias("location"))
-    chain = join_dimension(join_dimension(o, cust, "purchased_by"), nat, "c_nationkey")
+    chain = o.join(cust, "purchased_by").join(nat, "c_nationkey")
     return chain.drop("c_nationkey")
 
 

@@ -12,7 +12,7 @@ from tidemark.functions import jsonfns, prompt, stamps
 from tidemark.functions.seeded import randint
 from tidemark.operators import quality, shape
 from tidemark.plans import enrich
-from tidemark.plans.joins import anti_join, join_dimension
+from tidemark.plans.joins import anti_join
 
 FIXED_NOW = "2024-02-01 10:11:12"
 
@@ -195,7 +195,7 @@ def _order_info(spark, sf):
              .withColumnRenamed("l_orderkey", "o_orderkey"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    j = join_dimension(o, cust, "o_custkey").join(lines, "o_orderkey")
+    j = o.join(cust, "o_custkey").join(lines, "o_orderkey")
     return j.select("o_orderkey", jsonfns.to_json_struct(
         customer="c_name", items=F.struct(F.col("o_orderpriority").alias("product"), F.col("n").alias("qty"))
     ).alias("info"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.checks import check, table
 from tidemark.checks.core import CHANGES_SQL, changes
 from tidemark.operators.cdc import flatten
-from tidemark.session import scratch_path
+from tidemark.operators.upsert import read_table
+from tidemark.session import scratch_path, scratch_table
 from tidemark.sources.files import read_parquet
 from tidemark.streaming import cdc_stream as cs
 
@@ -84,14 +85,13 @@ def stream_restart(spark, sf):
 @check("stream_cdc_upsert", _wide_sql())
 def stream_cdc_upsert(spark, sf):
     root = scratch_path(spark, "stream_upsert")
-    landing, target, ckpt = f"{root}/landing", f"{root}/sport_event_activity", f"{root}/_ckpt"
-    fn = cs.upsert_batch_fn(target, _dims(spark, sf), n_buckets=16)
+    landing, target, ckpt = f"{root}/landing", scratch_table("activity"), f"{root}/_ckpt"
+    fn = cs.upsert_batch_fn(target, _dims(spark, sf), n_buckets=16, location=f"{root}/target")
     first, second = _drops(spark, sf)
     cs.write_change_files(first, landing)
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
     cs.write_change_files(second, landing)
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
-    from tidemark.operators.upsert import read_table
     return read_table(spark, target)
 
 
@@ -101,8 +101,8 @@ def stream_cdc_upsert(spark, sf):
 def stream_static_join(spark, sf):
     # Rows each micro-batch produced from its join with the static dimensions.
     root = scratch_path(spark, "stream_join")
-    landing, target, audit, ckpt = (f"{root}/landing", f"{root}/target", f"{root}/audit", f"{root}/_ckpt")
-    fn = cs.upsert_batch_fn(target, _dims(spark, sf), n_buckets=16, audit_path=audit)
+    landing, target, audit, ckpt = (f"{root}/landing", scratch_table("activity"), f"{root}/audit", f"{root}/_ckpt")
+    fn = cs.upsert_batch_fn(target, _dims(spark, sf), n_buckets=16, audit_path=audit, location=f"{root}/target")
     first, second = _drops(spark, sf)
     cs.write_change_files(first, landing)
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
@@ -115,12 +115,11 @@ def stream_static_join(spark, sf):
 def stream_empty_batch(spark, sf):
     # A restart with nothing new, and an explicitly empty batch, leave the table as it was.
     root = scratch_path(spark, "stream_empty")
-    landing, target, ckpt = f"{root}/landing", f"{root}/target", f"{root}/_ckpt"
-    fn = cs.upsert_batch_fn(target, _dims(spark, sf), n_buckets=16)
+    landing, target, ckpt = f"{root}/landing", scratch_table("activity"), f"{root}/_ckpt"
+    fn = cs.upsert_batch_fn(target, _dims(spark, sf), n_buckets=16, location=f"{root}/target")
     first, _ = _drops(spark, sf)
     cs.write_change_files(first, landing)
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
     fn(first.limit(0), 99)
-    from tidemark.operators.upsert import read_table
     return read_table(spark, target)

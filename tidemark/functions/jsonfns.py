@@ -26,8 +26,8 @@ def json_field(c, path: str, dtype: str) -> Column:
 
 
 def to_json_struct(**fields) -> Column:
-    """Serialise named columns as one JSON object per row (X11)."""
-    return F.to_json(F.struct(*[_col(v).alias(k) for k, v in fields.items()]))
+    """Serialise named columns as one JSON object per row, null fields included (X11)."""
+    return F.to_json(F.struct(*[_col(v).alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
 
 
 def explode_results(df: DataFrame, body_col: str, schema: T.StructType = RETRIEVAL_SCHEMA,

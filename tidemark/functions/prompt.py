@@ -11,8 +11,7 @@ _SLOT = re.compile(r"\{(\w+)\}")
 
 # The question/passage prompt, the chat wrapper around it and
 # the request settings, as the retrieval example states them.
-PASSAGE_TEMPLATE = ("{question} using following \n            <text>\n            {passage}\n"
-                    "            <text>\n            ")
+PASSAGE_TEMPLATE = "{question} using following \n            <text>\n            {passage}\n            <text>\n            "
 CHAT_WRAPPER = "\n\nHuman: {prompt}\"\n\nAssistant:"
 MAX_TOKENS = 300
 TEMPERATURE = 0.1
@@ -47,4 +46,4 @@ def request_body(prompt, max_tokens: int = MAX_TOKENS, temperature: float = TEMP
         F.lit(int(max_tokens)).alias("max_tokens_to_sample"),
         F.lit(float(temperature)).alias("temperature"),
         F.lit(float(top_p)).alias("top_p"),
-    ))
+    ), {"ignoreNullFields": "false"})

@@ -18,9 +18,9 @@ MIX_MOD = 2147483648
 
 
 def mix(key, seed: int = 0) -> Column:
-    """Integer hash in [0, 2^31) of an integer key; key must stay below 2^32."""
+    """Integer hash in [0, 2^31) of any integer key; the key is reduced before it is multiplied."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(MIX_MULT) + F.lit(MIX_ADD + seed), F.lit(MIX_MOD))
+    return F.pmod(F.pmod(k.cast("long"), F.lit(MIX_MOD)) * F.lit(MIX_MULT) + F.lit(MIX_ADD + seed), F.lit(MIX_MOD))
 
 
 def choice(options: list, key, seed: int = 0) -> Column:

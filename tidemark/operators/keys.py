@@ -16,6 +16,8 @@ range exchange for both passes; use it only for a plain deterministic scan.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,19 +66,29 @@ def _base(start, after, after_col) -> int:
     return 0
 
 
+class Keyed(NamedTuple):
+    parents: DataFrame
+    children: DataFrame
+    orphans: DataFrame
+
+
 def parent_child_keys(parents: DataFrame, parent_natural: str, children: DataFrame,
                       child_fk: str, parent_key: str = "parent_id", child_order: list[str] = (),
-                      child_key: str = "child_id", start: int = 1) -> tuple[DataFrame, DataFrame]:
+                      child_key: str = "child_id", start: int = 1) -> Keyed:
     """Keys for parents, then children carrying their parent's new key.
 
     The children are joined to the numbered parents on the natural key (one
-    equi-join, no per-row lookups), then numbered themselves.
+    equi-join, no per-row lookups), then numbered themselves. A natural key that
+    several parents share fails the job, as it cannot name one; children without a
+    parent come back as ``orphans``, with their own columns.
     """
     p = assign_keys(parents, [parent_natural], parent_key, start=start)
-    link = p.select(F.col(parent_natural).alias(child_fk), parent_key)
-    c = children.join(link, child_fk)
-    c = assign_keys(c, [parent_key, *child_order], child_key, start=start)
-    return p, c
+    one = (p.groupBy(F.col(parent_natural).alias(child_fk)).agg(F.count(F.lit(1)).alias("_n"), F.min(parent_key).alias("_key"))
+           .filter(F.col(child_fk).isNotNull()))
+    key = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"several parents share a {parent_natural}")).cast("long")).otherwise(F.col("_key"))
+    link = one.select(child_fk, key.alias(parent_key))
+    c = assign_keys(children.join(link, child_fk), [parent_key, *child_order], child_key, start=start)
+    return Keyed(p, c, children.join(one.select(child_fk), child_fk, "left_anti"))
 
 
 def sequences(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Similarity top-k over an embedding table (T4) and the retrieval response.
 
-The question set is small and its size is checked before it is broadcast
-(as a numpy matrix). Each corpus partition scores its rows against all
+Questions are worked on in blocks of bounded size; each block is broadcast (as
+a numpy matrix) for one scan of the corpus. Each corpus partition scores its rows against all
 questions with matrix products inside ``mapInArrow`` and emits only its
 local candidates, so what crosses the shuffle is at most
 ``partitions x questions x k`` rows, whatever the corpus size. The exact
@@ -11,13 +11,15 @@ global order (score rounded to 6 places, then id) is decided by a
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_QUESTIONS = 4096          # broadcast bound: questions x dims x 8 bytes
+QUESTIONS_PER_SCAN = 4096     # broadcast bound: questions x dims x 8 bytes
 QUESTION_BLOCK = 256          # questions scored together against one Arrow batch
 SCORE_DIGITS = 6
 _MARGIN = 10.0 ** -SCORE_DIGITS   # keep near-ties so rounding cannot change the winners
@@ -70,26 +72,53 @@ def _kernels():
 _normalise, _matrix = _kernels()
 
 
-def question_matrix(questions: DataFrame, id_col: str, vec_col: str,
-                    limit: int = MAX_QUESTIONS) -> tuple[np.ndarray, np.ndarray]:
-    """Collect the question vectors after proving there are at most ``limit``."""
-    head = questions.select(id_col, vec_col).limit(limit + 1).collect()
-    if len(head) > limit:
-        raise ValueError(f"more than {limit} questions: run them in batches of at most {limit}")
+def usable(vec_col: str, dims: int | None = None):
+    """Whether a vector can be scored: not null, no null component, ``dims`` long if given."""
+    ok = F.col(vec_col).isNotNull() & F.coalesce(F.forall(vec_col, lambda x: x.isNotNull()), F.lit(False))
+    return ok & (F.size(vec_col) == dims) if dims is not None else ok
+
+
+def unusable_vectors(df: DataFrame, id_col: str, vec_col: str, dims: int) -> DataFrame:
+    """The rows that ``top_k`` leaves out, with the reason."""
+    reason = F.when(F.col(vec_col).isNull(), "null").when(~usable(vec_col), "null component").otherwise("length")
+    return df.filter(~usable(vec_col, dims)).select(id_col, reason.alias("reason"))
+
+
+def question_matrix(questions: DataFrame, id_col: str, vec_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and vectors of one block of questions."""
+    head = questions.select(id_col, vec_col).collect()
     ids = np.array([r[0] for r in head], dtype=np.int64)
     vecs = np.array([np.asarray(r[1], dtype=np.float64) for r in head], dtype=np.float64)
     return ids, vecs
 
 
 def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_id_col: str,
-          q_vec_col: str, k: int = 10, limit: int = MAX_QUESTIONS) -> DataFrame:
+          q_vec_col: str, k: int = 10, per_scan: int = QUESTIONS_PER_SCAN) -> DataFrame:
     """``(query_id, vec_id, score, rank)`` for the ``k`` most similar vectors per question.
 
     Score is cosine similarity in double precision, rounded to 6 places;
-    ties are broken by the smaller ``vec_id``.
+    ties are broken by the smaller ``vec_id``. Any number of questions: they are
+    dealt by hash into blocks of about ``per_scan``, one scan of the corpus each.
+    Vectors that are null, hold a null or have another length than the questions
+    (that of the first) are left out; ``unusable_vectors`` lists them.
     """
     spark = corpus.sparkSession
-    q_ids, q_vecs = question_matrix(questions, q_id_col, q_vec_col, limit)
+    questions = questions.filter(usable(q_vec_col))
+    first = questions.select(F.size(q_vec_col)).first()
+    if first is None:
+        return spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    questions = questions.filter(usable(q_vec_col, first[0]))
+    corpus = corpus.filter(usable(vec_col, first[0]))
+    blocks = -(-questions.count() // per_scan)
+    block = F.pmod(F.xxhash64(q_id_col), F.lit(blocks))
+    found = [_top_k_block(corpus, id_col, vec_col, questions.filter(block == b), q_id_col, q_vec_col, k) for b in range(blocks)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _top_k_block(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_id_col: str,
+                 q_vec_col: str, k: int) -> DataFrame:
+    spark = corpus.sparkSession
+    q_ids, q_vecs = question_matrix(questions, q_id_col, q_vec_col)
     if len(q_ids) == 0:
         return spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
     bc = spark.sparkContext.broadcast((q_ids, _normalise(q_vecs)))
@@ -129,7 +158,7 @@ def response_json(hits: DataFrame, passages: DataFrame, key: str = "vec_id",
     item = F.struct(F.col("rank"), F.struct(F.col("_text").alias("text")).alias("content"), F.col("score"))
     per_q = joined.groupBy("query_id").agg(F.sort_array(F.collect_list(item)).alias("_items"))
     results = F.transform("_items", lambda x: F.struct(x["content"].alias("content"), x["score"].alias("score")))
-    return per_q.select("query_id", F.to_json(F.struct(results.alias("retrievalResults"))).alias("body"))
+    return per_q.select("query_id", F.to_json(F.struct(results.alias("retrievalResults")), {"ignoreNullFields": "false"}).alias("body"))
 
 
 def pick_passage(exploded: DataFrame, pick: str = "last") -> DataFrame:

@@ -42,12 +42,11 @@ def filter_not_equal(df: DataFrame, col: str, values) -> DataFrame:
 
 
 def point_lookup(df: DataFrame, key: str, value, cols: list[str]) -> DataFrame:
-    """``SELECT cols FROM t WHERE key = value`` (D7). ``value`` may be a one-row
-    DataFrame holding the key, joined rather than collected."""
+    """``SELECT cols FROM t WHERE key = value`` (D7). ``value`` may be a DataFrame
+    of keys, all of them looked up by a semi join; a literal prunes the scan."""
     if isinstance(value, DataFrame):
         (kcol,) = value.columns
-        one = F.broadcast(value.limit(1).withColumnRenamed(kcol, key))
-        return df.join(one, key, "left_semi").select(*cols)
+        return df.join(value.withColumnRenamed(kcol, key).distinct(), key, "left_semi").select(*cols)
     return df.filter(F.col(key) == F.lit(value)).select(*cols)
 
 

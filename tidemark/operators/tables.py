@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sinks.files import clustered
+
 SYSTEM_DATABASES = ("global_temp", "information_schema", "sys")
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -98,11 +100,14 @@ def append_to_table(df: DataFrame, name: str) -> None:
     """Append a DataFrame to a catalog table, columns matched by position order of the table."""
     spark = df.sparkSession
     cols = spark.table(norm_name(name)).columns
+    unknown = [c for c in df.columns if c not in cols]
+    if unknown:
+        raise ValueError(f"columns {unknown} are not in {name}: evolve the table or drop them first")
     df.select(*cols).write.insertInto(norm_name(name))
 
 
 def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[str] | None = None,
-                  replace_partitions: bool = False) -> None:
+                  replace_partitions: bool = False, constant=()) -> None:
     """Write and register a table, adding new columns first when the frame has them.
 
     Columns are never dropped or retyped: a frame missing a column writes
@@ -113,8 +118,7 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
     spark = df.sparkSession
     name = norm_name(name)
     if not spark.catalog.tableExists(name):
-        out = df.hint("rebalance", *partition_by) if partition_by else df
-        w = out.write.mode("append").format("parquet").option("path", location)
+        w = clustered(df, partition_by, constant).write.mode("append").format("parquet").option("path", location)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.saveAsTable(name)
@@ -130,8 +134,7 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
     aligned = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
                           else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    if parts:
-        aligned = aligned.hint("rebalance", *parts)
+    aligned = clustered(aligned, parts, constant)
     if replace_partitions and parts:
         with overwrite_mode(spark, "dynamic"):  # only the partitions present in the frame
             aligned.write.insertInto(name, overwrite=True)

@@ -2,37 +2,42 @@
 
 Plain Parquet has no UPDATE, DELETE or MERGE. The DataFrame forms are
 joins: an update is a left join with the patch, a delete is an anti join,
-an upsert is delete-then-insert. ``upsert_table`` applies that to a table
-stored as hash buckets and rewrites only the buckets a batch touches.
+an upsert is delete-then-insert. ``upsert_table`` applies that to a catalog
+table partitioned by key hash and rewrites only the buckets a batch touches.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.joins import anti_join, maybe_broadcast
+from tidemark.plans.joins import anti_join
+from tidemark.session import scratch_path
+from tidemark.sinks.files import delete_path
 
 BUCKET_COL = "tm_bucket"
-BUCKETING_FILE = "_tm_bucketing.json"   # leading "_": Spark's file listing skips it
 DEFAULT_BUCKETS = 64
+KEYS_PROPERTY, BUCKETS_PROPERTY = "tidemark.keys", "tidemark.buckets"
 
 
-def update_by_key(target: DataFrame, patch: DataFrame, keys: list[str]) -> DataFrame:
+def update_by_key(target: DataFrame, patch: DataFrame, keys: list[str],
+                  touch: dict[str, Column] | None = None) -> DataFrame:
     """``UPDATE t SET cols = patch.cols WHERE t.keys = patch.keys``.
 
-    ``patch`` holds the keys and the columns to set, one row per key.
-    Unmatched target rows pass unchanged; patch rows with no target row are
-    ignored, as in SQL. The patch is broadcast only behind a size check.
+    ``patch`` holds the keys and the columns to set, one row per key; a key with
+    several rows fails the job. ``touch`` sets further columns of the rows that are
+    hit, such as a fresh update time. Unmatched target rows pass unchanged; patch
+    rows with no target row are ignored, as in SQL.
     """
     set_cols = [c for c in patch.columns if c not in keys]
-    p = patch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in set_cols],
-                     F.lit(True).alias("_hit"))
-    j = target.join(maybe_broadcast(p), keys, "left")
-    out = [F.when(F.col("_hit"), F.col(f"_new_{c}").cast(target.schema[c].dataType))
-            .otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
+    one = patch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*set_cols, F.lit(True).alias("_"))).alias("_new"))
+    j = target.join(one, keys, "left")
+    hit = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"patch has several rows for one key {keys}")).cast("boolean")) \
+           .otherwise(F.col("_n").isNotNull())
+    new = {c: F.col(f"_new.`{c}`") for c in set_cols} | dict(touch or {})
+    out = [F.when(hit, new[c].cast(target.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c) if c in new else F.col(f"`{c}`")
            for c in target.columns]
     return j.select(*out)
 
@@ -47,18 +52,28 @@ def insert_select(target: DataFrame, source: DataFrame, not_null: list[str]) ->
     rows = source
     for k in not_null:
         rows = rows.filter(F.col(k).isNotNull())
+    _refuse_unknown(target.columns, source)
     return target.unionByName(rows.select(*target.columns))
 
 
+def _refuse_unknown(columns: list[str], batch: DataFrame) -> None:
+    unknown = [c for c in batch.columns if c not in columns]
+    if unknown:
+        raise ValueError(f"columns {unknown} are not in the target: add them to the table or drop them first")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
            guard_col: str | None = None) -> DataFrame:
     """Delete target rows whose keys are in the batch, then insert the batch.
 
     Composite keys are a list; the join condition is their conjunction.
     Null-key batch rows are skipped (C13). With ``guard_col`` a batch row
-    older than the stored row is dropped and the stored row kept (S3);
-    without it, as in the reference, the batch always wins.
+    older than the stored row is dropped and the stored row kept (S3); a row
+    whose guard is null cannot be shown to be older and is applied. Without
+    it, as in the reference, the batch always wins. Batch columns that the
+    target lacks are refused.
     """
+    _refuse_unknown(target.columns, batch)
     staged = batch
     for k in keys:
         staged = staged.filter(F.col(k).isNotNull())
@@ -66,7 +81,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
         cur = target.select(*keys, F.col(guard_col).alias("_cur_guard"))
         cur = cur.groupBy(*keys).agg(F.max("_cur_guard").alias("_cur_guard"))
         staged = (staged.join(cur, keys, "left")
-                        .filter(F.col("_cur_guard").isNull() | (F.col(guard_col) >= F.col("_cur_guard")))
+                        .filter(F.col("_cur_guard").isNull() | F.col(guard_col).isNull()
+                                | (F.col(guard_col) >= F.col("_cur_guard")))
                         .drop("_cur_guard"))
     kept = anti_join(target, staged.select(*keys), keys)
     return kept.unionByName(staged.select(*target.columns))
@@ -92,7 +108,6 @@ def merge_into(spark: SparkSession, target: str, batch: DataFrame, keys: list[st
     delete-then-insert (``upsert_table``) would keep them all. Plain Parquet
     tables raise here; use ``upsert_table`` for those.
     """
-    import uuid
     view = f"tm_merge_{uuid.uuid4().hex[:8]}"
     staged = batch
     for k in keys:
@@ -108,94 +123,106 @@ def bucket_of(keys: list[str], n_buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                 n_buckets: int | None = None, guard_col: str | None = None) -> int:
-    """Upsert ``batch`` into the Parquet table at ``path``, bucketed by key hash.
-
-    Only the buckets the batch touches are read and rewritten, with dynamic
-    partition overwrite; untouched buckets are not read at all (partition
-    pruning). The list of touched bucket ids is the only thing collected and
-    is bounded by ``n_buckets``. Returns the number of touched buckets.
-
-    Replaying the same batch gives the same table (delete-then-insert), so a
-    micro-batch that is retried after a failed commit is safe. Choose
-    ``n_buckets`` when the table is created so one bucket is a few hundred
-    MB: a touched bucket is read and rewritten whole. The bucketing is stored
-    with the table; later calls may omit it and must not change it.
+def create_bucketed(spark: SparkSession, table: str, schema, keys: list[str], n_buckets: int | None = None,
+                    location: str | None = None) -> None:
+    """A catalog table partitioned by a hash of its keys, empty. Keys and bucket count are its properties."""
+    n = n_buckets or DEFAULT_BUCKETS
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {BUCKET_COL} int) USING parquet PARTITIONED BY ({BUCKET_COL}){where} "
+              f"TBLPROPERTIES ('{KEYS_PROPERTY}'='{','.join(keys)}', '{BUCKETS_PROPERTY}'='{n}')")
+
+
+def upsert_table(spark: SparkSession, table: str, batch: DataFrame, keys: list[str], n_buckets: int | None = None,
+                 guard_col: str | None = None, location: str | None = None) -> int:
+    """Upsert ``batch`` into the catalog table ``table``; returns the number of buckets touched.
+
+    The first call creates the table (at ``location`` if given) with the batch's
+    columns; it then goes the same way as any later call:
+
+    1. The batch, without null keys and with its columns cast to the table's
+       types, is written once to shared staging, clustered by bucket. All later
+       steps read that copy, so a recomputed batch cannot disagree with itself.
+    2. The touched buckets are read (partition pruning), less the staged keys,
+       and written with the staged rows to a folder of this run. Rows that stay
+       are not shuffled when Spark can broadcast the staged keys.
+    3. Each touched partition is pointed at its new folder in the catalog. Only
+       after the last one are the old folders deleted.
+
+    A crash before 3 leaves the table as it was. A crash within 3 leaves some
+    buckets with the batch applied and others without, every row present; a replay
+    of the batch completes it, since delete-then-insert of the same rows changes
+    nothing. A crash before the deletions leaves folders that nothing refers to.
+
+    Choose ``n_buckets`` when the table is created so that one bucket is a few
+    hundred MB: a touched bucket is rewritten whole. Later calls may omit it and
+    must not change it.
     """
-    stored = _read_bucketing(spark, path)
-    if stored:
-        if n_buckets not in (None, stored["n_buckets"]) or list(keys) != stored["keys"]:
-            raise ValueError(f"table at {path} is bucketed as {stored}; got keys={keys}, n_buckets={n_buckets}")
-        n_buckets = stored["n_buckets"]
-    n_buckets = n_buckets or DEFAULT_BUCKETS
-    if not stored:
-        # Recorded before any data, so a table never exists without it.
-        _write_bucketing(spark, path, {"n_buckets": n_buckets, "keys": list(keys)})
-    staged = batch.withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
-    if not _has_buckets(spark, path):
-        _write_buckets(staged, path)
-        return n_buckets
-    # Read twice (touched ids, then the merge): keep it for the length of the upsert.
-    staged = staged.persist()
-    try:
-        touched = [r[0] for r in staged.select(BUCKET_COL).distinct().collect()]
-        if not touched:
-            return 0
-        current = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
-        cols = [c for c in current.columns if c != BUCKET_COL]
-        merged = upsert(current.select(*cols, BUCKET_COL), staged.select(*cols, BUCKET_COL), keys, guard_col)
-        _write_buckets(merged, path)
-        return len(touched)
-    finally:
-        staged.unpersist()
-
-
-def _write_buckets(df: DataFrame, path: str) -> None:
-    # Cluster rows by bucket so a bucket becomes few files, not one per task and
-    # bucket. ``rebalance`` (not ``repartition``) lets AQE split a bucket that
-    # holds a large share of the rows over several tasks and merge small ones.
-    (df.hint("rebalance", BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BUCKET_COL).parquet(path))
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+    if not spark.catalog.tableExists(table):
+        create_bucketed(spark, table, batch.schema, keys, n_buckets, location)
+    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if stored.get(KEYS_PROPERTY) != ",".join(keys) or n_buckets not in (None, int(stored[BUCKETS_PROPERTY])):
+        raise ValueError(f"{table} is bucketed by {stored.get(KEYS_PROPERTY)} into {stored.get(BUCKETS_PROPERTY)}; "
+                         f"got keys={keys}, n_buckets={n_buckets}")
+    target = spark.table(table)
+    data = [f for f in target.schema.fields if f.name != BUCKET_COL]
+    _refuse_unknown([f.name for f in data], batch)
+    staged = batch.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in data])
+    for k in keys:
+        staged = staged.filter(F.col(f"`{k}`").isNotNull())
+    staging = scratch_path(spark, "upsert-staging")
+    schema = target.schema
+    (staged.withColumn(BUCKET_COL, bucket_of(keys, int(stored[BUCKETS_PROPERTY]))).hint("rebalance", BUCKET_COL)
+     .write.partitionBy(BUCKET_COL).parquet(staging))
+    touched = _bucket_folders(spark, staging)
+    if touched:
+        staged = spark.read.schema(schema).parquet(staging)
+        current = target.filter(F.col(BUCKET_COL).isin(touched))
+        run = f"{_location(spark, table)}/run-{uuid.uuid4().hex}"
+        upsert(current, staged, keys, guard_col).write.partitionBy(BUCKET_COL).parquet(run)
+        before = _partition_locations(spark, table)
+        for bucket in touched:
+            _point(spark, table, bucket, f"{run}/{BUCKET_COL}={bucket}", bucket in before)
+        spark.catalog.refreshTable(table)
+        for bucket in touched:
+            if bucket in before:
+                delete_path(spark, before[bucket])
+    delete_path(spark, staging)
+    return len(touched)
+
+
+def _point(spark: SparkSession, table: str, bucket: int, folder: str, exists: bool) -> None:
+    """Make ``folder`` the place of one bucket."""
+    spec = f"PARTITION ({BUCKET_COL}={bucket})"
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'" if exists
+              else f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
     """The upserted table without its bucket column."""
-    return spark.read.parquet(path).drop(BUCKET_COL)
+    return spark.table(table).drop(BUCKET_COL)
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _bucket_folders(spark: SparkSession, path: str) -> list[int]:
+    """The buckets for which a write has made a folder: one listing, no job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    names = [st.getPath().getName() for st in found]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET_COL}="))
 
 
-def _write_bucketing(spark: SparkSession, path: str, meta: dict) -> None:
-    p, fs = _fs_path(spark, f"{path}/{BUCKETING_FILE}")
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(json.dumps(meta).encode()))
-    finally:
-        out.close()
+def _catalog_entry(spark: SparkSession, table: str):
+    state = spark._jsparkSession.sessionState()
+    return state.catalog(), state.sqlParser().parseTableIdentifier(table)
 
 
-def _read_bucketing(spark: SparkSession, path: str) -> dict | None:
-    p, fs = _fs_path(spark, f"{path}/{BUCKETING_FILE}")
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)
+def _location(spark: SparkSession, table: str) -> str:
+    catalog, name = _catalog_entry(spark, table)
+    return catalog.getTableMetadata(name).location().toString().rstrip("/")
 
 
-def _has_buckets(spark: SparkSession, path: str) -> bool:
-    """Whether any bucket folder has been written (the metadata file alone is not a table)."""
-    p, fs = _fs_path(spark, path)
-    if not fs.exists(p):
-        return False
-    return any(st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET_COL}=")
-               for st in fs.listStatus(p))
+def _partition_locations(spark: SparkSession, table: str) -> dict[int, str]:
+    """The folder of each registered bucket: one catalog call."""
+    catalog, name = _catalog_entry(spark, table)
+    parts = catalog.listPartitions(name, spark.sparkContext._jvm.scala.Option.empty())
+    return {int(parts.apply(i).spec().apply(BUCKET_COL)): parts.apply(i).location().toString() for i in range(parts.size())}

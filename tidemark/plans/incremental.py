@@ -5,7 +5,8 @@ the bookmark. A crash between write and commit re-appends the same rows on
 the next run, as the reference does. With ``idempotent=True`` each run
 writes into its own ``run_id`` partition, named from the bookmark it
 started from: a retry after such a crash starts from the same mark, gets
-the same id and overwrites its own folder instead of appending twice.
+the same id, and first removes what any earlier attempt of it left, under
+whatever load stamp and whether or not the table was registered.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.stamps import stamp
-from tidemark.operators.tables import drop_table, save_evolving
-from tidemark.sinks.files import append_parquet, delete_path, replace_parquet_partitions
+from tidemark.operators.tables import drop_table, norm_name, save_evolving
+from tidemark.sinks.files import append_parquet, delete_matching, delete_path, replace_parquet_partitions
 from tidemark.sources.bookmark import BookmarkStore, after_bookmark, mark_of, observe_high_water
 
 
@@ -61,21 +62,33 @@ def run_incremental(spark: SparkSession, source: DataFrame, job: str, keys: list
         batch = stamp(batch, stamp_col, date_format, at)
     parts = list(partition_by or [])
     if idempotent:
-        batch = batch.withColumn(RUN_COL, F.lit(run_id_for(job, mark_before, store.version(job))))
+        run_id = run_id_for(job, mark_before, store.version(job))
+        batch = batch.withColumn(RUN_COL, F.lit(run_id))
         parts.append(RUN_COL)
+        _drop_attempts(spark, sink_path, parts, run_id, table)
+    constant = [c for c in (stamp_col, RUN_COL) if c]
     observed, obs = observe_high_water(batch, keys or batch.columns[:1])
     if table:
-        save_evolving(observed, table, sink_path, parts or None, replace_partitions=idempotent)
+        save_evolving(observed, table, sink_path, parts or None, replace_partitions=idempotent, constant=constant)
     elif idempotent:
-        replace_parquet_partitions(observed, sink_path, parts)
+        replace_parquet_partitions(observed, sink_path, parts, constant=constant)
     else:
-        append_parquet(observed, sink_path, parts or None)
+        append_parquet(observed, sink_path, parts or None, constant=constant)
     mark, rows = mark_of(obs)
     if keys and commit:
         store.commit(job, keys, mark)
     return LoadResult(rows, mark if keys else None)
 
 
+def _drop_attempts(spark: SparkSession, sink_path: str, parts: list[str], run_id: str, table: str | None) -> None:
+    """Remove what earlier attempts of a run wrote: folders and partition entries."""
+    delete_matching(spark, "/".join([sink_path.rstrip("/"), *["*"] * (len(parts) - 1), f"{RUN_COL}={run_id}"]))
+    if table and spark.catalog.tableExists(norm_name(table)):
+        columns = [c.name for c in spark.catalog.listColumns(norm_name(table)) if c.isPartition]
+        if RUN_COL in columns:
+            spark.sql(f"ALTER TABLE {norm_name(table)} DROP IF EXISTS PARTITION ({RUN_COL}='{run_id}')")
+
+
 def _drop_loaded(spark: SparkSession, batch: DataFrame, keys: list[str], mark: dict,
                  dedup_keys: list[str], sink_path: str, table: str | None) -> DataFrame:
     """Remove boundary rows (bookmark keys equal to the mark) the sink already holds."""
@@ -92,7 +105,7 @@ def _drop_loaded(spark: SparkSession, batch: DataFrame, keys: list[str], mark: d
     types = dict((f.name, f.dataType) for f in sink.schema.fields)
     at_mark = sink
     for k in keys:     # equality on every bookmark key: a pushed filter, few rows
-        at_mark = at_mark.filter(F.col(k) == F.lit(mark[k]).cast(types[k]))
+        at_mark = at_mark.filter(F.col(k).eqNullSafe(F.lit(mark[k]).cast(types[k])))
     return anti_join(batch, at_mark.select(*dedup_keys), dedup_keys)
 
 
@@ -106,11 +119,16 @@ def purge(spark: SparkSession, path: str, table: str | None, store: BookmarkStor
         store.reset(job)
 
 
-def history(df: DataFrame, stamp_col: str, keys: list[str]) -> DataFrame:
+def history(df: DataFrame, stamp_col: str, keys: list[str], only: dict | None = None) -> DataFrame:
     """Every load of each key, in load order (I2): a sort by key and stamp.
 
+    ``only`` asks for some keys, ``{column: value or list of values}``: literal
+    filters that reach the scan, so the rest of the lake is not sorted.
+
     A row hash ends the sort key, so one key with very many loads can still
     be split across range partitions.
     """
     from tidemark.operators.shape import row_hash
+    for c, v in (only or {}).items():
+        df = df.filter(F.col(c).isin(list(v) if isinstance(v, (list, tuple, set)) else [v]))
     return df.orderBy(*[F.col(k) for k in keys], F.col(stamp_col), row_hash(df))

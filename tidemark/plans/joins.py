@@ -1,66 +1,20 @@
-"""Equi-joins with a size-checked broadcast.
+"""Equi-joins (E1-E6). Which side is broadcast, and when, is left to Spark.
 
-A side is broadcast only when the optimizer's size estimate proves it is
-under the limit; otherwise the join is left to Spark (sort-merge, with AQE
-free to switch to broadcast at runtime or split skewed partitions).
+Spark broadcasts a side whose size is under ``spark.sql.autoBroadcastJoinThreshold``
+by estimate, and adaptive execution corrects the estimate with the size that a
+side really had; beyond it the join sorts, and skewed partitions are split.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of a plan, or None when it cannot tell."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # Spark Connect or an estimate that is not available
-        return None
-    return int(size) if isinstance(size, int) else int(str(size.toString()))
-
-
-def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
-    if limit is not None:
-        return limit
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        val = int(str(conf).lower().rstrip("b"))
-    except ValueError:
-        val = DEFAULT_BROADCAST_LIMIT
-    return max(val, 0)
-
-
-def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast only if the estimate is known and under ``limit``."""
-    size = estimated_bytes(df)
-    lim = broadcast_limit(df, limit)
-    if size is not None and 0 < size <= lim:
-        return F.broadcast(df)
-    return df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   limit: int | None = None) -> DataFrame:
-    """Join a fact to a dimension; broadcast the dimension only behind a size check."""
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
-        return fact.join(dim, on, how)
-    return fact.join(maybe_broadcast(dim, limit), on, how)
-
-
-def anti_join(left: DataFrame, right: DataFrame, on, limit: int | None = None) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` (E5), as a direct ``left_anti``.
 
-    Only the key columns of ``right`` are kept. A key set small enough to
-    broadcast is broadcast as it is (repeated keys cost nothing in a hash
-    relation); a larger one is deduplicated first, so the partial aggregate
-    turns a hot key into one row per task before the shuffle join.
+    Only the distinct keys of ``right`` are joined: the partial aggregate turns a
+    hot key into one row per task before any shuffle.
     """
     cols = [on] if isinstance(on, str) else list(on)
-    keys = right.select(*cols)
-    size, lim = estimated_bytes(keys), broadcast_limit(keys, limit)
-    if size is not None and 0 < size <= lim:
-        return left.join(F.broadcast(keys), cols, "left_anti")
-    return left.join(keys.distinct(), cols, "left_anti")
+    return left.join(right.select(*cols).distinct(), cols, "left_anti")

@@ -13,8 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a job on this library expects. They are defaults: a cluster
-# launcher may set any of them, and the builder keeps the launcher's value.
+# Settings a job on this library expects. They are defaults: one that the launcher
+# or an existing session has set is kept.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,9 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+LOCAL_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def build_session(master: str | None = None, app: str = "tidemark",
@@ -34,13 +33,18 @@ def build_session(master: str | None = None, app: str = "tidemark",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    asked = dict(LOCAL_CONF) if master and master.startswith("local") else {}
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    asked.update(extra or {})
+    for k, v in asked.items():
         builder = builder.config(k, v)
+    active = SparkSession.getActiveSession()
     spark = builder.getOrCreate()
+    launched = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k not in asked and not launched.contains(k) and active is None:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
     return spark
@@ -75,3 +79,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory."""
     return f"{_base(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def scratch_table(name: str) -> str:
+    """A fresh, unique catalog table name."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"

@@ -4,27 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.files import CSV_OPTIONS
+
+
+def clustered(df: DataFrame, partition_by: list[str] | None, constant=()) -> DataFrame:
+    """Rows rebalanced by the partition columns that vary, so each folder gets few,
+    reasonably sized files. A column that is one value for the whole frame (a load
+    stamp, a run id) needs no shuffle."""
+    varying = [c for c in partition_by or [] if c not in constant]
+    return df.hint("rebalance", *varying) if varying else df
+
 
 def append_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                   compression: str = "snappy") -> None:
+                   compression: str = "snappy", constant=()) -> None:
     """Append Parquet, partitioned when ``partition_by`` is given (B1, B2).
 
-    Append never removes data (S20). Rows are rebalanced by the partition
-    columns so each folder gets few, reasonably sized files; AQE splits a
-    value that holds many rows (a load stamp has one value per run) over
-    several tasks instead of funnelling it into one.
+    Append never removes data (S20). ``constant`` names partition columns that
+    hold one value.
     """
-    out = df.hint("rebalance", *partition_by) if partition_by else df
-    writer = out.write.mode("append").option("compression", compression)
+    writer = clustered(df, partition_by, constant).write.mode("append").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
 def replace_parquet_partitions(df: DataFrame, path: str, partition_by: list[str],
-                               compression: str = "snappy") -> None:
+                               compression: str = "snappy", constant=()) -> None:
     """Write partitions, replacing only the partition folders present in ``df``."""
-    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+    (clustered(df, partition_by, constant).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").option("compression", compression)
        .partitionBy(*partition_by).parquet(path))
 
@@ -34,7 +41,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
     Never point this at a folder the same job reads from.
     """
-    df.write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").option("header", header).options(**CSV_OPTIONS).csv(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
@@ -49,3 +56,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def delete_matching(spark: SparkSession, pattern: str) -> int:
+    """Delete the folders that match a glob; the number of them."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(bool(fs.delete(st.getPath(), True)) for st in (fs.globStatus(p) or []))

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARK_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MARK_TSZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"   # zoned values carry their offset
 _VERSION_FILE = re.compile(r"v(\d+)\.json")
 
@@ -28,16 +27,16 @@ class BookmarkStore:
 
     Each job has a folder holding ``v<version>.json`` files. A commit creates
     the next version and never overwrites one, so a crash at any point leaves
-    the previous version readable. Only the newest ``keep`` versions stay, so
-    a job that runs every minute for years still lists a handful of files.
+    the previous version readable. Only the newest ``keep`` versions stay (all
+    with ``keep=None``), so a job that runs every minute for years still lists
+    a handful of files.
     Reads and writes go through the Hadoop file system of the path; no Spark
     job is involved.
     """
 
-    keep = 10
-
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = 10):
         self.spark = spark
+        self.keep = keep
         self.path = path.rstrip("/")
 
     # -- file system helpers (driver side, metadata-sized) --
@@ -91,7 +90,7 @@ class BookmarkStore:
             out.write(bytearray(json.dumps(rec).encode()))
         finally:
             out.close()
-        for old in self._versions(job)[:-self.keep]:
+        for old in self._versions(job)[:-self.keep] if self.keep else []:
             q, qfs = self._fs(self._file(job, old))
             qfs.delete(q, False)
 
@@ -114,19 +113,25 @@ def after_bookmark(df: DataFrame, keys: list[str], value: dict | None,
                    inclusive: bool = False) -> DataFrame:
     """Rows past the bookmark, keys compared lexicographically.
 
+    A null key part sorts before every value, as in the mark itself.
     ``inclusive`` also re-reads rows equal to the mark (S9); the caller then
     deduplicates by key.
     """
     if value is None:
         return df
     types = {f.name: f.dataType for f in df.schema.fields}
-    lits = [_literal(value[k], types[k]) for k in keys]
-    cond = None
-    for i in reversed(range(len(keys))):
-        c, v = F.col(keys[i]), lits[i]
-        last = i == len(keys) - 1
-        here = (c >= v) if (last and inclusive) else (c > v)
-        cond = here if cond is None else (here | ((c == v) & cond))
+    cond = F.lit(True) if inclusive else None
+    for k in reversed(keys):
+        c = F.col(k)
+        if value[k] is None:
+            past, same = c.isNotNull(), c.isNull()
+        else:
+            v = _literal(value[k], types[k])
+            past, same = c > v, c == v
+            if inclusive and k == keys[-1]:
+                cond = (c >= v)
+                continue
+        cond = past if cond is None else (past | (same & cond))
     return df.filter(cond)
 
 
@@ -147,10 +152,15 @@ def observe_high_water(df: DataFrame, keys: list[str], name: str = "bookmark"):
     """
     obs = Observation(name)
     hw = F.max(F.struct(*keys))
-    # Full microsecond text: the JSON default keeps milliseconds only, which
-    # would move the mark back and re-read rows.
-    fmt = {"timestampFormat": MARK_TSZ_FORMAT, "timestampNTZFormat": MARK_TS_FORMAT}
-    observed = df.observe(obs, F.to_json(hw, fmt).alias("hw"), F.count(F.lit(1)).alias("rows"))
+    # Each part as text on the JVM side, in full: JSON numbers would round decimals
+    # and its timestamps keep milliseconds only. A null part stays a null.
+    def text(k):
+        part = hw.getField(k)
+        zoned = isinstance(df.schema[k].dataType, T.TimestampType)
+        return (F.date_format(part, MARK_TSZ_FORMAT) if zoned else part.cast("string")).alias(k)
+
+    mark = F.to_json(F.struct(*[text(k) for k in keys]), {"ignoreNullFields": "false"})
+    observed = df.observe(obs, mark.alias("hw"), F.count(F.lit(1)).alias("rows"))
     return observed, obs
 
 
@@ -160,5 +170,4 @@ def mark_of(obs: Observation) -> tuple[dict | None, int]:
     text = got.get("hw")
     if not rows or text is None:
         return None, rows
-    value = json.loads(text)
-    return {k: (v if isinstance(v, str) else json.dumps(v)) for k, v in value.items()}, rows
+    return json.loads(text), rows

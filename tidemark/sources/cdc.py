@@ -60,12 +60,16 @@ def encode_changes(df: DataFrame, data_cols: list[str], ts_col: str, op: Column,
     return df.select(F.struct(*[F.col(c) for c in data_cols]).alias("data"), meta.alias("metadata"))
 
 
-def events_as_changes(events: DataFrame, schema_name: str = "public",
-                      table_name: str = "events") -> DataFrame:
+def events_as_changes(events: DataFrame, schema_name: str = "public", table_name: str = "events",
+                      ops: tuple[str, ...] | None = None) -> DataFrame:
     """Driver ``events`` as a change feed keyed by ``user_id`` (stand-in for the stream).
 
     Keys travel as text, as they do in the captured stream; the consumer casts.
+    ``ops`` keeps some operations, stated as a filter on the source's own values,
+    so that it reaches the scan.
     """
+    if ops is not None:
+        events = events.filter(F.col("event_type").isin([t for t, op in EVENT_OPERATIONS.items() if op in ops]))
     op = F.coalesce(
         F.create_map(*[x for kv in EVENT_OPERATIONS.items() for x in map(F.lit, kv)])[F.col("event_type")],
         F.lit("control"),
@@ -102,7 +106,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], ts: Column,
 
     ``load`` rows carry the old snapshot (the full-load phase), then one
     ``insert``/``update``/``delete`` per key that differs. Value columns are
-    compared null-safely. One shuffle: a full outer join on the keys.
+    compared null-safely. One full outer join on the keys gives both phases.
     Output columns: the keys, the value columns of the record, ``operation``
     and ``commit_ts``.
     """
@@ -113,11 +117,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], ts: Column,
     op = (F.when(F.col("_o").isNull(), F.lit("insert"))
            .when(F.col("_n").isNull(), F.lit("delete"))
            .when(~F.col("_o").eqNullSafe(F.col("_n")), F.lit("update")))
-    cdc = (j.withColumn("operation", op).filter(F.col("operation").isNotNull())
-            .select(*keys, F.coalesce(F.col("_n"), F.col("_o")).alias("_v"), "operation")
-            .select(*keys, "_v.*", "operation")
-            .withColumn("commit_ts", ts))
-    if not with_load:
-        return cdc
-    load = old.select(*keys, *values).withColumn("operation", F.lit("load")).withColumn("commit_ts", ts)
-    return load.unionByName(cdc)
+    records = [F.struct(op.alias("operation"), F.coalesce(F.col("_n"), F.col("_o")).alias("_v"))]
+    if with_load:
+        load = F.when(F.col("_o").isNotNull(), F.lit("load"))
+        records.insert(0, F.struct(load.alias("operation"), F.col("_o").alias("_v")))
+    return (j.select(*keys, F.explode(F.array(*records)).alias("_r")).filter("_r.operation is not null")
+            .select(*keys, "_r._v.*", "_r.operation").withColumn("commit_ts", ts))

@@ -7,26 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Quotes are doubled inside quoted values, and no space is trimmed.
+NO_VALUE = "\0"              # so that an empty quoted value is an empty text and an empty unquoted one null
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_parquet(spark: SparkSession, path: str, partition_types: dict[str, str] | None = None) -> DataFrame:
     """Parquet file or directory, partitions discovered from ``k=v`` folders.
 
     Discovered partition types depend on the values (a day string comes back
-    as a date, a timestamp as a string, S12), so callers name the types they
-    wrote and the columns are cast explicitly.
+    as a date, ``01`` as 1, S12), so callers name the types they wrote: those
+    columns are read as the text of their folders and cast explicitly.
     """
     df = spark.read.parquet(path)
-    for c, t in (partition_types or {}).items():
-        if c in df.columns:
-            df = df.withColumn(c, F.col(c).cast(t))
-    return df
+    named = {c: t for c, t in (partition_types or {}).items() if c in df.columns}
+    if not named:
+        return df
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in named else f.dataType) for f in df.schema.fields])
+    text = spark.read.schema(schema).parquet(path)
+    return text.withColumns({c: F.col(c).cast(t) for c, t in named.items()})
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              header: bool = True, sampling_ratio: float = 1.0) -> DataFrame:
     """CSV with a header (A10). Types are inferred when no schema is given;
     inference reads the data once more, so production jobs pass a schema
-    (or a sampling ratio below one)."""
-    reader = spark.read.option("header", header)
+    (or a sampling ratio below one). Quoted values may hold line ends, quotes
+    and outer spaces; for that a file is read by one task, so deliver large
+    data as many files."""
+    reader = spark.read.option("header", header).options(**CSV_OPTIONS).option("multiLine", True).option("nullValue", NO_VALUE)
     if schema is not None:
         reader = reader.schema(schema)
     else:

@@ -5,20 +5,27 @@
       -> upsert into the bucketed wide table
 
 The checkpoint records which input was consumed; a restart picks up only
-new input. The per-batch upsert is delete-then-insert, so a batch replayed
-after a failure before its checkpoint commit gives the same table.
+new input. The per-batch upsert is delete-then-insert and switches whole
+buckets in the catalog, so a batch replayed after a failure at any point before
+its checkpoint commit gives the same table.
+
+Records are read as text and typed afterwards: times may have 0 to 9 fraction
+digits and a zone or none. A record that is not JSON, or in which a value does
+not parse as its type, carries its text in ``malformed`` and goes to the
+quarantine, counted, instead of being dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import upsert_table
-from tidemark.plans.enrich import WIDE_KEYS, enrich_changes
+from tidemark.plans.enrich import ACTIVITY, ChangeSpec
 from tidemark.sources.cdc import change_schema
 
 # JSON text of change records keeps microseconds (the JSON default keeps
@@ -44,16 +51,49 @@ def write_change_files(changes: DataFrame, landing: str) -> None:
     changes.write.mode("append").options(**JSON_TS_OPTIONS).json(landing)
 
 
+MALFORMED = "malformed"
+
+
+def _as_text(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    return T.StringType()
+
+
+def _typed(value, kind: T.DataType):
+    """(typed value, whether some text in it did not parse as its type)."""
+    if not isinstance(kind, T.StructType):
+        typed = value if isinstance(kind, T.StringType) else value.try_cast(kind)
+        return typed, value.isNotNull() & typed.isNull()
+    parts = [(f.name, *_typed(value.getField(f.name), f.dataType)) for f in kind.fields]
+    bad = reduce(lambda a, b: a | b, [b for _, _, b in parts], F.lit(False))
+    return F.when(value.isNotNull(), F.struct(*[c.alias(n) for n, c, _ in parts])), F.coalesce(bad, F.lit(False))
+
+
+def typed_records(lines: DataFrame, data_schema: T.StructType = ACTIVITY_DATA, col: str = "value") -> DataFrame:
+    """Lines of JSON text -> data, metadata and ``malformed`` (the line, where it is not a valid record)."""
+    schema = change_schema(data_schema)
+    text = T.StructType([*_as_text(schema).fields, T.StructField("_corrupt", T.StringType())])
+    raw = F.from_json(F.col(col), text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    got = lines.select(F.col(col).alias("_line"), raw.alias("_r"))
+    value = {f.name: _typed(F.col("_r").getField(f.name), f.dataType) for f in schema.fields}
+    bad = reduce(lambda a, b: a | b, [b for _, b in value.values()])
+    bad = bad | F.col("_r._corrupt").isNotNull() | F.col("_r.metadata").isNull()
+    return got.select(*[c.alias(n) for n, (c, _) in value.items()],
+                      F.when(F.coalesce(bad, F.lit(True)), F.col("_line")).alias(MALFORMED))
+
+
 def change_stream(spark: SparkSession, landing: str, data_schema: T.StructType = ACTIVITY_DATA,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of change records from a folder, schema fixed, never inferred.
+    """Stream of change records from a folder of JSON lines, schema fixed, never inferred.
 
     All files present at the first start are read (R4, the oldest position).
+    Columns: data, metadata, malformed.
     """
-    reader = spark.readStream.schema(change_schema(data_schema)).options(**JSON_TS_OPTIONS)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing)
+    return typed_records(reader.text(landing).filter("trim(value) <> ''"), data_schema)
 
 
 def kafka_change_stream(spark: SparkSession, servers: str, topic: str,
@@ -64,29 +104,45 @@ def kafka_change_stream(spark: SparkSession, servers: str, topic: str,
     """
     raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
            .option("subscribe", topic).option("startingOffsets", "earliest").load())
-    parsed = F.from_json(F.col("value").cast("string"), change_schema(data_schema), JSON_TS_OPTIONS)
-    return raw.select(parsed.alias("r")).select("r.*")
-
-
-def upsert_batch_fn(target_path: str, dims: Callable[[], tuple[DataFrame, DataFrame]],
-                    keys: list[str] = WIDE_KEYS, n_buckets: int | None = None, ties: str = "rank",
-                    audit_path: str | None = None,
-                    guard_col: str | None = None) -> Callable[[DataFrame, int], None]:
-    """The per-batch function (R5, U1): enrich then upsert.
-
-    ``dims`` is called on every batch so dimension tables are read fresh
+    return typed_records(raw.select(F.col("value").cast("string").alias("value")), data_schema)
+
+
+def quarantine(batch: DataFrame, batch_id: int, path: str | None) -> DataFrame:
+    """The well-formed records of a batch. The others are written to ``path``, one
+    partition a batch, replaced if it is replayed; without a path they fail the batch."""
+    if MALFORMED not in batch.columns:
+        return batch
+    bad = batch.filter(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("record"))
+    if path:
+        (bad.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    elif not bad.isEmpty():
+        raise ValueError(f"malformed change records, such as {bad.first()[0][:200]!r}: name a quarantine folder")
+    return batch.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def upsert_batch_fn(target: str, dims: Callable[[], tuple[DataFrame, ...]],
+                    keys: list[str] | None = None, n_buckets: int | None = None, ties: str = "rank",
+                    audit_path: str | None = None, guard_col: str | None = None, location: str | None = None,
+                    spec: ChangeSpec = ACTIVITY, quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The per-batch function (R5, U1): enrich as ``spec`` says, then upsert.
+
+    ``keys`` of the target default to the spec's. Malformed records go to
+    ``quarantine_path`` (without one they fail the batch). ``dims`` is called on every batch so dimension tables are read fresh
     each time (S7). An empty batch writes nothing (R3). A failing write
     raises, so the checkpoint does not advance past it (S8). Without
     ``guard_col`` a late, older record overwrites a newer row, as in the
     reference (S3); with it (e.g. ``"updated_at"``) the newer row stays.
     """
+    keys = keys or spec.keys
+
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        customer, nation = dims()
-        rows = enrich_changes(batch, customer, nation, ties=ties)
+        batch = quarantine(batch, batch_id, quarantine_path)
+        rows = spec.enrich(batch, dims(), ties=ties)
         if not audit_path:
-            upsert_table(batch.sparkSession, target_path, rows, keys, n_buckets, guard_col)
+            upsert_table(batch.sparkSession, target, rows, keys, n_buckets, guard_col, location)
             return
         # Used twice (audit and upsert): persist for this batch only. The audit
         # is one partition per batch id, replaced if the batch is replayed.
@@ -94,7 +150,7 @@ def upsert_batch_fn(target_path: str, dims: Callable[[], tuple[DataFrame, DataFr
         try:
             (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
                  .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(audit_path))
-            upsert_table(batch.sparkSession, target_path, rows, keys, n_buckets, guard_col)
+            upsert_table(batch.sparkSession, target, rows, keys, n_buckets, guard_col, location)
         finally:
             rows.unpersist()
     return process

@@ -42,7 +42,7 @@ def main():
     factor = int(sys.argv[1]) if len(sys.argv) > 1 else 200
     sf = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
     import tempfile
-    from tidemark.session import build_session, scratch_path
+    from tidemark.session import build_session, scratch_path, scratch_table
     logs = tempfile.mkdtemp(prefix="tidemark-probe-log-")   # local run only: the event log
     spark = build_session("local[8]", shuffle_partitions=64,
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logs})
@@ -51,7 +51,7 @@ def main():
     from tidemark.operators.cdc import latest_per_key
     from tidemark.plans.joins import anti_join
 
-    root = scratch_path(spark, "scale_probe")
+    root, target = scratch_path(spark, "scale_probe"), scratch_table("scale_probe")
     ev = spark.read.parquet(f"{sf}/events.parquet")
     big = (ev.select("*", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))).alias("r"))
              .select((F.col("event_id") * factor + F.col("r")).alias("event_id"),
@@ -69,9 +69,9 @@ def main():
                                 .write.format("noop").mode("overwrite").save(),
         "assign_keys": lambda: keys.assign_keys(big.select("event_id", "ts"), ["ts", "event_id"], "sk",
                                                 start=1).agg(F.max("sk")).first()[0],
-        "upsert_create": lambda: upsert.upsert_table(spark, f"{root}/t", big, ["event_id"], n_buckets=256),
+        "upsert_create": lambda: upsert.upsert_table(spark, target, big, ["event_id"], n_buckets=256, location=f"{root}/t"),
         "upsert_100_keys": lambda: upsert.upsert_table(
-            spark, f"{root}/t", big.orderBy("event_id").limit(100).withColumn("value", F.col("value") + 1),
+            spark, target, big.orderBy("event_id").limit(100).withColumn("value", F.col("value") + 1),
             ["event_id"]),
     }
     out = {"rows": big.count(), "hot_key_rows": big.filter("user_id = 0").count()}
