@@ -632,3 +632,12 @@ def test_launcher_settings_are_kept():
     env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--conf spark.sql.session.timeZone=Asia/Tokyo --conf spark.sql.sources.partitionOverwriteMode=static pyspark-shell"}
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert "GOT Asia/Tokyo static true" in out.stdout, out.stderr[-1500:]
+
+
+def test_split_ties_equal_ranked_ties(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, None, "d"), (2, None, "e"), (None, 1, "f"), (None, 0, "g"), (3, None, "h"), (3, 2, "i")],
+                               "k int, t int, v string")
+    assert rows(latest_per_key(df, ["k"], "t", split=True), "v") == rows(latest_per_key(df, ["k"], "t"), "v") == \
+        [("a",), ("b",), ("d",), ("e",), ("f",), ("i",)]
+    with pytest.raises(ValueError):
+        latest_per_key(df, ["k"], "t", ties="row_number", split=True)

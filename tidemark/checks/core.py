@@ -77,7 +77,7 @@ def cdc_latest_per_day(spark, sf):
     # Ties kept (S1): a coarser time makes many rows share the newest value.
     ev = table(spark, sf, "events").select(
         "user_id", "event_id", "event_type", F.date_trunc("day", "ts").alias("day"))
-    return latest_per_key(ev, ["user_id"], "day", ties="rank")
+    return latest_per_key(ev, ["user_id"], "day", ties="rank", split=True)
 
 
 @check("cdc_latest_unique", """

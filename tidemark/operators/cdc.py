@@ -26,7 +26,7 @@ def keep_operations(flat: DataFrame, ops=DEFAULT_OPS, record_type: str | None =
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "timestamp",
-                   ties: str = "rank", tiebreak: list[str] = ()) -> DataFrame:
+                   ties: str = "rank", tiebreak: list[str] = (), split: bool = False) -> DataFrame:
     """Rows holding the newest ``order_col`` per key.
 
     ``ties="rank"`` keeps every tied row, as the reference does (S1);
@@ -34,7 +34,20 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "timestamp",
     The rank filter becomes a partial ``WindowGroupLimit`` before the
     shuffle, so each input partition sends at most its own winners per key:
     a key that holds a third of all rows still ships only a handful of rows.
+
+    On a coarse clock the tied rows of one key can be many. ``split`` keeps ties
+    another way: the newest value per key (a partial maximum), then a join back
+    on key and value, in which Spark can split the rows of a hot key.
     """
+    if split:
+        if ties != "rank":
+            raise ValueError("split keeps ties: use it with ties='rank'")
+        newest = df.groupBy(*keys).agg(F.max(order_col).alias("_newest"))
+        newest = newest.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_newest")
+        same = F.col(order_col).eqNullSafe(F.col("_newest"))
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return df.join(newest, same, "left_semi")
     order = [F.col(order_col).desc()]
     if ties == "rank":
         fn = F.rank()
