@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.joins import anti_join
-from tidemark.session import scratch_path
 from tidemark.sinks.files import delete_path
 
 BUCKET_COL = "tm_bucket"
@@ -141,13 +140,15 @@ def upsert_table(spark: SparkSession, table: str, batch: DataFrame, keys: list[s
     columns; it then goes the same way as any later call:
 
     1. The batch, without null keys and with its columns cast to the table's
-       types, is written once to shared staging, clustered by bucket. All later
-       steps read that copy, so a recomputed batch cannot disagree with itself.
-    2. The touched buckets are read (partition pruning), less the staged keys,
-       and written with the staged rows to a folder of this run. Rows that stay
-       are not shuffled when Spark can broadcast the staged keys.
-    3. Each touched partition is pointed at its new folder in the catalog. Only
-       after the last one are the old folders deleted.
+       types, is written once to a folder of this run beside the table's data,
+       clustered by bucket. All later steps read that copy, so a recomputed
+       batch cannot disagree with itself.
+    2. Touched buckets that hold rows already are read (partition pruning), less
+       the staged keys, and written with the staged rows to a second folder.
+       Rows that stay are not shuffled when Spark can broadcast the staged keys.
+    3. Each touched partition is pointed at its new folder in the catalog: the
+       second one, or for a new bucket the first. Only after the last one are
+       the old folders deleted.
 
     A crash before 3 leaves the table as it was. A crash within 3 leaves some
     buckets with the batch applied and others without, every row present; a replay
@@ -170,24 +171,25 @@ def upsert_table(spark: SparkSession, table: str, batch: DataFrame, keys: list[s
     staged = batch.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in data])
     for k in keys:
         staged = staged.filter(F.col(f"`{k}`").isNotNull())
-    staging = scratch_path(spark, "upsert-staging")
-    schema = target.schema
+    run = f"{_location(spark, table)}/run-{uuid.uuid4().hex}"
+    fresh, merged = f"{run}/batch", f"{run}/merged"
     (staged.withColumn(BUCKET_COL, bucket_of(keys, int(stored[BUCKETS_PROPERTY]))).hint("rebalance", BUCKET_COL)
-     .write.partitionBy(BUCKET_COL).parquet(staging))
-    touched = _bucket_folders(spark, staging)
-    if touched:
-        staged = spark.read.schema(schema).parquet(staging)
-        current = target.filter(F.col(BUCKET_COL).isin(touched))
-        run = f"{_location(spark, table)}/run-{uuid.uuid4().hex}"
-        upsert(current, staged, keys, guard_col).write.partitionBy(BUCKET_COL).parquet(run)
-        before = _partition_locations(spark, table)
-        for bucket in touched:
-            _point(spark, table, bucket, f"{run}/{BUCKET_COL}={bucket}", bucket in before)
-        spark.catalog.refreshTable(table)
-        for bucket in touched:
-            if bucket in before:
-                delete_path(spark, before[bucket])
-    delete_path(spark, staging)
+     .write.partitionBy(BUCKET_COL).parquet(fresh))
+    touched = _bucket_folders(spark, fresh)
+    before = _partition_locations(spark, table)
+    held = [b for b in touched if b in before]
+    if held:
+        here = F.col(BUCKET_COL).isin(held)
+        staged = spark.read.schema(target.schema).parquet(fresh).filter(here)
+        upsert(target.filter(here), staged, keys, guard_col).write.partitionBy(BUCKET_COL).parquet(merged)
+    for bucket in touched:
+        _point(spark, table, bucket, f"{merged if bucket in before else fresh}/{BUCKET_COL}={bucket}", bucket in before)
+    spark.catalog.refreshTable(table)
+    for bucket in held:
+        delete_path(spark, before[bucket])
+        delete_path(spark, f"{fresh}/{BUCKET_COL}={bucket}")
+    if not touched:
+        delete_path(spark, run)
     return len(touched)
 
 
