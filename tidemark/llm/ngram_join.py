@@ -266,6 +266,28 @@ def _local_roots(n: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.nd
         root = new
 
 
+def _only(texts: DataFrame, wanted: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """(tm_id, text) rows whose id may be among ``wanted``: one bitmap of id hashes, ``bits / 8``
+    bytes whatever the tables, is broadcast, so that few texts travel to the join that follows."""
+    place = F.pmod(F.xxhash64("tm_id"), F.lit(bits))
+    # The bitmap functions count places and parts from 1.
+    parts = (wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap")).collect())
+    whole = np.zeros(bits // 8, np.uint8)
+    for part, bitmap in parts:
+        start = (part - 1) * len(bitmap)
+        whole[start:start + len(bitmap)] = np.frombuffer(bitmap, np.uint8)[:len(whole) - start]
+    shared = texts.sparkSession.sparkContext.broadcast(whole.tobytes())
+
+    def keep(batches):
+        held = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            yield batch.filter(pa.array((held[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return texts.select(place.alias("p"), "tm_id", "text").mapInArrow(keep, "p long, tm_id long, text string").drop("p")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> (a, b) with b the smallest id of a's component, for every a that is not it.
 
@@ -318,7 +340,7 @@ def _round(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: f
     unit_fields = "key binary, tree int, block int, crossed boolean, unit long"
     kept = materialise(dealt(units.join(nodes.select("key", "sig"), "key")).mapInArrow(paired, unit_fields), "join-pairs")
     wanted = kept.select("key").distinct().join(nodes, "key").select(F.col("node").alias("tm_id"), F.col("key").alias("want"))
-    sets = materialise(slim.join(wanted, "tm_id").select("want", "text").mapInArrow(_gram_sets(n), "key binary, grams binary")
+    sets = materialise(_only(slim, wanted).join(wanted, "tm_id").select("want", "text").mapInArrow(_gram_sets(n), "key binary, grams binary")
                        .dropDuplicates(["key"]), "join-grams")
 
     def verified(batches):
