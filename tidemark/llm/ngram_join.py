@@ -378,7 +378,7 @@ def _round(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: f
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8,
-                       trees: int = 16, depth: int = 8, step: int = 2, target_recall: float = 0.9995) -> DataFrame:
+                       trees: int = 16, depth: int = 8, step: int = 4, target_recall: float = 0.9995) -> DataFrame:
     """id, class_id, n_links: one row for each row of ``docs``."""
     size = trees * depth
     last = shortened(threshold, trees, depth, target_recall)
