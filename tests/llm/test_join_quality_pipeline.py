@@ -103,6 +103,24 @@ def test_recall_of_pairs_at_the_threshold(spark):
     assert got.filter("n_links = 1 and class_id = doc_id - doc_id % 2").count() >= 0.99 * len(rows)
 
 
+def test_hot_near_copies_do_not_hide_borderline_pairs(spark):
+    """A group with 31,125 links of similarity 0.95 stands beside 300 pairs of 0.818: every pair is found."""
+    rng = random.Random(4)
+    hot = [f"h{i}" for i in range(400)]
+    rows = []
+    for i in range(250):
+        copy = list(hot)
+        copy[rng.randrange(5, 395)] = f"n{i}"
+        rows.append((1000 + i, " ".join(copy)))
+    for p in range(300):
+        base = [f"q{p}x{i}" for i in range(104)]
+        other = list(base)
+        other[50], other[70] = "y", "z"
+        rows += [(2 * p, " ".join(base)), (2 * p + 1, " ".join(other))]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (1000, 249) if i >= 1000 else (i - i % 2, 1) for i, _ in rows}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 200), (300, 299)]
     got = {r.a: r.b for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}

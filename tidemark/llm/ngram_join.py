@@ -10,13 +10,11 @@ component) and its number of links (rows of similarity >= ``threshold``).
    ``trees`` runs of values, one run for each tree of the forest.
 2. Rows of equal words are collapsed to a node with a number of copies.
 3. A tree is the sorted trie of its runs; documents that share a node of the trie
-   at some depth share that prefix. Rounds start at the full ``depth`` and shorten
-   the matched prefix, ``step`` values at a time. Each verifies the pairs that meet
-   at its length and at no longer one, and then estimates the recall so far: a
-   verified pair of similarity s stands for 1 / p(s) pairs, p(s) being the chance
-   that such a pair meets at this length in some tree. The rounds end when the
-   estimate reaches ``target_recall``, and at the latest at the length where even
-   a pair exactly at the threshold meets with that probability (``shortened``).
+   at some depth share that prefix. Prefixes start at the full ``depth`` and are
+   shortened, value by value, until a pair exactly at the threshold meets in some
+   tree with probability ``target_recall`` (``shortened``). That bound holds for
+   each pair by itself, whatever other pairs the corpus holds. The trie level of
+   that length holds all deeper matches below it, so one pass over it finds them all.
 4. A trie node with several documents is one unit of work, or, where it has many
    documents or grams, is dealt by hash into blocks, one unit per pair of blocks.
    So a hot group is split over tasks, and no unit holds more than two blocks.
@@ -168,19 +166,16 @@ def _gram_sets(n: int):
 
 
 class _Units:
-    """Candidate pairs of units: those that meet here first, at no longer prefix, and look similar enough."""
+    """Candidate pairs of units: those that meet here first and look similar enough."""
 
-    def __init__(self, trees: int, prefix: int, longer: int | None, size: int, least: float):
-        self.trees, self.prefix, self.longer, self.size, self.least = trees, prefix, longer, size, least
+    def __init__(self, trees: int, prefix: int, size: int, least: float):
+        self.trees, self.prefix, self.size, self.least = trees, prefix, size, least
 
     def _mine(self, sig, tree, block, cross, a, b):
         """Of the pairs (a[i], b[i]) of one unit each, those to verify."""
-        runs = sig.reshape(len(sig), self.trees, -1)
-        same = runs[a] == runs[b]
-        meet = same[:, :, :self.prefix].all(axis=2)
+        runs = sig.reshape(len(sig), self.trees, -1)[:, :, :self.prefix]
+        meet = (runs[a] == runs[b]).all(axis=2)
         ok = meet[np.arange(len(a)), tree[a]] & (meet.argmax(axis=1) == tree[a]) & (~cross[a] | (block[a] != block[b]))
-        if self.longer:
-            ok &= ~same[:, :, :self.longer].all(axis=2).any(axis=1)
         a, b = a[ok], b[ok]
         close = (sig[a] == sig[b]).sum(axis=1) >= self.least * self.size
         return a[close], b[close]
@@ -311,9 +306,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _round(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: float, lengths: list[int]) -> DataFrame:
-    """One round's links: a row per linked node and unit (key, a: its node, b: the smallest node
-    of its local component, links, pairs, and per length the pairs it is likely to miss)."""
+def _links(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: float) -> DataFrame:
+    """A row per linked node and unit (key, a: its node, b: the smallest node of its local component, links)."""
     trees, size = work.trees, work.size
     run_bytes = 2 * size // trees
     runs = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
@@ -359,42 +353,33 @@ def _round(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: f
                     inter = _shared(gram_sets, x, y)
                     union = held[x] + held[y] - inter
                     ok = inter >= threshold * union - 1e-9
-                    found.append((x[ok], y[ok], inter[ok] / union[ok]))
+                    found.append((x[ok], y[ok]))
             if found:
-                a, b, alike = (np.concatenate(z) for z in zip(*found))
+                a, b = (np.concatenate(z) for z in zip(*found))
                 both = np.concatenate([a, b])
                 links = np.bincount(both, copies[np.concatenate([b, a])], len(ids)).astype(np.int64)
                 root = _local_roots(len(ids), a, b, ids)
                 at = np.flatnonzero(links)
-                missed = [np.bincount(both, np.tile(1 / meeting(alike, trees, k) - 1, 2), len(ids))[at] for k in lengths]
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array([keys[i] for i in at], pa.binary()), "a": pa.array(ids[at]), "b": pa.array(root[at]),
-                    "links": pa.array(links[at]), "pairs": pa.array(np.bincount(both, minlength=len(ids))[at]),
-                    **{f"missed{k}": pa.array(m) for k, m in zip(lengths, missed)}})
+                    "links": pa.array(links[at])})
 
-    fields = "key binary, a long, b long, links long, pairs long" + "".join(f", missed{k} double" for k in lengths)
+    fields = "key binary, a long, b long, links long"
     return materialise(dealt(kept.join(nodes.select("key", "node", "copies", "sig"), "key").join(sets, "key"))
                        .mapInArrow(verified, fields), "join-links")
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8,
-                       trees: int = 16, depth: int = 8, step: int = 4, target_recall: float = 0.9995) -> DataFrame:
+                       trees: int = 16, depth: int = 8, target_recall: float = 0.9995) -> DataFrame:
     """id, class_id, n_links: one row for each row of ``docs``."""
     size = trees * depth
-    last = shortened(threshold, trees, depth, target_recall)
-    lengths = [*range(depth, last, -step), last]
+    prefix = shortened(threshold, trees, depth, target_recall)
     least = threshold - 5 * (threshold * (1 - threshold) / size) ** 0.5
     slim = docs.select(id_key(id_col).alias("tm_id"), F.col(text_col).alias("text"))
     rows = materialise(slim.mapInArrow(_scan(n, size), "tm_id long, key binary, grams long, sig binary"), "join-signatures")
     nodes = materialise(rows.groupBy("key").agg(F.min("tm_id").alias("node"), F.count("*").alias("copies"),
                                                 F.first("grams").alias("grams"), F.first("sig").alias("sig")), "join-nodes")
-    linked, longer = None, None
-    for length in lengths:
-        new = _round(slim, nodes, _Units(trees, length, longer, size, least), n, threshold, lengths)
-        linked, longer = new if linked is None else linked.unionByName(new), length
-        pairs, missed = linked.agg(F.sum("pairs"), F.sum(f"missed{length}")).first()
-        if pairs and pairs / (pairs + missed) >= target_recall:
-            break
+    linked = _links(slim, nodes, _Units(trees, prefix, size, least), n, threshold)
     roots = components(linked.select("a", "b"))
     per_key = materialise(
         nodes.select("key", "node", "copies").join(linked.groupBy("key").agg(F.sum("links").alias("links")), "key", "left")
