@@ -80,6 +80,16 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert all(urls.in_cascade(levels, k) == (k in listed) for k in universe)
 
 
+def test_cascade_of_a_corpus_with_many_keys(spark):
+    """With 4 bits a listed key over 16,000 of 100,000 keys would be false positives, above the bound."""
+    pages = spark.range(100_000).selectExpr("concat('h', id, '.net') AS host", "'/p' AS path")
+    listed = {f"h{i}.net/" for i in range(0, 100_000, 200)}
+    levels = urls.build_cascade(pages, listed, [1], max_keys=5_000)
+    assert all(urls.in_cascade(levels, f"h{i}.net/") == (i % 200 == 0) for i in range(100_000))
+    levels = urls.build_cascade(pages, listed, [1], max_keys=5_000, universe=0)         # built anew until it fits
+    assert all(urls.in_cascade(levels, f"h{i}.net/") == (i % 200 == 0) for i in range(100_000))
+
+
 def _fill(sizes, weights, most):
     """Clamp and reshare until no target is over its cap."""
     total, targets, open_ = sum(sizes), [0.0] * len(sizes), set(range(len(sizes)))

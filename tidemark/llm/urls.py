@@ -15,11 +15,14 @@ level 1 takes for false positives, and so on until a level has none. A key is
 listed if the first level that lacks it is an odd one. For keys of that universe
 the answer is exact, so urls are judged in one scan with no join and no shuffle.
 
-What is broadcast are the levels: ``bits_per_key`` bits a key, level 0 for the
-list and the rest for a geometrically shrinking number of keys (of the false
-positives, at most the universe times the error rate of level 0). The driver
-holds the list of rules by contract and the level-1 keys while it builds; both
-are counted against ``max_keys``, and a list beyond it is refused.
+What is broadcast are the levels: level 0 for the list and the rest, of
+``bits_per_key`` bits a key, for a geometrically shrinking number of keys. The
+universe is counted first (an upper bound: a sum over all rows), and level 0 has
+as many bits a listed key as leave about ``max_keys`` / 20 false positives in it,
+so its size grows with the logarithm of the corpus and the level-1 keys, which
+the driver holds while it builds, do not grow with it. Should there be more than
+``max_keys`` all the same, level 0 is built anew with twice the bits. The driver
+holds the list of rules by contract, and a list beyond ``max_keys`` is refused.
 
 Defined results: a null url or one without ``://`` has an empty host and path,
 which no rule with a host fits; without a fitting rule the verdict is ``default``
@@ -30,7 +33,7 @@ replaced and others kept.
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, log, log2
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +49,8 @@ MAX_LEVELS = 64
 
 
 class Bloom:
-    def __init__(self, keys, bits_per_key: float, seed: int):
-        self.size, self.seed = max(8, ceil(len(keys) * bits_per_key)), seed
+    def __init__(self, keys, bits_per_key: float, seed: int, least: int = 8):
+        self.size, self.seed = max(least, ceil(len(keys) * bits_per_key)), seed
         self.probes = max(1, round(bits_per_key * 0.693))
         self.bits = np.zeros(self.size, bool)
         for key in keys:
@@ -85,15 +88,16 @@ def keys_of(host: str, path: str, path_lengths: list[int]) -> list[str]:
     return [h + p for h, p in sorted(found, key=lambda x: (-len(x[0]) - len(x[1]), -len(x[0])))]
 
 
-def build_cascade(pages: DataFrame, listed: set[str], path_lengths: list[int], bits_per_key: float = 4.0,
-                  max_keys: int = 2_000_000) -> list[Bloom]:
-    """The levels over the keys of all rows (host, path) of ``pages``."""
-    if len(listed) > max_keys:
-        raise ValueError(f"{len(listed)} rules, more than max_keys = {max_keys}: split the list by host")
-    first = Bloom(sorted(listed), bits_per_key, 0)
+def most_keys(pages: DataFrame, path_lengths: list[int]) -> int:
+    """At least the number of distinct keys of all rows (host, path) of ``pages``."""
+    return (pages.agg(F.sum(F.size(F.split("host", r"\.")))).first()[0] or 0) * len(path_lengths)
+
+
+def _false_positives(pages: DataFrame, first: Bloom, listed: set[str], path_lengths: list[int], most: int) -> set[str]:
+    """The keys that ``first`` wrongly holds, or ``most`` + 1 of them where there are more."""
     shared = pages.sparkSession.sparkContext.broadcast((first, listed))
 
-    def false_positives(batches):
+    def wrong(batches):
         level, true = shared.value
         seen: set[tuple[str, str]] = set()
         for batch in batches:
@@ -105,10 +109,26 @@ def build_cascade(pages: DataFrame, listed: set[str], path_lengths: list[int], b
                         seen.add(pair)
             yield pa.RecordBatch.from_pydict({"key": pa.array(sorted(out), pa.string())})
 
-    wrong = pages.select("host", "path").mapInArrow(false_positives, "key string").distinct()
-    others = {r.key for r in wrong.limit(max_keys + 1).collect()}
-    if len(others) > max_keys:
-        raise ValueError("too many false positives of level 0 for one driver: raise bits_per_key")
+    found = pages.select("host", "path").mapInArrow(wrong, "key string").distinct()
+    return {r.key for r in found.limit(most + 1).collect()}
+
+
+def build_cascade(pages: DataFrame, listed: set[str], path_lengths: list[int], bits_per_key: float = 4.0,
+                  max_keys: int = 2_000_000, universe: int | None = None) -> list[Bloom]:
+    """The levels over the keys of all rows (host, path) of ``pages``, of which there are ``universe`` at most."""
+    if len(listed) > max_keys:
+        raise ValueError(f"{len(listed)} rules, more than max_keys = {max_keys}: split the list by host")
+    universe = most_keys(pages, path_lengths) if universe is None else universe
+    few = max(1, max_keys // 20)
+    bits, least = bits_per_key, 8
+    if universe > few:              # a small filter errs more often than its bits a key promise
+        bits, least = max(bits, log2(universe / few) / log(2)), 1 << 20
+    while True:
+        first = Bloom(sorted(listed), bits, 0, least)
+        others = _false_positives(pages, first, listed, path_lengths, max_keys)
+        if len(others) <= max_keys:
+            break
+        bits, least = 2 * bits, max(1 << 20, 2 * least)
     levels, left = [first], (others, listed)        # left[0]: what the last level wrongly holds
     while left[0]:
         if len(levels) == MAX_LEVELS:
@@ -126,7 +146,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", url_
     pages = without(pages, ["host", "path", "rule", "verdict"]).withColumns({"host": host, "path": path})
     lengths = sorted({len(p) for _, p, _ in rules})
     verdicts = sorted({v for *_, v in rules})
-    cascades = [(v, build_cascade(pages, {h + p for h, p, x in rules if x == v}, lengths, bits_per_key)) for v in verdicts]
+    universe = most_keys(pages, lengths)
+    cascades = [(v, build_cascade(pages, {h + p for h, p, x in rules if x == v}, lengths, bits_per_key, universe=universe))
+                for v in verdicts]
     shared = spark.sparkContext.broadcast(cascades)
 
     def judge(batches):
