@@ -1,5 +1,6 @@
 """Line and sentence-span deduplication against brute force on awkward rows."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -126,3 +127,36 @@ def test_spans_whole_table_against_brute_force(spark, sf):
     want = {i: v for (i, _), v in _brute_spans([tuple(r) for r in docs.collect()], 2, 13).items()}
     got = {r.doc_id: (r.n_sentences, r.n_removed, r.text) for r in spans.dedup_spans(docs).collect()}
     assert got == want
+
+
+def test_spans_reach_passages_without_whole_sentence_runs(spark):
+    """Passages of 60 words in short lines, in one sentence and inside other sentences lose all but their edges."""
+    w = [f"p{i}" for i in range(180)]
+    short = "\n".join(" ".join(w[i:i + 5]) for i in range(0, 60, 5))
+    one, glued = " ".join(w[60:120]) + ".", " ".join(w[120:180])
+    rows = []
+    for d in range(4):
+        own = lambda k, n: " ".join(f"d{d}x{k}x{i}" for i in range(n))
+        rows.append((d, f"{own(0, 9)}.\n{short}\n{own(1, 20)}. {one} {own(2, 7 + d)} {glued} {own(3, 9 - d)}. {own(4, 30)}."))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text.replace(".", "").split() for r in spans.dedup_spans(df, window=8).collect()}
+    before = {i: t.replace(".", "").split() for i, t in rows}
+    assert got[0] == before[0]
+    for d in range(1, 4):
+        assert [x for x in got[d] if x[0] == "d"] == [x for x in before[d] if x[0] == "d"]
+        for a in (0, 60, 120):
+            assert sum(x in w[a:a + 60] for x in got[d]) <= 30
+    plain = {r.doc_id: r.text for r in spans.dedup_spans(df).collect()}
+    assert plain == dict(rows)          # whole sentences alone reach none of them
+
+
+def test_every_shared_passage_of_50_words_has_a_run():
+    rng = random.Random(6)
+    words = [f"v{i}" for i in range(3000)]
+    say = lambda n, p: [x + rng.choice([".", ".", "\n"]) if rng.random() < p else x for x in rng.choices(words, k=n)]
+    for _ in range(300):
+        passage = say(50, rng.choice([0, 0.03, 0.1, 0.3]))
+        texts = [" ".join(say(rng.randrange(40), 0.05) + passage + say(rng.randrange(40), 0.05)).encode() for _ in range(2)]
+        text, _, _, two = spans._runs(texts, 2, 13, 8)
+        held = [set(zip(*two[:, text == i].tolist())) for i in range(2)]
+        assert held[0] & held[1]

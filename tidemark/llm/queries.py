@@ -83,7 +83,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sentence_spans")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.dedup_spans(docs).select("doc_id", "n_sentences", "n_removed", "text")
+    return spans.dedup_spans(docs, window=8).select("doc_id", "n_sentences", "n_removed", "text")
 
 
 @query("op4_line_dedup", f"""
