@@ -641,3 +641,12 @@ def test_split_ties_equal_ranked_ties(spark):
         [("a",), ("b",), ("d",), ("e",), ("f",), ("i",)]
     with pytest.raises(ValueError):
         latest_per_key(df, ["k"], "t", ties="row_number", split=True)
+
+
+def test_top_k_length_is_that_of_the_corpus(spark):
+    from tidemark.operators import retrieval
+    corpus = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)] + [(9, [1.0])], "vec_id long, v array<double>")
+    questions = spark.createDataFrame([(1, [1.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])], "q long, v array<double>").coalesce(1)
+    got = retrieval.top_k(corpus, "vec_id", "v", questions, "q", "v", k=1).collect()
+    assert {(r.query_id, r.vec_id) for r in got} == {(2, 0), (3, 4)}
+    assert retrieval.top_k(corpus, "vec_id", "v", questions.limit(0), "q", "v", k=1).count() == 0

@@ -99,17 +99,18 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
     Score is cosine similarity in double precision, rounded to 6 places;
     ties are broken by the smaller ``vec_id``. Any number of questions: they are
     dealt by hash into blocks of about ``per_scan``, one scan of the corpus each.
-    Vectors that are null, hold a null or have another length than the questions
-    (that of the first) are left out; ``unusable_vectors`` lists them.
+    Vectors that are null, hold a null or have another length than most of the
+    corpus (of equally common ones the smallest) are left out, in questions as in
+    the corpus; ``unusable_vectors`` lists them.
     """
     spark = corpus.sparkSession
-    questions = questions.filter(usable(q_vec_col))
-    first = questions.select(F.size(q_vec_col)).first()
+    dims = F.size(vec_col).alias("dims")
+    first = corpus.filter(usable(vec_col)).groupBy(dims).count().orderBy(F.desc("count"), "dims").first()
     if first is None:
         return spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
     questions = questions.filter(usable(q_vec_col, first[0]))
     corpus = corpus.filter(usable(vec_col, first[0]))
-    blocks = -(-questions.count() // per_scan)
+    blocks = max(1, -(-questions.count() // per_scan))
     block = F.pmod(F.xxhash64(q_id_col), F.lit(blocks))
     found = [_top_k_block(corpus, id_col, vec_col, questions.filter(block == b), q_id_col, q_vec_col, k) for b in range(blocks)]
     return reduce(DataFrame.unionByName, found)
