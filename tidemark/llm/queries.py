@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, digest, lines, mixing, ngram_join, packing, quality, spans, topk, urls
+from tidemark.llm import centroids, chat, digest, lines, mixing, ngram_join, packing, quality, spans, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +206,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines_, 256).alias("turns_sha256"),
                        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def _cluster_sql(k: int = 8, rounds: int = 10, scale: int = 1024, seed: int = 3) -> str:
+    """Every round as one pair of tables: the nearest centroids, and the centroids that follow."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+    SELECT x.vec_id, x.v, c.cluster,
+           list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM x, c{i} c) GROUP BY vec_id, v)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM (
+      SELECT cluster, j, sum(u)::BIGINT AS s, count(*)::BIGINT AS n
+      FROM (SELECT cluster, unnest(v) AS u, unnest(range({64})) AS j FROM a{i}) GROUP BY cluster, j)
+    GROUP BY cluster) m USING (cluster))""")
+    return f"""
+WITH x AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: floor({scale} * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1)::INT AS cluster, v
+  FROM x QUALIFY row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) <= {k}),""" + ",".join(steps) + f"""
+SELECT a.vec_id, a.cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+       sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+"""
+
+
+@query("op11_centroid_planes", _cluster_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.centroid_clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, scale=1024.0, dims=64, seed=3)
+    return found.withColumn("centroid_sha256", centroids.centroid_digest()).drop("centroid")
