@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import centroids, chat, digest, lines, mixing, ngram_join, packing, quality, spans, topk, urls
+from tidemark.llm import centroids, chat, digest, lines, mixing, ngram_join, packing, quality, ranked, spans, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -243,3 +243,27 @@ FROM a{rounds} a JOIN c{rounds} c USING (cluster)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = centroids.centroid_clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, scale=1024.0, dims=64, seed=3)
     return found.withColumn("centroid_sha256", centroids.centroid_digest()).drop("centroid")
+
+
+TERMS_SQL = "regexp_extract_all(" + LOWER_SQL.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op13_ranked_search", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {TERMS_SQL} AS w FROM documents),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM d WHERE len(w) > 0),
+p AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM p, s GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+x AS (
+  SELECT q.item_id, p.r, p.doc_id,
+         sum(f.weight * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * p.n * s.docs) // s.terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN f USING (term), s GROUP BY q.item_id, p.r, p.doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
