@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import centroids, chat, digest, lines, mixing, ngram_join, packing, quality, ranked, spans, topk, urls
+from tidemark.llm import centroids, chat, digest, lines, mixing, ngram_join, packing, quality, ranked, slack, spans, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -245,6 +245,15 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("centroid_sha256", centroids.centroid_digest()).drop("centroid")
 
 
+@query("op12_slack_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = slack.pack_slack(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+    return packed.drop("window")
+
+
 TERMS_SQL = "regexp_extract_all(" + LOWER_SQL.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 
