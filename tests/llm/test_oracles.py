@@ -19,4 +19,4 @@ def test_matches_sql(spark, sf, con, name):
 
 def test_all_are_registered():
     names = E.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
