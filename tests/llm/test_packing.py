@@ -85,6 +85,20 @@ def test_dominance_never_costs_a_sequence():
         assert sum(n for _, n in fixed) + _optimum(count.elements(), capacity) == _optimum(items, capacity), items
 
 
+def test_dominance_is_sound_where_three_small_items_fit():
+    count = Counter([10, 8, 4, 4, 4, 3, 3, 3])
+    fixed = packing._reduce(count, 20)
+    assert sum(n for _, n in fixed) + _optimum(count.elements(), 20) == 2
+    rng = random.Random(11)
+    for _ in range(1500):
+        capacity = rng.randint(13, 30)
+        items = [rng.randint(2, rng.choice([capacity // 3, capacity // 2, capacity])) for _ in range(rng.randint(6, 9))]
+        count = Counter(items)
+        fixed = packing._reduce(count, capacity)
+        if fixed:
+            assert sum(n for _, n in fixed) + _optimum(count.elements(), capacity) == _optimum(items, capacity), items
+
+
 def test_plans_are_whole_and_tight():
     rng = random.Random(9)
     for capacity in (7, 64, 1024):

@@ -13,9 +13,9 @@ with the longest item in one bin dominates all other sets with it, and is fixed
 for good, when
 
 * nothing fits beside it: the item alone;
-* the largest item that fits beside it fills the bin exactly, or no two items
-  fit beside it, or no two that fit beside it have a larger sum than that one
-  item: the pair;
+* the largest item that fits beside it fills the bin exactly, or no two or more
+  items that fit beside it have a larger sum than that one item (their subset
+  sums, held as a bitset, show it): the pair;
 * no three items fit beside it, and no two could stand in for the largest that
   fits and the largest that then fits: the triple.
 
@@ -199,10 +199,9 @@ def _reduce(count: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...],
         while j in count:
             room = capacity - j
             k = largest(room, (j,))
-            pair = _best_pair(lengths, count, room, j)
             if not k:
                 take((j,))
-            elif k == room or pair <= k:
+            elif k == room or not _fuller(lengths, count, room, j, k):
                 take((j, k))
             elif (a := largest(room - k, (j, k))) and _only_triple(lengths, count, room, j, k, a):
                 take((j, k, a))
@@ -211,18 +210,21 @@ def _reduce(count: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...],
     return fixed
 
 
-def _best_pair(lengths: list[int], count: dict[int, int], room: int, j: int) -> int:
-    """The largest sum within ``room`` of two items beside one of length ``j``; 0 if no two fit."""
-    best, lo, hi = 0, 0, bisect_right(lengths, room) - 1
-    left = lambda x: count[x] - (x == j)
-    while lo <= hi:
-        a, b = lengths[lo], lengths[hi]
-        if a + b > room or not left(b) or (lo == hi and left(b) < 2):
-            hi -= 1
-        else:
-            best = max(best, a + b if left(a) else 0)
-            lo += 1
-    return best
+def _fuller(lengths: list[int], count: dict[int, int], room: int, j: int, k: int) -> bool:
+    """Whether items beside one of length ``j`` can sum to more than ``k`` within ``room``.
+
+    ``k`` is the largest single item, so it would take two or more of them.
+    """
+    sums, fits = 1, (1 << (room + 1)) - 1
+    for x in lengths[:bisect_right(lengths, room)]:
+        most, step = min(count[x] - (x == j), room // x), 1
+        while most > 0:
+            some = min(step, most)
+            sums |= (sums << (x * some)) & fits
+            most, step = most - some, 2 * step
+        if sums >> (k + 1):
+            return True
+    return False
 
 
 def _only_triple(lengths: list[int], count: dict[int, int], room: int, j: int, k: int, a: int) -> bool:
