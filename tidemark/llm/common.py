@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +59,13 @@ def slices(sizes, most: int = 1 << 21):
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def share(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcast a value of bounded size; tasks call the result to read it.
+
+    What is broadcast are bytes that hold the value's classes with it, so workers that
+    cannot import this package read it as well.
+    """
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)

@@ -25,7 +25,7 @@ words in capitals, words per line, and length.
 
 Defined results: null text is empty; an empty text has features of zero and a
 score like any other; a null id counts as the empty text in the fold; repeated
-rows are scored alike; labels for absent documents and null labels are ignored;
+rows are scored alike; of the texts of a repeated id the smallest is learnt from; labels for absent documents and null labels are ignored;
 without positives or unlabelled rows every score is 0.5 (predicted 1); an empty
 table gives an empty result; input columns named score or predicted are replaced
 and others kept.
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, without
+from tidemark.llm.common import share, slices, without
 from tidemark.llm.ngram_join import hash_words
 
 _CLASS = np.zeros(256, np.int64)
@@ -184,8 +184,8 @@ def fit(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, id_col: st
 
     # 2 * max_rows ids: small enough to broadcast, and the bound on what is collected.
     kept = (docs.select(F.col(id_col).alias("tm_id"), F.col(text_col).alias("tm_text"))
-            .join(F.broadcast(chosen), "tm_id").select("tm_id", "tm_side", "tm_text"))
-    rows = kept.mapInArrow(run, "id long, side int, x binary").dropDuplicates(["id", "side"]).toArrow().sort_by([("side", "ascending"), ("id", "ascending")])
+            .join(F.broadcast(chosen), "tm_id").groupBy("tm_id", "tm_side").agg(F.min("tm_text").alias("tm_text")))
+    rows = kept.mapInArrow(run, "id long, side int, x binary").toArrow().sort_by([("side", "ascending"), ("id", "ascending")])
     side = rows["side"].to_numpy()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(len(side), N_FEATURES)
     if not (side == 1).any() or not (side == 0).any():
@@ -202,10 +202,10 @@ def fit(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, id_col: st
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """``docs`` plus score (0 to 1) and predicted (1 if score >= 0.5, else 0)."""
     docs = without(docs, ["score", "predicted"])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches):
-        held = shared.value
+        held = shared()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.large_binary()).to_pylist()
             s = held.scores(features([t or b"" for t in texts])) if held else np.full(len(texts), 0.5)

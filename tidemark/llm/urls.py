@@ -22,7 +22,8 @@ as many bits a listed key as leave about ``max_keys`` / 20 false positives in it
 so its size grows with the logarithm of the corpus and the level-1 keys, which
 the driver holds while it builds, do not grow with it. Should there be more than
 ``max_keys`` all the same, level 0 is built anew with twice the bits. The driver
-holds the list of rules by contract, and a list beyond ``max_keys`` is refused.
+holds the list of rules by contract. After ``MAX_LEVELS`` levels the keys still in
+doubt are kept as they are, so the cascade ends and is exact with any filters.
 
 Defined results: a null url or one without ``://`` has an empty host and path,
 which no rule with a host fits; without a fitting rule the verdict is ``default``
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import without
+from tidemark.llm.common import share, without
 
 Rule = tuple[str, str, str]                  # host, path, verdict
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,7 +67,7 @@ class Bloom:
         return all(self.bits[i >> 3] >> (7 - (i & 7)) & 1 for i in self._at(key))
 
 
-def in_cascade(levels: list[Bloom], key: str) -> bool:
+def in_cascade(levels: list[Bloom | frozenset[str]], key: str) -> bool:
     for depth, level in enumerate(levels):
         if key not in level:
             return depth % 2 == 1
@@ -95,10 +96,10 @@ def most_keys(pages: DataFrame, path_lengths: list[int]) -> int:
 
 def _false_positives(pages: DataFrame, first: Bloom, listed: set[str], path_lengths: list[int], most: int) -> set[str]:
     """The keys that ``first`` wrongly holds, or ``most`` + 1 of them where there are more."""
-    shared = pages.sparkSession.sparkContext.broadcast((first, listed))
+    shared = share(pages.sparkSession, (first, listed))
 
     def wrong(batches):
-        level, true = shared.value
+        level, true = shared()
         seen: set[tuple[str, str]] = set()
         for batch in batches:
             out: set[str] = set()
@@ -114,10 +115,8 @@ def _false_positives(pages: DataFrame, first: Bloom, listed: set[str], path_leng
 
 
 def build_cascade(pages: DataFrame, listed: set[str], path_lengths: list[int], bits_per_key: float = 4.0,
-                  max_keys: int = 2_000_000, universe: int | None = None) -> list[Bloom]:
+                  max_keys: int = 2_000_000, universe: int | None = None) -> list[Bloom | frozenset[str]]:
     """The levels over the keys of all rows (host, path) of ``pages``, of which there are ``universe`` at most."""
-    if len(listed) > max_keys:
-        raise ValueError(f"{len(listed)} rules, more than max_keys = {max_keys}: split the list by host")
     universe = most_keys(pages, path_lengths) if universe is None else universe
     few = max(1, max_keys // 20)
     bits, least = bits_per_key, 8
@@ -131,8 +130,9 @@ def build_cascade(pages: DataFrame, listed: set[str], path_lengths: list[int], b
         bits, least = 2 * bits, max(1 << 20, 2 * least)
     levels, left = [first], (others, listed)        # left[0]: what the last level wrongly holds
     while left[0]:
-        if len(levels) == MAX_LEVELS:
-            raise ValueError("no end of false positives: raise bits_per_key")
+        if len(levels) == MAX_LEVELS:               # such filters hardly shrink: end with the keys themselves
+            levels.append(frozenset(left[0]))
+            break
         levels.append(Bloom(sorted(left[0]), bits_per_key, len(levels)))
         left = {k for k in left[1] if k in levels[-1]}, left[0]
     return levels
@@ -149,14 +149,15 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", url_
     universe = most_keys(pages, lengths)
     cascades = [(v, build_cascade(pages, {h + p for h, p, x in rules if x == v}, lengths, bits_per_key, universe=universe))
                 for v in verdicts]
-    shared = spark.sparkContext.broadcast(cascades)
+    shared = share(spark, cascades)
 
     def judge(batches):
+        held = shared()
         for batch in batches:
             at = [batch.schema.get_field_index(n) for n in ("host", "path")]
             rows = []
             for h, p in zip(*[batch.column(i).to_pylist() for i in at]):
-                rows.append(next(((k, v) for k in keys_of(h, p, lengths) for v, levels in shared.value
+                rows.append(next(((k, v) for k in keys_of(h, p, lengths) for v, levels in held
                                   if in_cascade(levels, k)), (None, default)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())],
