@@ -1,6 +1,7 @@
 """Chat formatting, URL cascade and source mixing against brute force."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,29 @@ def test_mix_reaches_targets(spark):
     mixed = mixing.mix_documents(df)
     assert mixed.columns == df.columns and mixed.count() == sum(r.copies for r in got)
     assert mixing.mix_table(df.limit(0)).count() == 0 and mixing.mix_documents(df.limit(0)).count() == 0
+
+
+def test_cascade_ends_with_the_keys_themselves(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MAX_LEVELS", 2)
+    pages = spark.createDataFrame([(i, f"https://h{i}.example/p{i}") for i in range(400)], "page_id long, url string")
+    rules = [(f"h{i}.example", f"/p{i}"[:3], "block") for i in range(0, 400, 3)]
+    held = {h + p for h, p, _ in rules}
+    host, path = urls.host_and_path(F.col("url"))
+    levels = urls.build_cascade(pages.select(host.alias("host"), path.alias("path")), held, [2, 3], bits_per_key=0.5)
+    assert isinstance(levels[-1], frozenset) and len(levels) == 3
+    got = urls.judge_urls(pages, rules, bits_per_key=0.5).filter("verdict = 'block'")
+    assert {r.page_id for r in got.collect()} == set(range(0, 400, 3))
+
+
+def test_long_conversations_are_formatted_within_seconds(spark):
+    n = 20_000
+    rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+                                 F.concat(F.lit("é \\ <turn/> "), F.col("id").cast("string"), F.repeat(F.lit(" w"), 30)).alias("text"))
+    began = time.time()
+    r = chat.format_chats(rows).select("loss_spans", chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+                                       chat.parse(F.col("formatted")).alias("turns")).first()
+    assert time.time() - began < 60
+    want = [("user" if i % 3 == 0 else "assistant", f"é \\ <turn/> {i}" + " w" * 30) for i in range(n)]
+    assert [(t.role, t.text) for t in r.turns] == want
+    assert r.loss == "".join(t for role, t in want if role == "assistant") and len(r.loss_spans) == n - len(range(0, n, 3))

@@ -169,6 +169,14 @@ def test_quality_defined_cases(spark):
     assert quality.score(df.limit(0), model).count() == 0
 
 
+def test_repeated_ids_give_one_model_in_any_order(spark):
+    rows = [(i % 40, f"Some good sentence number {i}. " * (1 + i % 5)) for i in range(160)] + [(1, None), (None, "no id"), (7, "x")] * 20
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)], "doc_id long, quality int")
+    models = [quality.fit_on_labels(spark.createDataFrame(sorted(rows, key=lambda r: hash((k, r))), "doc_id long, text string").repartition(n),
+                                    labels) for k, n in ((1, 1), (2, 5))]
+    assert (models[0].weight == models[1].weight).all() and models[0].prior == models[1].prior
+
+
 def test_features_do_not_depend_on_the_batch():
     texts = [b"", b"One two two. THREE!", "é | ü | ñ".encode(), b"\n\n", b"a a a a b", b"x" * 5000]
     assert np.allclose(quality.features(texts), np.concatenate([quality.features([t]) for t in texts]))

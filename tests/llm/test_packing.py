@@ -24,16 +24,18 @@ def test_encoder_equals_the_tokenizer():
     alphabet = ["a", "The", "'s", " ", " ", "  ", "\n", "\t", "é", "ß", "9", ".", "!", " ", "🙂", "\\", "<|endoftext|>", "語"]
     texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
     for _ in range(2):
-        for t, ids in zip(texts, own.slices(pa.array(texts))):
+        got = [ids for _, some in own.slices(pa.array(texts)) for ids in some]
+        assert len(got) == len(texts)
+        for t, ids in zip(texts, got):
             assert ids.tolist() == model.encode(t, add_special_tokens=False).ids, t
 
 
-def test_encoder_survives_a_full_cache(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
-    own, model = packing.Encoder(PATH), Tokenizer.from_file(PATH)
+def test_encoder_forgets_beyond_its_bound():
+    own, model = packing.Encoder(PATH, most=100), Tokenizer.from_file(PATH)
     for i in range(20):
         t = f"alpha beta gamma delta {i} alpha"
-        assert own.encode(pa.array([t]))[0].tolist() == model.encode(t, add_special_tokens=False).ids
+        assert own.encode(pa.array([t], pa.large_string()))[0].tolist() == model.encode(t, add_special_tokens=False).ids
+        assert len(own.known.units) <= 10
 
 
 def test_cut():
