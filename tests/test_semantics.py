@@ -205,11 +205,14 @@ def test_top_k_takes_any_number_of_questions_and_reports_unusable_vectors(spark,
     one = retrieval.top_k(emb, "vec_id", "embedding", emb, "vec_id", "embedding", k=3)
     many = retrieval.top_k(emb, "vec_id", "embedding", emb, "vec_id", "embedding", k=3, per_scan=40)
     assert rows(one, "query_id", "vec_id", "rank") == rows(many, "query_id", "vec_id", "rank")
-    odd = spark.createDataFrame([(-1, None), (-2, [1.0, None]), (-3, [1.0])], "vec_id long, embedding array<float>")
+    bad = [(-4 - i, [x] + [0.5] * 63) for i, x in enumerate([float("nan"), float("inf"), float("-inf")] * 3)]
+    odd = spark.createDataFrame([(-1, None), (-2, [1.0, None]), (-3, [1.0]), *bad], "vec_id long, embedding array<float>")
     both = retrieval.top_k(emb.unionByName(odd), "vec_id", "embedding", emb.unionByName(odd.filter("vec_id > -3")), "vec_id", "embedding", k=3)
     assert rows(both, "query_id", "vec_id", "rank") == rows(one, "query_id", "vec_id", "rank")
     got = retrieval.unusable_vectors(emb.unionByName(odd), "vec_id", "embedding", 64)
-    assert rows(got, "vec_id", "reason") == [(-3, "length"), (-2, "null component"), (-1, "null")]
+    assert rows(got, "vec_id", "reason") == [(-i, "not finite") for i in range(12, 3, -1)] + [(-3, "length"), (-2, "null component"), (-1, "null")]
+    few = emb.limit(5).unionByName(odd).coalesce(1)                 # more NaN than good vectors in one batch
+    assert retrieval.top_k(few, "vec_id", "embedding", emb.limit(1), "vec_id", "embedding", k=5).count() == 5
 
 
 # --- Q1-Q3 and joins ------------------------------------------------------------------------

@@ -49,6 +49,28 @@ def retrieve_top_k_many(spark, sf):
     return retrieval.top_k(emb.unionByName(holes), "vec_id", "embedding", emb.filter("label = 1"), "vec_id", "embedding", k=3, per_scan=20)
 
 
+_SPOILT = """CASE WHEN vec_id % 7 = 3 THEN list_concat(['nan'::DOUBLE], v[2:]) WHEN vec_id % 11 = 4 THEN list_concat(['-inf'::DOUBLE], v[2:])
+  WHEN vec_id % 13 = 6 THEN v[1:63] WHEN vec_id % 17 = 5 THEN list_concat([NULL], v[2:]) ELSE v END"""
+
+
+@check("retrieve_top_k_unclean", f"""
+WITH e AS (SELECT vec_id, {_SPOILT} AS v FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+ok AS (SELECT * FROM e WHERE len(v) = 64 AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)
+SELECT query_id, vec_id, score, rank FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, {_COSINE} AS score,
+         CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COSINE} DESC, c.vec_id) AS INTEGER) AS rank
+  FROM (SELECT * FROM ok WHERE vec_id % 10 = 0) q, ok c)
+WHERE rank <= 4""")
+def retrieve_top_k_unclean(spark, sf):
+    # NaN, infinite, null and missing components in the corpus and in the questions, which come in several blocks.
+    first = lambda x: F.concat(F.array(F.lit(x).cast("float")), F.slice("embedding", 2, 63))
+    spoilt = (F.when(F.col("vec_id") % 7 == 3, first(float("nan"))).when(F.col("vec_id") % 11 == 4, first(float("-inf")))
+              .when(F.col("vec_id") % 13 == 6, F.slice("embedding", 1, 63)).when(F.col("vec_id") % 17 == 5, first(None))
+              .otherwise(F.col("embedding")))
+    emb = table(spark, sf, "embeddings").select("vec_id", spoilt.alias("embedding"))
+    return retrieval.top_k(emb, "vec_id", "embedding", emb.filter("vec_id % 10 = 0"), "vec_id", "embedding", k=4, per_scan=30)
+
+
 @check("keys_parent_child_orphans", """
 SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NULL OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)""")
 def keys_parent_child_orphans(spark, sf):

@@ -11,14 +11,14 @@ global order (score rounded to 6 places, then id) is decided by a
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import scratch_path
+
 QUESTIONS_PER_SCAN = 4096     # broadcast bound: questions x dims x 8 bytes
 QUESTION_BLOCK = 256          # questions scored together against one Arrow batch
 SCORE_DIGITS = 6
@@ -73,14 +73,16 @@ _normalise, _matrix = _kernels()
 
 
 def usable(vec_col: str, dims: int | None = None):
-    """Whether a vector can be scored: not null, no null component, ``dims`` long if given."""
-    ok = F.col(vec_col).isNotNull() & F.coalesce(F.forall(vec_col, lambda x: x.isNotNull()), F.lit(False))
+    """Whether a vector can be scored: not null, all components finite numbers, ``dims`` long if given."""
+    finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    ok = F.col(vec_col).isNotNull() & F.coalesce(finite, F.lit(False))
     return ok & (F.size(vec_col) == dims) if dims is not None else ok
 
 
 def unusable_vectors(df: DataFrame, id_col: str, vec_col: str, dims: int) -> DataFrame:
     """The rows that ``top_k`` leaves out, with the reason."""
-    reason = F.when(F.col(vec_col).isNull(), "null").when(~usable(vec_col), "null component").otherwise("length")
+    reason = (F.when(F.col(vec_col).isNull(), "null").when(F.exists(vec_col, lambda x: x.isNull()), "null component")
+              .when(~usable(vec_col), "not finite").otherwise("length"))
     return df.filter(~usable(vec_col, dims)).select(id_col, reason.alias("reason"))
 
 
@@ -98,8 +100,10 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
 
     Score is cosine similarity in double precision, rounded to 6 places;
     ties are broken by the smaller ``vec_id``. Any number of questions: they are
-    dealt by hash into blocks of about ``per_scan``, one scan of the corpus each.
-    Vectors that are null, hold a null or have another length than most of the
+    dealt by hash into blocks of about ``per_scan``, one scan of the corpus each. With
+    several blocks each one's hits are written to the shared scratch folder before the
+    next one starts, so the driver holds the vectors of one block only.
+    Vectors that are null, hold a null, NaN or infinite component or have another length than most of the
     corpus (of equally common ones the smallest) are left out, in questions as in
     the corpus; ``unusable_vectors`` lists them.
     """
@@ -112,8 +116,12 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
     corpus = corpus.filter(usable(vec_col, first[0]))
     blocks = max(1, -(-questions.count() // per_scan))
     block = F.pmod(F.xxhash64(q_id_col), F.lit(blocks))
-    found = [_top_k_block(corpus, id_col, vec_col, questions.filter(block == b), q_id_col, q_vec_col, k) for b in range(blocks)]
-    return reduce(DataFrame.unionByName, found)
+    if blocks == 1:
+        return _top_k_block(corpus, id_col, vec_col, questions, q_id_col, q_vec_col, k)
+    path = scratch_path(spark, "retrieval-hits")
+    for b in range(blocks):
+        _top_k_block(corpus, id_col, vec_col, questions.filter(block == b), q_id_col, q_vec_col, k).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _top_k_block(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_id_col: str,
