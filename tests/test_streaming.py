@@ -63,3 +63,22 @@ def test_guarded_stream_keeps_newer_rows(spark, sf):
     want = sorted(read_table(spark, in_order).collect())
     assert sorted(read_table(spark, guarded).collect()) == want
     assert sorted(read_table(spark, plain).collect()) != want      # S3: late rows won
+
+
+def test_arrays_and_maps_are_typed_at_any_depth(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("prices", T.MapType(T.StringType(), T.DecimalType(8, 2))),
+                           T.StructField("seats", T.ArrayType(T.StructType([T.StructField("at", T.TimestampNTZType()),
+                                                                            T.StructField("n", T.LongType())])))])
+    meta = '"metadata": {"operation": "insert", "record-type": "data"}'
+    lines = ['{"data": {"ids": [1, "2", null], "prices": {"a": "1.50", "b": 2}, "seats": [{"at": "2024-01-02T03:04:05", "n": "7"}]}, %s}',
+             '{"data": {"ids": [1, "x"]}, %s}', '{"data": {"prices": {"a": "much"}}, %s}', '{"data": {"seats": [{"n": 1}, {"at": "noon"}]}, %s}',
+             '{"data": {"ids": [], "prices": {}, "seats": null}, %s}', '{"data": {"ids": 5}, %s}']
+    df = spark.createDataFrame([(line % meta,) for line in lines], "value string")
+    got = cs.typed_records(df, schema).collect()
+    assert [r.malformed is None for r in got] == [True, False, False, False, True, False]
+    first = got[0].data
+    assert first.ids == [1, 2, None] and {k: str(v) for k, v in first.prices.items()} == {"a": "1.50", "b": "2.00"}
+    assert first.seats[0].n == 7 and first.seats[0]["at"].minute == 4
+    assert got[4].data.ids == [] and got[4].data.prices == {}

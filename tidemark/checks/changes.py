@@ -9,6 +9,7 @@ from tidemark.checks.core import changes
 from tidemark.checks.stateless import CUSTOMER_ACTIVITY_SQL, customer_activity
 from tidemark.operators import generate, keys, upsert
 from tidemark.operators.cdc import flatten, latest_per_key
+from tidemark.plans import handoff
 from tidemark.session import scratch_path, scratch_table
 from tidemark.sources.cdc import encode_changes, select_tables, snapshot_diff
 
@@ -276,3 +277,64 @@ def dml_update_touch_time(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("updated_time"))
     patch = o.filter("o_orderkey % 5 = 0").select("o_orderkey", F.lit("held").alias("o_orderstatus"))
     return upsert.update_by_key(o, patch, ["o_orderkey"], touch={"updated_time": F.lit("2024-02-01").cast("timestamp_ntz")})
+
+
+# --- full load beside a running feed (A13) -------------------------------------
+
+CHUNKS = 4
+
+
+def _handoff_feed(spark, sf):
+    """Changes of orders, numbered without gaps by event id: a third of them each insert, update and delete."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "value")
+    top = F.lit(10_000_000)
+    op = F.when(F.col("event_id") % 3 == 0, "delete").when(F.col("event_id") % 3 == 1, "update").otherwise("insert")
+    key = F.when(F.col("event_id") % 3 == 2, top + F.col("user_id")).when(F.col("event_id") % 6 == 0, top + F.col("user_id")).otherwise(F.col("user_id"))
+    return ev.select(key.alias("o_orderkey"), F.col("value").alias("o_totalprice"), op.alias("operation"), F.col("event_id").alias("position"))
+
+
+_HANDOFF_FEED = """SELECT CASE WHEN event_id % 3 = 2 OR event_id % 6 = 0 THEN 10000000 + user_id ELSE user_id END AS o_orderkey, value AS o_totalprice,
+  CASE event_id % 3 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'insert' END AS operation, event_id AS position FROM events"""
+
+
+@check("handoff_full_load", f"""
+WITH f AS ({_HANDOFF_FEED}),
+b AS (SELECT o_orderkey, o_totalprice, 'load' AS operation, -1 AS position FROM orders UNION ALL SELECT * FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY position DESC) AS n FROM b)
+SELECT o_orderkey, o_totalprice FROM r WHERE n = 1 AND operation <> 'delete'""")
+def handoff_full_load(spark, sf):
+    # While four chunks of orders are read, the feed of all events goes on: before, within and after each read.
+    feed = _handoff_feed(spark, sf)
+    base = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    last = feed.agg(F.max("position")).first()[0]
+    clock = iter(range(1, 3 * CHUNKS + 1))
+    now = {"end": 0}
+
+    def log_end():
+        now["end"] = last * next(clock) // (3 * CHUNKS)
+        return now["end"]
+
+    def read_chunk(chunk):
+        # The source as it stands a little after the low mark: the base rows under all changes up to then.
+        at = last * next(clock) // (3 * CHUNKS)
+        before = base.withColumns({"operation": F.lit(handoff.LOAD), "position": F.lit(-1).cast("long")})
+        return handoff.state_at(before, feed, ["o_orderkey"], at).filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(CHUNKS)) == chunk)
+
+    loads, _ = handoff.run_handoff(spark, scratch_path(spark, "handoff"), list(range(CHUNKS)), read_chunk,
+                                   lambda a, b: feed.filter(F.col("position").between(a + 1, b)), log_end, ["o_orderkey"])
+    return handoff.state_at(loads, feed, ["o_orderkey"], last)
+
+
+@check("cdc_snapshot_diff_null_keys", """
+WITH o AS (SELECT nullif(c_custkey % 50, 7) AS a, c_nationkey AS b, sum(c_acctbal) AS v FROM customer WHERE c_custkey % 5 <> 0 GROUP BY ALL),
+n AS (SELECT nullif(c_custkey % 50, 7) AS a, c_nationkey AS b, sum(c_acctbal) AS v FROM customer WHERE c_custkey % 7 <> 0 GROUP BY ALL)
+SELECT coalesce(o.a, n.a) AS a, coalesce(o.b, n.b) AS b, round(coalesce(n.v, o.v), 2) AS v,
+       CASE WHEN o.b IS NULL THEN 'insert' WHEN n.b IS NULL THEN 'delete' ELSE 'update' END AS operation
+FROM o FULL JOIN n ON o.a IS NOT DISTINCT FROM n.a AND o.b = n.b
+WHERE o.b IS NULL OR n.b IS NULL OR round(o.v, 2) <> round(n.v, 2)""")
+def cdc_snapshot_diff_null_keys(spark, sf):
+    c = table(spark, sf, "customer")
+    a = F.when(F.col("c_custkey") % 50 != 7, F.col("c_custkey") % 50).alias("a")
+    shot = lambda keep: (c.filter(keep).groupBy(a, F.col("c_nationkey").alias("b"))
+                         .agg(F.round(F.sum("c_acctbal"), 2).alias("v")))
+    return snapshot_diff(shot("c_custkey % 5 <> 0"), shot("c_custkey % 7 <> 0"), ["a", "b"], F.lit(None), with_load=False).drop("commit_ts")

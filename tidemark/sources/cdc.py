@@ -106,14 +106,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], ts: Column,
 
     ``load`` rows carry the old snapshot (the full-load phase), then one
     ``insert``/``update``/``delete`` per key that differs. Value columns are
-    compared null-safely. One full outer join on the keys gives both phases.
+    compared null-safely, and so are keys: a null is a key value like any other. One
+    full outer join on the keys gives both phases.
     Output columns: the keys, the value columns of the record, ``operation``
     and ``commit_ts``.
     """
     values = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, F.struct(*values).alias("_o"))
-    n = new.select(*keys, F.struct(*values).alias("_n"))
-    j = o.join(n, on=keys, how="full_outer")
+    o = old.select(F.struct(*keys).alias("_ok"), F.struct(*values).alias("_o"))
+    n = new.select(F.struct(*keys).alias("_nk"), F.struct(*values).alias("_n"))
+    same = reduce(lambda x, y: x & y, [F.col(f"_ok.`{k}`").eqNullSafe(F.col(f"_nk.`{k}`")) for k in keys])
+    j = o.join(n, same, "full_outer").select(
+        *[F.coalesce(F.col("_ok"), F.col("_nk")).getField(k).alias(k) for k in keys], "_o", "_n")
     op = (F.when(F.col("_o").isNull(), F.lit("insert"))
            .when(F.col("_n").isNull(), F.lit("delete"))
            .when(~F.col("_o").eqNullSafe(F.col("_n")), F.lit("update")))

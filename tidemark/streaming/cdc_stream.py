@@ -57,11 +57,23 @@ MALFORMED = "malformed"
 def _as_text(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.StructType):
         return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    if isinstance(kind, T.MapType):
+        if not isinstance(kind.keyType, T.StringType):
+            raise ValueError(f"names of a JSON object are text, not {kind.keyType.simpleString()}")
+        return T.MapType(T.StringType(), _as_text(kind.valueType))
     return T.StringType()
 
 
 def _typed(value, kind: T.DataType):
     """(typed value, whether some text in it did not parse as its type)."""
+    if isinstance(kind, T.ArrayType):
+        return (F.transform(value, lambda x: _typed(x, kind.elementType)[0]),
+                F.coalesce(F.exists(value, lambda x: _typed(x, kind.elementType)[1]), F.lit(False)))
+    if isinstance(kind, T.MapType):
+        return (F.transform_values(value, lambda _, x: _typed(x, kind.valueType)[0]),
+                F.coalesce(F.exists(F.map_values(value), lambda x: _typed(x, kind.valueType)[1]), F.lit(False)))
     if not isinstance(kind, T.StructType):
         typed = value if isinstance(kind, T.StringType) else value.try_cast(kind)
         return typed, value.isNotNull() & typed.isNull()
