@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing
+from tidemark.llm import packing, tokens
 from tidemark.llm.queries import tokenizer_path
 
 PATH = tokenizer_path()
@@ -19,10 +19,10 @@ TEXTS = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "it's we'll  don't 't
 
 
 def test_encoder_equals_the_tokenizer():
-    model, own = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    model, own = Tokenizer.from_file(PATH), tokens.ByteEncoder(PATH)
     rng = random.Random(2)
     alphabet = ["a", "The", "'s", " ", " ", "  ", "\n", "\t", "é", "ß", "9", ".", "!", " ", "🙂", "\\", "<|endoftext|>", "語"]
-    texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
     for _ in range(2):
         got = [ids for _, some in own.slices(pa.array(texts)) for ids in some]
         assert len(got) == len(texts)
@@ -31,7 +31,7 @@ def test_encoder_equals_the_tokenizer():
 
 
 def test_encoder_forgets_beyond_its_bound():
-    own, model = packing.Encoder(PATH, most=100), Tokenizer.from_file(PATH)
+    own, model = tokens.ByteEncoder(PATH, most=100), Tokenizer.from_file(PATH)
     for i in range(20):
         t = f"alpha beta gamma delta {i} alpha"
         assert own.encode(pa.array([t], pa.large_string()))[0].tolist() == model.encode(t, add_special_tokens=False).ids

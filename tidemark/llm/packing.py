@@ -37,111 +37,21 @@ repeat an id are packed as documents of their own, and their pieces carry equal
 
 from __future__ import annotations
 
-import os
-import sys
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import tokens
 from tidemark.llm.common import materialise
 
-CACHED_WORDS = 1_000_000
-SLICE = 1 << 23                              # bytes of text that are split into words together
 Run = tuple[int, int, int, int, int]        # length, first rank, count, first sequence, offset
 
 
-class Encoder:
-    """Token ids by ``tokenizers``, with a bounded cache of space-led words.
-
-    The byte-level pattern starts a new word at every space that another
-    character than white space follows, so the part of a text from such a space
-    to the next is encoded the same alone as in place. Words that are not known
-    yet are encoded together and told apart by the byte lengths of their tokens.
-    Texts with other white space after a space are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        vocabulary = self.model.get_vocab()
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():         # a character of a byte-level token is a byte
-            self.sizes[i] = len(token)
-        self.words: dict[str, bytes | None] = {}    # None: not to be encoded alone
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        fit = [w for w in words if w and not w[0].isspace()]
-        self.words.update(dict.fromkeys(words))
-        for at in range(0, len(fit), 5000):
-            some = fit[at:at + 5000]
-            ids = np.array(self.model.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(self.sizes[ids])
-            wanted = np.cumsum([len(w.encode()) + 1 for w in some])
-            cuts = np.searchsorted(ends, wanted)
-            if len(ends) <= cuts[-1] or (ends[cuts] != wanted).any():       # not such a vocabulary
-                self.words.update((w, self.whole(" " + w)) for w in some)
-                continue
-            data, cuts = ids.tobytes(), (4 * (cuts + 1)).tolist()
-            self.words.update(zip(some, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text (none of them null)."""
-        known = self.words
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        split = pc.split_pattern(texts, " ")
-        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        coded = split.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        self.learn([w for w in words if w not in known])
-        ids = [known[w] for w in words]
-        # The first word of a text has no space before it: an entry of its own.
-        first = offsets[:-1]
-        ids += [self.whole(words[c]) for c in codes[first]]
-        codes = codes.copy()
-        codes[first] = len(words) + np.arange(len(texts))
-        odd = np.array([i is None for i in ids], bool)[codes]
-        pool = np.frombuffer(b"".join(i or b"" for i in ids), "<u4")
-        sizes = np.array([len(i or b"") // 4 for i in ids], np.int64)
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        flat = pool[np.repeat(((np.cumsum(sizes) - sizes)[codes] - ends + each).astype(np.int32), each) + np.arange(ends[-1], dtype=np.int32)]
-        bounds = np.append(0, ends)[offsets]
-        out = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
-        for i in np.unique(np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1):
-            out[i] = np.frombuffer(self.whole(texts[int(i)].as_py()), "<u4")
-        return out
-
-    def slices(self, texts: pa.Array):
-        """The ids of each text, worked on in slices of bounded size."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
-        at = 0
-        while at < len(texts):
-            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE)))
-            yield from self.encode(texts[at:end])
-            at = end
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and path."""
-    held = sys.__dict__.setdefault("_tidemark_encoders", {})
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
-
-
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` ids."""
     head = n % capacity or min(n, capacity)
@@ -154,18 +64,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     """id, piece, start, length, ids_crc32 and, on request, ids (binary, uint32 little-endian)."""
 
     def run(batches):
-        code = encoder(tokenizer_path)
+        code = tokens.held(tokens.ByteEncoder, tokenizer_path)
         for batch in batches:
-            rows = {"tm_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
-            for i, ids in zip(batch.column(0).to_pylist(), code.slices(batch.column(1))):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for piece, (start, length) in enumerate(cut(len(ids), capacity)):
-                    data = ids[start:start + length].tobytes()
-                    for name, value in zip(rows, (i, piece, start, length, zlib.crc32(data), data)):
-                        rows[name].append(value)
-            kinds = {"tm_id": batch.schema.field(0).type, "piece": pa.int32(), "ids": pa.binary()}
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()
-                                              if with_ids or k != "ids"})
+            for at, some in code.slices(batch.column(1)):
+                owner, rows = [], {"piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
+                for i, ids in enumerate(some, at):
+                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    for piece, (start, length) in enumerate(cut(len(ids), capacity)):
+                        data = ids[start:start + length].tobytes()
+                        owner.append(i)
+                        for name, value in zip(rows, (piece, start, length, zlib.crc32(data), data if with_ids else None)):
+                            rows[name].append(value)
+                kinds = {"piece": pa.int32(), "ids": pa.binary()}
+                yield pa.RecordBatch.from_pydict({"tm_id": batch.column(0).take(pa.array(owner))} | {
+                    k: pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items() if with_ids or k != "ids"})
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"tm_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
@@ -281,8 +193,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
     salt = F.pmod(F.xxhash64("tm_id", "piece", "ids_crc32"), F.lit(salts)).cast("int")
     pieces = pieces.withColumn("salt", salt)
     sums = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
+    # At most capacity x salts rows, so a few files hold them.
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
-    sums = materialise(sums.withColumn("before", F.coalesce(before, F.lit(0))), "pack-counts")
+    sums = materialise(sums.withColumn("before", F.coalesce(before, F.lit(0))).coalesce(16), "pack-counts")
 
     histogram = {r.length: r.n for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows
     runs = plan_runs(histogram, capacity)

@@ -230,8 +230,9 @@ def pack_slack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_i
     items = materialise(token_items(docs, tokenizer_path, capacity, end_id, id_col, text_col), "slack-items")
     items = items.withColumn("salt", F.pmod(F.xxhash64("row", "start"), F.lit(salts)).cast("int"))
     sums = items.groupBy("length", "salt").agg(F.count("*").alias("n"))
+    # At most capacity x salts rows, so a few files hold them.
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
-    sums = materialise(sums.withColumn("before", F.coalesce(before, F.lit(0))), "slack-counts")
+    sums = materialise(sums.withColumn("before", F.coalesce(before, F.lit(0))).coalesce(16), "slack-counts")
 
     histogram = {r.length: r.n for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}    # <= capacity rows
     runs = plan_windows(histogram, capacity)
