@@ -1,6 +1,7 @@
 """Similarity join, classifier and pipeline."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -81,6 +82,74 @@ def test_join_empty_and_unlinked(spark):
     assert ngram_join.similarity_classes(df.limit(0)).count() == 0
 
 
+def test_one_of_each_class_stays(spark):
+    rows = [(i, t, i or 0) for i, t in _near_rows()]
+    rows += [(None, f"text number {i} without any id at all stands here for itself {i}", 1) for i in range(60)]
+    rows += [(7777, f"one id but {i} different texts of it that are not alike {i} {i}", 1) for i in range(40)]
+    rows += [(8888, "an exact repeated row with its id", 3)] * 25
+    df = spark.createDataFrame(rows, "doc_id long, text string, tm_id long")
+    got = ngram_join.one_per_class(df)
+    assert got.columns == df.columns
+    classes = {r: None for r in rows}
+    sets = [(r, _grams(r[1])) for r in classes]
+    root = {r: r for r in classes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if len(x & y) >= 0.8 * len(x | y) - 1e-9:
+                root[find(a)] = find(b)
+    groups = defaultdict(list)
+    for r in classes:
+        groups[find(r)].append(r)
+    kept = Counter(map(tuple, got.collect()))
+    assert all(n == 1 for n in kept.values()) and len(kept) == len(groups)
+    smallest = lambda g: min((r[0] is None, r[0]) if r[0] is not None else (True, 0) for r in g)
+    ids = Counter((r[0] is None, r[0] or 0) for r in kept)
+    assert ids == Counter((a, b or 0) for a, b in map(smallest, groups.values()))
+
+
+def test_rounds_shorten_and_pairs_met_are_left_out(spark, monkeypatch):
+    """Every verified pair is new in its round, and both lengths find some."""
+    assert ngram_join.lengths(8, 4, 4) == [8, 4] and ngram_join.lengths(8, 3, 2) == [8, 6, 4, 3]
+    rng, seen = random.Random(8), []
+    rows = []
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(60)]
+        for c in range(4):
+            copy = list(base)
+            for i in range(c):
+                copy[rng.randrange(60)] = f"x{g}{c}{i}"
+            rows.append((4 * g + c, " ".join(copy)))
+    links = ngram_join._links
+
+    def count(slim, nodes, work, n, threshold):
+        out = links(slim, nodes, work, n, threshold)
+        seen.append((work.prefix, work.longer, out.agg({"links": "sum"}).first()[0] or 0))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_links", count)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in ngram_join.similarity_classes(df).collect())
+    assert got == _brute_classes(rows)
+    assert [s[:2] for s in seen] == [(8, None), (4, 8)] and all(s[2] > 0 for s in seen)
+
+
+def test_null_ids_cost_no_more_than_others(spark):
+    texts = [" ".join(f"p{p}w{i}" for i in range(50)) + x for p in range(400) for x in ("", " end")]
+    took = []
+    for ids in (range(len(texts)), [None] * len(texts)):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        began = time.time()
+        assert ngram_join.similarity_classes(df).filter("n_links = 1").count() == len(texts)
+        took.append(time.time() - began)
+    assert took[1] < 2 * took[0] + 5
+
+
 def test_prefix_is_shortened_until_the_recall():
     assert ngram_join.shortened(0.8, 16, 8, 0.5) > ngram_join.shortened(0.8, 16, 8, 0.99) > ngram_join.shortened(0.8, 16, 8, 0.9999)
     k = ngram_join.shortened(0.8, 16, 4, 0.999)

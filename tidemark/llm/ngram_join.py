@@ -10,11 +10,14 @@ component) and its number of links (rows of similarity >= ``threshold``).
    ``trees`` runs of values, one run for each tree of the forest.
 2. Rows of equal words are collapsed to a node with a number of copies.
 3. A tree is the sorted trie of its runs; documents that share a node of the trie
-   at some depth share that prefix. Prefixes start at the full ``depth`` and are
-   shortened, value by value, until a pair exactly at the threshold meets in some
-   tree with probability ``target_recall`` (``shortened``). That bound holds for
-   each pair by itself, whatever other pairs the corpus holds. The trie level of
-   that length holds all deeper matches below it, so one pass over it finds them all.
+   at some depth share that prefix. Rounds start at the full ``depth`` and shorten the
+   matched prefix by ``step`` values at a time. A round takes the pairs that meet at its
+   length and met at no longer one; trie nodes with a single child of the longer length
+   hold none and are left out with their documents, so large groups of near copies are
+   done in the first round. The rounds end at the first length at which a pair exactly
+   at the threshold meets in some tree with probability ``target_recall``
+   (``shortened``). That bound holds for each pair by itself, whatever other pairs the
+   corpus holds.
 4. A trie node with several documents is one unit of work, or, where it has many
    documents or grams, is dealt by hash into blocks, one unit per pair of blocks.
    So a hot group is split over tasks, and no unit holds more than two blocks.
@@ -27,10 +30,13 @@ component) and its number of links (rows of similarity >= ``threshold``).
    Sums of the former are the links; large-star and small-star steps over the
    latter, which are at most one per document and unit, give the classes.
 
-Defined results: null text is empty; a null id counts as one id after all others,
-and its class is null where no other id is in it; repeated rows are copies that
-count as links; rows of one id with different texts share a class; an empty table
-gives an empty result; other columns are ignored.
+Classes are made of texts: a node is its smallest id and its key, and rows that share
+an id share a class only if their texts are linked.
+
+Defined results: null text is empty; null ids come after all others, and a class
+without another id has a null one; repeated rows are copies that count as links;
+an empty table gives an empty result; other columns are ignored (``one_per_class``
+keeps them).
 """
 
 from __future__ import annotations
@@ -54,6 +60,11 @@ def meeting(similarity, trees: int, length: int):
     return 1 - (1 - similarity ** length) ** trees
 
 
+def lengths(depth: int, last: int, step: int) -> list[int]:
+    """The prefix lengths of the rounds."""
+    return [*range(depth, last, -step), last]
+
+
 def shortened(threshold: float, trees: int, depth: int, target_recall: float) -> int:
     """The longest prefix, up to ``depth``, at which a pair at the threshold meets often enough."""
     for length in range(depth, 0, -1):
@@ -130,52 +141,42 @@ def _pieces(data: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
 
 
 def _texts(batches):
-    """(first column, texts) of slices of bounded size of (column, text) batches."""
+    """(columns before the last, texts) of slices of bounded size of batches whose last column is a text."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
+        *columns, texts = batch.columns
+        texts = [t or "" for t in texts.to_pylist()]
         for a, b in slices([len(t) for t in texts]):
-            yield batch.column(0)[a:b], texts[a:b]
+            yield [c[a:b] for c in columns], texts[a:b]
 
 
 def _scan(n: int, size: int):
     def run(batches):
-        for ids, texts in _texts(batches):
+        for (ids, hashes), texts in _texts(batches):
             words, per, grams, counts = word_grams(texts, n)
             signed = iter(signatures(grams, counts, size))
             keys = [xxhash.xxh3_128_digest(w.tobytes()) for w in _pieces(words, per)]
             yield pa.RecordBatch.from_pydict({
-                "tm_id": ids, "key": pa.array(keys, pa.binary()),
+                "tm_id": ids, "tm_hash": hashes, "key": pa.array(keys, pa.binary()),
                 "grams": pa.array(counts, pa.int64()),
                 "sig": pa.array([next(signed).tobytes() if c else None for c in counts], pa.binary())})
 
     return run
 
 
-def _gram_sets(n: int):
-    """(wanted key, text) -> (key, sorted distinct grams) of the rows whose words have that key."""
-    def run(batches):
-        for wanted, texts in _texts(batches):
-            words, per, grams, counts = word_grams(texts, n)
-            keys, sets = [], []
-            for w, g, want in zip(_pieces(words, per), _pieces(grams, counts), wanted.to_pylist()):
-                if xxhash.xxh3_128_digest(w.tobytes()) == want:
-                    keys.append(want), sets.append(np.unique(g).tobytes())
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "grams": pa.array(sets, pa.binary())})
-
-    return run
-
-
 class _Units:
-    """Candidate pairs of units: those that meet here first and look similar enough."""
+    """Candidate pairs of units: those that meet here first, at no longer prefix, and look similar enough."""
 
-    def __init__(self, trees: int, prefix: int, size: int, least: float):
-        self.trees, self.prefix, self.size, self.least = trees, prefix, size, least
+    def __init__(self, trees: int, prefix: int, longer: int | None, size: int, least: float):
+        self.trees, self.prefix, self.longer, self.size, self.least = trees, prefix, longer, size, least
 
     def _mine(self, sig, tree, block, cross, a, b):
         """Of the pairs (a[i], b[i]) of one unit each, those to verify."""
-        runs = sig.reshape(len(sig), self.trees, -1)[:, :, :self.prefix]
-        meet = (runs[a] == runs[b]).all(axis=2)
+        runs = sig.reshape(len(sig), self.trees, -1)
+        same = runs[a] == runs[b]
+        meet = same[:, :, :self.prefix].all(axis=2)
         ok = meet[np.arange(len(a)), tree[a]] & (meet.argmax(axis=1) == tree[a]) & (~cross[a] | (block[a] != block[b]))
+        if self.longer:
+            ok &= ~same[:, :, :self.longer].all(axis=2).any(axis=1)
         a, b = a[ok], b[ok]
         close = (sig[a] == sig[b]).sum(axis=1) >= self.least * self.size
         return a[close], b[close]
@@ -248,39 +249,72 @@ def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total[local[a], local[b]].astype(np.int64)
 
 
-def _local_roots(n: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id of each row's component under the links (a[i], b[i])."""
-    root = ids.copy()
+def _local_roots(vertices: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The row of the smallest vertex of each row's component under the links (a[i], b[i])."""
+    order = sorted(range(len(vertices)), key=vertices.__getitem__)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    root = rank.copy()
     while True:
         least = np.minimum(root[a], root[b])
         new = root.copy()
         np.minimum.at(new, a, least)
         np.minimum.at(new, b, least)
         if (new == root).all():
-            return root
+            return np.array(order)[root]
         root = new
 
 
-def _only(texts: DataFrame, wanted: DataFrame, bits: int = 1 << 26) -> DataFrame:
-    """(tm_id, text) rows whose id may be among ``wanted``: one bitmap of id hashes, ``bits / 8``
-    bytes whatever the tables, is broadcast, so that few texts travel to the join that follows."""
-    place = F.pmod(F.xxhash64("tm_id"), F.lit(bits))
+BITS = 1 << 26                   # of the bitmaps that are broadcast, whatever the tables
+
+
+def _bitmap(places: DataFrame) -> bytes:
+    """The places (column ``p``, below ``BITS``) as one bitmap."""
     # The bitmap functions count places and parts from 1.
-    parts = (wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("part"))
+    parts = (places.select((F.col("p") + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap")).collect())
-    whole = np.zeros(bits // 8, np.uint8)
+    whole = np.zeros(BITS // 8, np.uint8)
     for part, bitmap in parts:
         start = (part - 1) * len(bitmap)
         whole[start:start + len(bitmap)] = np.frombuffer(bitmap, np.uint8)[:len(whole) - start]
-    shared = texts.sparkSession.sparkContext.broadcast(whole.tobytes())
+    return whole.tobytes()
+
+
+def _wanted_grams(slim: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(key, sorted distinct grams) of the ``wanted`` nodes (key, node), from their texts.
+
+    Bitmaps of the nodes' ids and keys are broadcast, so other texts are neither hashed nor
+    moved, and a text brings its grams once for its key, however many rows share its id.
+    """
+    id_place = F.pmod(F.xxhash64("tm_id"), F.lit(BITS))
+    key_place = F.pmod(F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long"), F.lit(BITS))
+    spark = slim.sparkSession
+    ids = spark.sparkContext.broadcast(_bitmap(wanted.select(F.pmod(F.xxhash64("node"), F.lit(BITS)).alias("p"))))
+    keys = spark.sparkContext.broadcast(_bitmap(wanted.select(key_place.alias("p"))))
+
+    def run(batches):
+        held_ids, held_keys = (np.frombuffer(x.value, np.uint8) for x in (ids, keys))
+        has = lambda held, at: (held[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+        for _, texts in _texts(batch.filter(pa.array(has(held_ids, batch.column(0).to_numpy()))) for batch in batches):
+            words, per, grams, counts = word_grams(texts, n)
+            found = [xxhash.xxh3_128_digest(w.tobytes()) for w in _pieces(words, per)]
+            here = has(held_keys, np.array([int.from_bytes(k[:7], "big") % BITS for k in found], np.int64))
+            rows = [(k, np.unique(g).tobytes()) for k, g, x in zip(found, _pieces(grams, counts), here) if x]
+            yield pa.RecordBatch.from_pydict({"key": pa.array([k for k, _ in rows], pa.binary()),
+                                              "grams": pa.array([g for _, g in rows], pa.binary())})
+
+    sets = slim.select(id_place.alias("p"), "text").mapInArrow(run, "key binary, grams binary")
+    return sets.dropDuplicates(["key"]).join(wanted.select("key"), "key", "left_semi")
 
-    def keep(batches):
-        held = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
-            at = batch.column(0).to_numpy()
-            yield batch.filter(pa.array((held[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
 
-    return texts.select(place.alias("p"), "tm_id", "text").mapInArrow(keep, "p long, tm_id long, text string").drop("p")
+def _vertex(id_: str, key: str):
+    """A node's id and key as bytes that sort by id, then key."""
+    return F.concat(F.unhex(F.lpad(F.hex(F.col(id_).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")), F.col(key))
+
+
+def _vertex_id(vertex: str):
+    return F.conv(F.hex(F.substring(vertex, 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -307,14 +341,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _links(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: float) -> DataFrame:
-    """A row per linked node and unit (key, a: its node, b: the smallest node of its local component, links)."""
+    """One round's links: a row per linked node and unit (key, a: its vertex, b: the smallest vertex
+    of its local component, links)."""
     trees, size = work.trees, work.size
     run_bytes = 2 * size // trees
     runs = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.substring(F.col("sig"), 1 + t * run_bytes, F.lit(2 * work.prefix)).alias("prefix")))
+        t.alias("tree"), F.substring(F.col("sig"), 1 + t * run_bytes, F.lit(2 * work.prefix)).alias("prefix"),
+        F.xxhash64(F.substring(F.col("sig"), 1 + t * run_bytes, F.lit(2 * (work.longer or work.prefix)))).alias("child")))
     tries = nodes.filter("sig is not null").select("key", "grams", F.explode(runs).alias("r")).select("key", "grams", "r.*")
-    shared = materialise(tries.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.sum("grams").alias("all_grams"))
-                         .filter("n > 1"), "join-tries")
+    several = "n > 1" + (" and low < high" if work.longer else "")         # pairs within one child met before
+    shared = materialise(tries.groupBy("tree", "prefix").agg(
+        F.count("*").alias("n"), F.sum("grams").alias("all_grams"), F.min("child").alias("low"), F.max("child").alias("high"))
+        .filter(several).select("tree", "prefix", "n", "all_grams"), "join-tries")
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("all_grams") / BLOCK_GRAMS)).cast("int")
     members = (tries.join(shared, ["tree", "prefix"]).withColumn("blocks", blocks)
                .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
@@ -333,15 +371,14 @@ def _links(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: f
 
     unit_fields = "key binary, tree int, block int, crossed boolean, unit long"
     kept = materialise(dealt(units.join(nodes.select("key", "sig"), "key")).mapInArrow(paired, unit_fields), "join-pairs")
-    wanted = kept.select("key").distinct().join(nodes, "key").select(F.col("node").alias("tm_id"), F.col("key").alias("want"))
-    sets = materialise(_only(slim, wanted).join(wanted, "tm_id").select("want", "text").mapInArrow(_gram_sets(n), "key binary, grams binary")
-                       .dropDuplicates(["key"]), "join-grams")
+    wanted = materialise(kept.select("key").distinct().join(nodes, "key").select("key", "node"), "join-wanted")
+    sets = materialise(_wanted_grams(slim, wanted, n), "join-grams")
 
     def verified(batches):
         for table in _whole_units(batches):
             columns = _columns(table, size)
             a, b = work.pairs(*columns)
-            keys, ids, copies = table["key"].to_pylist(), table["node"].to_numpy(), table["copies"].to_numpy()
+            keys, vertices, copies = table["key"].to_pylist(), table["vertex"].to_pylist(), table["copies"].to_numpy()
             gram_sets = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
             held = np.array([len(g) for g in gram_sets])
             unit = columns[0]
@@ -357,35 +394,67 @@ def _links(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: f
             if found:
                 a, b = (np.concatenate(z) for z in zip(*found))
                 both = np.concatenate([a, b])
-                links = np.bincount(both, copies[np.concatenate([b, a])], len(ids)).astype(np.int64)
-                root = _local_roots(len(ids), a, b, ids)
+                links = np.bincount(both, copies[np.concatenate([b, a])], len(keys)).astype(np.int64)
+                root = _local_roots(vertices, a, b)
                 at = np.flatnonzero(links)
                 yield pa.RecordBatch.from_pydict({
-                    "key": pa.array([keys[i] for i in at], pa.binary()), "a": pa.array(ids[at]), "b": pa.array(root[at]),
-                    "links": pa.array(links[at])})
+                    "key": pa.array([keys[i] for i in at], pa.binary()), "a": pa.array([vertices[i] for i in at], pa.binary()),
+                    "b": pa.array([vertices[i] for i in root[at]], pa.binary()), "links": pa.array(links[at])})
 
-    fields = "key binary, a long, b long, links long"
-    return materialise(dealt(kept.join(nodes.select("key", "node", "copies", "sig"), "key").join(sets, "key"))
+    fields = "key binary, a binary, b binary, links long"
+    return materialise(dealt(kept.join(nodes.select("key", "vertex", "copies", "sig"), "key").join(sets, "key"))
                        .mapInArrow(verified, fields), "join-links")
 
 
-def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8,
-                       trees: int = 16, depth: int = 8, target_recall: float = 0.9995) -> DataFrame:
-    """id, class_id, n_links: one row for each row of ``docs``."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: float, trees: int, depth: int, step: int,
+             target_recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (tm_id, tm_hash of the text, key), and per key its root (the smallest vertex of its class) and links."""
     size = trees * depth
-    prefix = shortened(threshold, trees, depth, target_recall)
     least = threshold - 5 * (threshold * (1 - threshold) / size) ** 0.5
-    slim = docs.select(id_key(id_col).alias("tm_id"), F.col(text_col).alias("text"))
-    rows = materialise(slim.mapInArrow(_scan(n, size), "tm_id long, key binary, grams long, sig binary"), "join-signatures")
-    nodes = materialise(rows.groupBy("key").agg(F.min("tm_id").alias("node"), F.count("*").alias("copies"),
-                                                F.first("grams").alias("grams"), F.first("sig").alias("sig")), "join-nodes")
-    linked = _links(slim, nodes, _Units(trees, prefix, size, least), n, threshold)
+    slim = docs.select(id_key(id_col).alias("tm_id"), F.xxhash64(text_col).alias("tm_hash"), F.col(text_col).alias("text"))
+    rows = materialise(slim.mapInArrow(_scan(n, size), "tm_id long, tm_hash long, key binary, grams long, sig binary"), "join-signatures")
+    nodes = rows.groupBy("key").agg(F.min("tm_id").alias("node"), F.count("*").alias("copies"),
+                                    F.first("grams").alias("grams"), F.first("sig").alias("sig"))
+    nodes = materialise(nodes.withColumn("vertex", _vertex("node", "key")), "join-nodes")
+    linked, longer = None, None
+    for length in lengths(depth, shortened(threshold, trees, depth, target_recall), step):
+        new = _links(slim, nodes, _Units(trees, length, longer, size, least), n, threshold)
+        linked, longer = new if linked is None else linked.unionByName(new), length
     roots = components(linked.select("a", "b"))
     per_key = materialise(
-        nodes.select("key", "node", "copies").join(linked.groupBy("key").agg(F.sum("links").alias("links")), "key", "left")
-        .join(roots.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left")
-        .select("key", F.coalesce("root", "node").alias("class_id"),
+        nodes.select("key", "vertex", "copies").join(linked.groupBy("key").agg(F.sum("links").alias("links")), "key", "left")
+        .join(roots.select(F.col("a").alias("vertex"), F.col("b").alias("root")), "vertex", "left")
+        .select("key", F.coalesce("root", "vertex").alias("root"),
                 (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "join-classes")
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return (rows.select("tm_id", "key").join(per_key, "key")
-            .select(real("tm_id").alias(id_col), real("class_id").alias("class_id"), "n_links"))
+    return rows.select("tm_id", "tm_hash", "key"), per_key
+
+
+def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8,
+                       trees: int = 16, depth: int = 8, step: int = 4, target_recall: float = 0.9995) -> DataFrame:
+    """id, class_id, n_links: one row for each row of ``docs``."""
+    rows, per_key = _classes(docs, id_col, text_col, n, threshold, trees, depth, step, target_recall)
+    real = lambda c: F.when(c != NULL_ID, c)
+    return (rows.join(per_key, "key")
+            .select(real(F.col("tm_id")).alias(id_col), real(_vertex_id("root")).alias("class_id"), "n_links"))
+
+
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8,
+                  trees: int = 16, depth: int = 8, step: int = 4, target_recall: float = 0.9995) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id (then key, then hash of the text).
+
+    Of rows that are equal in id and text one stays. Rows that share an id, or have none, all
+    stay unless their texts are linked.
+    """
+    rows, per_key = _classes(docs, id_col, text_col, n, threshold, trees, depth, step, target_recall)
+    first = (rows.join(per_key.select("key", "root"), "key").filter(_vertex("tm_id", "key") == F.col("root"))
+             .groupBy("root", "tm_id", "tm_hash").agg(F.count("*").alias("n"))
+             .groupBy("root").agg(F.min(F.struct("tm_id", "tm_hash", "n")).alias("first")).select("first.*"))
+    first = materialise(first, "join-first")
+    keyed = docs.withColumns({"tm_id": id_key(id_col), "tm_hash": F.xxhash64(text_col)})
+    one = keyed.join(first.filter("n = 1").drop("n"), ["tm_id", "tm_hash"], "left_semi").select(docs.columns)
+    repeated = materialise(first.filter("n > 1").drop("n"), "join-repeated")
+    if repeated.isEmpty():
+        return one
+    some = (keyed.join(repeated, ["tm_id", "tm_hash"], "left_semi").groupBy("tm_id", "tm_hash")
+            .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")))
+    return one.unionByName(some.select("row.*"))
