@@ -8,7 +8,7 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import lines, mixing, ngram_join, packing, quality
@@ -30,13 +30,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of documents linked by similarity 0.8 of five-word shingles, the smallest doc_id stays.
 
-    Rows that repeat that id are one document: the smallest text stays.
+    Rows that share an id, or have none, are documents of their own unless their texts are linked.
     """
-    classes = ngram_join.similarity_classes(docs, n=5, threshold=0.8)
-    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("tm_id")).distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return (docs.join(stay, docs.doc_id.eqNullSafe(stay.tm_id), "left_semi").withColumn("tm_first", first)
-            .filter("tm_first = 1").select(docs.columns))
+    return ngram_join.one_per_class(docs, n=5, threshold=0.8)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
