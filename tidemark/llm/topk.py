@@ -1,21 +1,24 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
 Vectors are whole numbers. The rows are dealt into blocks of vectors and blocks of
-queries; each pair of blocks is one unit of work with its own index, so memory is
+queries; each pair of blocks is one unit of work and memory is
 bounded by the block sizes whatever the table. A stated set of queries meets all
 rows, in blocks.
 
-The index of a block has a posting list per dimension, cut into segments of equal
-quantised impact: the size of the component in ``LEVELS`` steps. Segments are
-processed by descending impact, a band of levels at a time: the segments of a band,
-of all dimensions, are laid out as one matrix, and one product adds their
-contributions to the accumulators of all queries of the unit. What a row can still
-gain or lose for a query is at most the largest component of the levels to come,
-times the query's components in the dimensions in which the row's posting was not
-seen yet. So each row has a proven lower and upper bound. A query stops when the
-rows whose upper bound reaches the k-th best lower bound (the possible members,
-ties included) are few; nothing outside them can be in its result. They are then
-scored exactly, in whole numbers.
+The index of a block has a posting list per dimension, cut into segments of equal sign
+and quantised impact: the size of the component in ``LEVELS`` steps. A posting is a
+row and its component. A query goes through segments score at a time: by descending
+impact, the segment's level times the query's component in its dimension. Segments
+are taken in ``RUNS`` runs; a run adds the exact contributions of all its
+postings to the accumulators. What a row can still gain or lose is at most the
+remaining impact of its unseen dimensions, which is known per dimension (its next
+segment) and never grows. So each row has a proven lower and upper bound. A query
+stops when the rows whose upper bound reaches the k-th best lower bound are few (the
+possible members, ties included); nothing outside them can be in its result. They are
+then scored exactly, in whole numbers.
+
+A block's postings are built once. Its rows come before the queries in the task's
+stream, which go past them in blocks, so neither side is ever held whole.
 
 A window with a group limit merges the units' best rows, at most k per query and
 block of vectors.
@@ -38,8 +41,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise
 
 LEVELS = 16                # quantised impacts of a component
-BANDS = (8, 4, 2, 1, 0)    # each band has the levels over this one and up to the one before
-SCORED = 64                # so few possible members are scored without going on
+RUNS = 8                   # runs of segments of a query, between which it may stop
+SCORED = 256               # so few possible members are scored without going on
 EXACT = 1 << 22            # components beyond this are scored with Python integers
 
 
@@ -57,84 +60,96 @@ def _matrix(vectors: list[list[int]], width: int) -> np.ndarray:
 
 
 class Index:
-    """Impact-ordered postings of one block of vectors."""
+    """Impact-ordered posting segments of one block of vectors."""
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
-        step = max(1, -(-int(np.abs(rows).max(initial=0)) // LEVELS))
-        level = -(-np.abs(rows) // step).T
-        self.bands, high = [], LEVELS
-        for low in BANDS:
-            held = (level > low) & (level <= high)
-            self.bands.append((np.where(held, rows.T, 0).astype(np.float64), held.astype(np.float64), low * step))
-            high = low
-
-    def possible(self, queries: np.ndarray, own: np.ndarray, k: int):
-        """(query, rows) for each query: outside of the rows no member of its top k can be.
-
-        ``own[i]`` marks the rows that are not candidates of query i.
+        n, dims = rows.shape
+        self.step = max(1, -(-int(np.abs(rows).max(initial=0)) // LEVELS))
+        level = -(-np.abs(rows) // self.step)
+        at = np.flatnonzero(level)                          # no posting for a component of 0
+        segment = ((at % dims) * 2 + (rows.ravel()[at] < 0)) * (LEVELS + 1) + level.ravel()[at]
+        order = np.argsort(segment, kind="stable")
+        self.row = at[order] // dims
+        self.value = rows.ravel()[at[order]].astype(np.float64)
+        self.below = (level - 1).astype(np.uint8)           # 255: no posting
+        held, self.start, self.size = np.unique(segment[order], return_index=True, return_counts=True)
+        self.seg_dim, self.seg_level = held // (LEVELS + 1) // 2, held % (LEVELS + 1)
+
+    def possible(self, query: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, int]:
+        """The rows outside of which no member of the query's top k can be, and the postings it took.
+
+        ``own`` marks the rows that are not candidates.
         """
-        n = len(self.rows)
-        left, q = np.arange(len(queries)), queries.astype(np.float64)
-        gained, unseen = np.zeros((len(q), n)), np.abs(q).sum(axis=1)[:, None] - np.zeros((1, n))
-        for values, held, limit in self.bands:
-            gained += q @ values
-            unseen -= np.abs(q) @ held
-            rest = limit * unseen
+        n, dims = self.rows.shape
+        impact = np.abs(query)[self.seg_dim] * self.seg_level * float(self.step)
+        order = np.argsort(-impact, kind="stable")
+        taken = np.append(0, np.cumsum(self.size[order]))
+        gained, done, members = np.zeros(n), 0, ~own
+        for run in range(1, RUNS + 1):
+            upto = int(np.searchsorted(taken, taken[-1] * run // RUNS))
+            some = order[done:upto]
+            places = np.repeat(self.start[some] - np.append(0, np.cumsum(self.size[some]))[:-1], self.size[some])
+            places = places + np.arange(len(places))
+            gained += np.bincount(self.row[places], self.value[places] * np.repeat(query[self.seg_dim[some]], self.size[some]), n)
+            done = max(done, upto)
+            if run <= RUNS // 2:                            # too early to stop
+                continue
+            high = np.zeros(dims, np.int64)                 # the largest level of a dimension that is still to come
+            np.maximum.at(high, self.seg_dim[order[done:]], self.seg_level[order[done:]])
+            rest = (self.below < high.astype(np.uint8)).astype(np.float64) @ (high * np.abs(query) * float(self.step))
             least = np.where(own, -np.inf, gained - rest)
-            kth = np.partition(least, n - k, axis=1)[:, n - k] if n >= k else np.full(len(q), -np.inf)
-            members = (gained + rest >= kth[:, None]) & ~own
-            done = (members.sum(axis=1) <= SCORED) | (limit == 0)
-            yield from ((left[i], np.flatnonzero(members[i])) for i in np.flatnonzero(done))
-            left, q, own, gained, unseen = (x[~done] for x in (left, q, own, gained, unseen))
-            if not len(left):
-                return
-
-    def best(self, queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int):
-        """(query id, id, score) of each query's k best rows."""
-        own = ids[None, :] == query_ids[:, None]
-        small = max(np.abs(queries).max(initial=0), np.abs(self.rows).max(initial=0)) <= EXACT
-        found = self.possible(queries, own, k) if small else ((i, np.flatnonzero(~own[i])) for i in range(len(queries)))
-        for i, at in found:
-            if small:
-                scores = self.rows[at] @ queries[i]
-            else:
-                scores = [sum(int(a) * int(b) for a, b in zip(self.rows[r], queries[i])) for r in at]
-                scores = np.array([min(max(s, 1 - (1 << 63)), (1 << 63) - 1) for s in scores], np.int64)
-            for r in np.lexsort((ids[at], -scores))[:k]:
-                yield int(query_ids[i]), int(ids[at[r]]), int(scores[r])
+            kth = np.partition(least, n - k)[n - k] if n >= k else -np.inf
+            members = (gained + rest >= kth) & ~own
+            if members.sum() <= max(SCORED, k):
+                break
+        return np.flatnonzero(members), int(taken[done])
+
+    def best(self, query: np.ndarray, query_id: int, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """(id, score) of the query's k best rows."""
+        own = ids == query_id
+        if max(np.abs(query).max(initial=0), np.abs(self.rows).max(initial=0)) <= EXACT:
+            at, _ = self.possible(query, own, k)
+            scores = self.rows[at] @ query
+        else:
+            at = np.flatnonzero(~own)
+            scores = [sum(int(a) * int(b) for a, b in zip(self.rows[r], query)) for r in at]
+            scores = np.array([min(max(s, 1 - (1 << 63)), (1 << 63) - 1) for s in scores], np.int64)
+        return [(int(ids[at[r]]), int(scores[r])) for r in np.lexsort((ids[at], -scores))[:k]]
 
 
 def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-          scale: float = 256.0, vectors_per_block: int = 4096, queries_per_block: int = 256) -> DataFrame:
+          scale: float = 256.0, vectors_per_block: int = 4096) -> DataFrame:
     """query_id, rank (from 1), id, score: each query's k best rows other than its own."""
     whole = rows.select(F.col(id_col).cast("long").alias("tm_id"), whole_components(vec_col, scale).alias("v"),
                         F.coalesce(is_query, F.lit(False)).alias("q"))
     whole = materialise(whole.filter("v is not null and tm_id is not null").distinct(), "topk-vectors")
     queries = whole.filter("q").groupBy("tm_id").agg(F.min("v").alias("v"))
-    n, asked = whole.count(), queries.count()
-    blocks, parts = max(1, -(-n // vectors_per_block)), max(1, -(-asked // queries_per_block))
-
-    own_block = lambda m: F.pmod(F.xxhash64("tm_id", "v"), F.lit(m)).cast("int")
-    sides = whole.select("tm_id", "v", F.lit(False).alias("q"), own_block(blocks).alias("block"),
-                         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).unionByName(
-        queries.select("tm_id", "v", F.lit(True).alias("q"), own_block(parts).alias("part"),
-                       F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
-
-    def score(unit: pa.Table) -> pa.Table:
-        asks = np.array(unit["q"].to_pylist(), bool)
-        ids = unit["tm_id"].to_numpy()
-        vectors = unit["v"].to_pylist()
-        matrix = _matrix(vectors, max(map(len, vectors)))
-        found: dict[str, list[int]] = {"query_id": [], "vec_id": [], "score": []}
-        held = ids[~asks]
-        if asks.any() and len(held):
-            for row in Index(matrix[~asks]).best(matrix[asks], ids[asks], held, k):
-                for name, value in zip(found, row):
-                    found[name].append(value)
-        return pa.table({name: pa.array(v, pa.int64()) for name, v in found.items()})
-
-    local = sides.groupBy("part", "block").applyInArrow(score, "query_id long, vec_id long, score long")
+    blocks = max(1, -(-whole.count() // vectors_per_block))
+    sides = whole.select("tm_id", "v", F.lit(False).alias("q"),
+                         F.pmod(F.xxhash64("tm_id", "v"), F.lit(blocks)).cast("int").alias("block")).unionByName(
+        queries.select("tm_id", "v", F.lit(True).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
+
+    def score(batches):
+        ids, vectors, held, index = [], [], None, None           # the rows of the block at hand
+        for batch in batches:
+            found: dict[str, list[int]] = {"query_id": [], "vec_id": [], "score": []}
+            for i, v, asks, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != held:
+                    ids, vectors, held, index = [], [], block, None
+                if not asks:
+                    ids.append(i), vectors.append(v)
+                elif vectors:
+                    if index is None:
+                        index, known = Index(_matrix(vectors, max(map(len, vectors)))), np.array(ids, np.int64)
+                    width = index.rows.shape[1]
+                    for other, s in index.best(_matrix([v[:width]], width)[0], i, known, k):
+                        for name, value in zip(found, (i, other, s)):
+                            found[name].append(value)
+            yield pa.RecordBatch.from_pydict({name: pa.array(v, pa.int64()) for name, v in found.items()})
+
+    local = (sides.repartition(blocks, "block").sortWithinPartitions("block", "q").select("tm_id", "v", "q", "block")
+             .mapInArrow(score, "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", F.col("vec_id").alias(id_col), "score"))
