@@ -1,22 +1,21 @@
 """Substring deduplication by sliding sentence spans.
 
 A sentence ends at a line end or at ``.``, ``!`` or ``?`` before white space, and holds at
-least one word (what has none belongs to the sentence before it). Every run of
-``span`` consecutive sentences of a document is hashed (by its words, A-Z in lower
-case, 128 bits) if it has at least ``min_words`` words. All runs of the corpus are
-joined by hash. The first place of a run, the smallest (id, text, position), stays;
+least one word (what has none belongs to the sentence before it). From every sentence
+of a document starts a run of ``span`` consecutive sentences, or of as many more as it
+takes to reach ``min_words`` words (two short answers that recur are no passage); only
+where the document ends before that is there none. Every run is hashed (by its words,
+A-Z in lower case, 128 bits). All runs of the corpus are joined by hash. The first place of a run, the smallest (id, text, position), stays;
 sentences that any later place of a repeated run covers are removed from the text,
 also when it lies in the same document. A sentence goes with the white space
 after it.
 
-With a ``window`` (words, as ``op3_sentence_spans`` has it) passages that hold no such
-run are reached too. Sentences of at least ``min_words`` words are cut into units before
-each word whose hash is the least of ``window`` neighbouring words, so cuts depend on
-the words near them and a passage is cut alike wherever it stands, also inside other
-sentences. Other sentences are one unit each. A run starts at every unit and has as
-many units, ``span`` at least, as it takes to reach ``min_words`` words; only where the
-document ends before that is there no run. Units are removed instead of sentences, and
-``n_removed`` counts sentences that lost any.
+With a ``window`` (words; off unless asked for) passages that hold no such run are
+reached too, and sentences may be cut apart: those of at least ``min_words`` words are
+cut into units before each word whose hash is the least of ``window`` neighbouring words,
+so a passage is cut alike wherever it stands, also inside other sentences. Runs are of
+units then. Units are removed instead of sentences, and ``n_removed`` counts sentences
+that lost any.
 
 1. A scan emits a row per run. A partial aggregate finds the runs that occur at
    two or more places and their first place; that table is written out.
@@ -106,11 +105,8 @@ def _runs(texts: list[bytes], span: int, min_words: int, window: int | None = No
     position = np.arange(n) - np.repeat(bounds[:-1], per)
     total = np.cumsum(np.append(0, count))
     last = np.minimum(np.arange(n) + span, n)
-    if window:
-        last = np.maximum(last, np.searchsorted(total, total[:n] + min_words))
-        ok = (np.arange(n) + span <= last) & (last <= bounds[1:][text])
-    else:
-        ok = (position + span <= per[text]) & (total[last] - total[:n] >= min_words)
+    last = np.maximum(last, np.searchsorted(total, total[:n] + min_words))
+    ok = (np.arange(n) + span <= last) & (last <= bounds[1:][text])
     held = last - np.arange(n)
     two = np.zeros((2, n), np.uint64)
     for k in np.unique(held[ok]):
