@@ -83,12 +83,12 @@ def test_upsert_table_rewrites_only_touched_buckets(spark):
     path = scratch_table("t_upsert")
     base = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
     upsert.upsert_table(spark, path, base, ["k"], n_buckets=8, location=scratch_path(spark, path))
-    before = upsert._partition_locations(spark, path)
+    before = set(upsert._folders(spark.table(path), None, list(range(8))))
     batch = spark.createDataFrame([(5, 1)], "k long, v int")
     assert upsert.upsert_table(spark, path, batch, ["k"], n_buckets=8) == 1
     assert upsert.upsert_table(spark, path, batch, ["k"], n_buckets=8) == 1   # replay
-    after = upsert._partition_locations(spark, path)
-    assert len([d for d in before if before[d] != after[d]]) == 1
+    after = set(upsert._folders(spark.table(path), None, list(range(8))))
+    assert len(before) == len(after) == 8 and len(before - after) == 1
     out = upsert.read_table(spark, path)
     assert out.count() == 1000
     assert out.filter("k = 5").first()["v"] == 1
@@ -551,7 +551,7 @@ def test_upsert_crash_at_any_step_and_replay(spark, monkeypatch, step):
         return run
 
     # The steps after staging: the listing, then one switch per bucket, then the deletions.
-    monkeypatch.setattr(upsert, "_partition_locations", failing(upsert._partition_locations))
+    monkeypatch.setattr(upsert, "_held_buckets", failing(upsert._held_buckets))
     monkeypatch.setattr(upsert, "_point", failing(upsert._point))
     monkeypatch.setattr(upsert, "delete_path", failing(upsert.delete_path))
     with pytest.raises(RuntimeError):
@@ -562,6 +562,18 @@ def test_upsert_crash_at_any_step_and_replay(spark, monkeypatch, step):
     assert got == {k: int(k >= 150) for k in range(260)} and upsert.read_table(spark, target).count() == 260
 
 
+def test_upsert_beyond_the_listed_buckets(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "LISTED_BUCKETS", 1)
+    monkeypatch.setattr(upsert, "ADDED_TOGETHER", 3)
+    target = scratch_table("t_many")
+    base = spark.range(0, 300).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    upsert.upsert_table(spark, target, base, ["k"], n_buckets=16, location=scratch_path(spark, target))
+    upsert.upsert_table(spark, target, spark.range(0, 400, 7).select(F.col("id").alias("k"), F.lit(1).alias("v")), ["k"])
+    got = {r.k: r.v for r in upsert.read_table(spark, target).collect()}
+    assert got == {k: int(k % 7 == 0) for k in [*range(300), *range(301, 400, 7)]}
+    assert len(spark.sql(f"SHOW PARTITIONS {target}").collect()) == 16
+
+
 def test_upsert_first_batch_empty_unknown_columns_and_null_guard(spark):
     target = scratch_table("t_first")
     empty = spark.createDataFrame([], "k long, v int, t int")

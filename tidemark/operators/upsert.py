@@ -9,6 +9,7 @@ table partitioned by key hash and rewrites only the buckets a batch touches.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tidemark.sinks.files import delete_path
 
 BUCKET_COL = "tm_bucket"
 DEFAULT_BUCKETS = 64
+LISTED_BUCKETS, ADDED_TOGETHER = 1000, 200      # buckets named in one filter, new ones in one statement
 KEYS_PROPERTY, BUCKETS_PROPERTY = "tidemark.keys", "tidemark.buckets"
 
 
@@ -176,28 +178,44 @@ def upsert_table(spark: SparkSession, table: str, batch: DataFrame, keys: list[s
     (staged.withColumn(BUCKET_COL, bucket_of(keys, int(stored[BUCKETS_PROPERTY]))).hint("rebalance", BUCKET_COL)
      .write.partitionBy(BUCKET_COL).parquet(fresh))
     touched = _bucket_folders(spark, fresh)
-    before = _partition_locations(spark, table)
-    held = [b for b in touched if b in before]
+    before = _held_buckets(spark, table)
+    held, new = [b for b in touched if b in before], [b for b in touched if b not in before]
+    old: list[str] = []
     if held:
-        here = F.col(BUCKET_COL).isin(held)
-        staged = spark.read.schema(target.schema).parquet(fresh).filter(here)
-        upsert(target.filter(here), staged, keys, guard_col).write.partitionBy(BUCKET_COL).parquet(merged)
-    for bucket in touched:
-        _point(spark, table, bucket, f"{merged if bucket in before else fresh}/{BUCKET_COL}={bucket}", bucket in before)
-    spark.catalog.refreshTable(table)
+        staged = spark.read.schema(target.schema).parquet(fresh)
+        old = _folders(target, staged, held)
+        upsert(_only_buckets(target, staged, held), _only_buckets(staged, staged, held), keys, guard_col).write.partitionBy(BUCKET_COL).parquet(merged)
     for bucket in held:
-        delete_path(spark, before[bucket])
-        delete_path(spark, f"{fresh}/{BUCKET_COL}={bucket}")
+        _point(spark, table, bucket, f"{merged}/{BUCKET_COL}={bucket}")
+    for at in range(0, len(new), ADDED_TOGETHER):
+        parts = " ".join(f"PARTITION ({BUCKET_COL}={b}) LOCATION '{fresh}/{BUCKET_COL}={b}'" for b in new[at:at + ADDED_TOGETHER])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(table)
+    for folder in old + [f"{fresh}/{BUCKET_COL}={b}" for b in held]:
+        delete_path(spark, folder)
     if not touched:
         delete_path(spark, run)
     return len(touched)
 
 
-def _point(spark: SparkSession, table: str, bucket: int, folder: str, exists: bool) -> None:
-    """Make ``folder`` the place of one bucket."""
-    spec = f"PARTITION ({BUCKET_COL}={bucket})"
-    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'" if exists
-              else f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+def _point(spark: SparkSession, table: str, bucket: int, folder: str) -> None:
+    """Make ``folder`` the place of a bucket that is registered."""
+    spark.sql(f"ALTER TABLE {table} PARTITION ({BUCKET_COL}={bucket}) SET LOCATION '{folder}'")
+
+
+def _only_buckets(rows: DataFrame, staged: DataFrame, held: list[int]) -> DataFrame:
+    """The rows of some buckets: by a list, which prunes partitions, or where that is long by the
+    staged rows' buckets, which touch most of them anyway."""
+    if len(held) <= LISTED_BUCKETS:
+        return rows.filter(F.col(BUCKET_COL).isin(held))
+    return rows.join(staged.select(BUCKET_COL).distinct(), BUCKET_COL, "left_semi").select(rows.columns)
+
+
+def _folders(target: DataFrame, staged: DataFrame, held: list[int]) -> list[str]:
+    """The folders of the files that hold some buckets: a row a file, no data is read."""
+    files = _only_buckets(target.select(BUCKET_COL, F.col("_metadata.file_path").alias("file")), staged, held)
+    folders = files.select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
+    return [unquote(r.folder) for r in folders.collect()]
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -213,18 +231,11 @@ def _bucket_folders(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET_COL}="))
 
 
-def _catalog_entry(spark: SparkSession, table: str):
-    state = spark._jsparkSession.sessionState()
-    return state.catalog(), state.sqlParser().parseTableIdentifier(table)
-
-
 def _location(spark: SparkSession, table: str) -> str:
-    catalog, name = _catalog_entry(spark, table)
-    return catalog.getTableMetadata(name).location().toString().rstrip("/")
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return [r.data_type for r in about if r.col_name == "Location"][-1].rstrip("/")
 
 
-def _partition_locations(spark: SparkSession, table: str) -> dict[int, str]:
-    """The folder of each registered bucket: one catalog call."""
-    catalog, name = _catalog_entry(spark, table)
-    parts = catalog.listPartitions(name, spark.sparkContext._jvm.scala.Option.empty())
-    return {int(parts.apply(i).spec().apply(BUCKET_COL)): parts.apply(i).location().toString() for i in range(parts.size())}
+def _held_buckets(spark: SparkSession, table: str) -> set[int]:
+    """The registered buckets: one catalog call."""
+    return {int(r.partition.split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
