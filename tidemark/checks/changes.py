@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.checks import check, table
 from tidemark.checks.core import changes
 from tidemark.checks.stateless import CUSTOMER_ACTIVITY_SQL, customer_activity
-from tidemark.operators import generate, keys, upsert
+from tidemark.operators import generate, guard, keys, upsert
 from tidemark.operators.cdc import flatten, latest_per_key
 from tidemark.plans import handoff
 from tidemark.session import scratch_path, scratch_table
@@ -338,3 +338,38 @@ def cdc_snapshot_diff_null_keys(spark, sf):
     shot = lambda keep: (c.filter(keep).groupBy(a, F.col("c_nationkey").alias("b"))
                          .agg(F.round(F.sum("c_acctbal"), 2).alias("v")))
     return snapshot_diff(shot("c_custkey % 5 <> 0"), shot("c_custkey % 7 <> 0"), ["a", "b"], F.lit(None), with_load=False).drop("commit_ts")
+
+
+# --- constraints at write time (Q1-Q3) ------------------------------------------
+
+_GUARD_BATCH = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 100000000 + o_custkey ELSE o_custkey END AS o_custkey, o_totalprice FROM orders
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 17 = 0
+UNION ALL SELECT NULL, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 101 = 0"""
+
+
+@check("guarded_insert", f"""
+WITH b AS ({_GUARD_BATCH}),
+j AS (
+  SELECT *, CASE WHEN o_custkey IS NULL THEN 'null: o_custkey' WHEN o_orderkey IS NULL THEN 'null: o_orderkey'
+    WHEN o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0) THEN 'exists: o_orderkey'
+    WHEN o_custkey NOT IN (SELECT c_custkey FROM customer) THEN 'no parent: o_custkey' END AS reason FROM b),
+n AS (SELECT *, row_number() OVER (PARTITION BY reason IS NULL, o_orderkey ORDER BY o_totalprice) AS r FROM j)
+SELECT o_orderkey, o_custkey, o_totalprice, coalesce(reason, CASE WHEN r > 1 THEN 'repeated: o_orderkey' ELSE 'stored' END) AS outcome FROM n
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, 'before' FROM orders WHERE o_orderkey % 3 = 0""")
+def guarded_insert(spark, sf):
+    # A third of the orders are stored; all orders come again, some with nulls, unknown customers, or twice.
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    parents, target = scratch_table("guard_customer"), scratch_table("guard_orders")
+    upsert.upsert_table(spark, parents, table(spark, sf, "customer").select("c_custkey"), ["c_custkey"], n_buckets=8,
+                        location=scratch_path(spark, parents))
+    upsert.upsert_table(spark, target, o.filter("o_orderkey % 3 = 0"), ["o_orderkey"], n_buckets=16, location=scratch_path(spark, target))
+    customer = guard.GuardedTable(spark, parents, "").rebuild(scratch_path(spark, "guard-filter"))
+    orders = guard.GuardedTable(spark, target, "").rebuild(scratch_path(spark, "guard-filter"))
+    spoilt = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 11 == 0, None).when(
+        F.col("o_orderkey") % 13 == 0, 100_000_000 + F.col("o_custkey")).otherwise(F.col("o_custkey")))
+    batch = (spoilt.unionByName(o.filter("o_orderkey % 17 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1))
+             .unionByName(o.filter("o_orderkey % 101 = 0").withColumn("o_orderkey", F.lit(None).cast(o.schema["o_orderkey"].dataType))))
+    _, rejected = guard.guarded_insert(orders, batch, not_null=["o_custkey"], foreign={"o_custkey": customer}, order_by=["o_totalprice"])
+    stored = upsert.read_table(spark, target).withColumn("outcome", F.when(F.col("o_orderkey") % 3 == 0, "before").otherwise("stored"))
+    return stored.unionByName(rejected.withColumnRenamed("reason", "outcome"))
