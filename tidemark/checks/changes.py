@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.checks import check, table
 from tidemark.checks.core import changes
 from tidemark.checks.stateless import CUSTOMER_ACTIVITY_SQL, customer_activity
-from tidemark.operators import generate, guard, keys, upsert
+from tidemark.operators import generate, guard, keys, leases, upsert
 from tidemark.operators.cdc import flatten, latest_per_key
 from tidemark.plans import handoff
 from tidemark.session import scratch_path, scratch_table
@@ -373,3 +373,20 @@ def guarded_insert(spark, sf):
     _, rejected = guard.guarded_insert(orders, batch, not_null=["o_custkey"], foreign={"o_custkey": customer}, order_by=["o_totalprice"])
     stored = upsert.read_table(spark, target).withColumn("outcome", F.when(F.col("o_orderkey") % 3 == 0, "before").otherwise("stored"))
     return stored.unionByName(rejected.withColumnRenamed("reason", "outcome"))
+
+
+# --- sequences with state (C6, C8, C15) ------------------------------------------
+
+@check("keys_leased", """
+SELECT s_name AS name, row_number() OVER (ORDER BY s_name) AS id, 0 AS epoch FROM supplier
+UNION ALL SELECT c_name, (SELECT count(*) FROM supplier) + row_number() OVER (ORDER BY c_name), 0 FROM customer
+UNION ALL SELECT p_name || p_partkey, 999 + row_number() OVER (ORDER BY p_name || p_partkey), 1 FROM part""")
+def keys_leased(spark, sf):
+    # Two batches share a sequence, a third comes after its restart at 1000.
+    store = leases.SequenceStore(spark, scratch_path(spark, "sequences"))
+    batches = [table(spark, sf, "supplier").select(F.col("s_name").alias("name")), table(spark, sf, "customer").select(F.col("c_name").alias("name")),
+               table(spark, sf, "part").select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("name"))]
+    out = [leases.assign_leased(b, ["name"], store, "party_id").withColumn("epoch", F.lit(0)) for b in batches[:2]]
+    store.restart("party_id", 1000)
+    out.append(leases.assign_leased(batches[2], ["name"], store, "party_id").withColumn("epoch", F.lit(1)))
+    return out[0].unionByName(out[1]).unionByName(out[2])

@@ -15,7 +15,7 @@ from tidemark.checks.core import CHANGES_SQL, changes
 from tidemark.operators.cdc import flatten
 from tidemark.operators.upsert import read_table
 from tidemark.session import scratch_path, scratch_table
-from tidemark.sources.files import read_parquet
+from tidemark.sources.files import read_parquet, stream_table
 from tidemark.streaming import cdc_stream as cs
 
 CUT = "2024-01-16"
@@ -123,3 +123,21 @@ def stream_empty_batch(spark, sf):
     cs.run_stream(cs.change_stream(spark, landing), fn, ckpt)
     fn(first.limit(0), 99)
     return read_table(spark, target)
+
+
+@check("stream_catalog_table", """
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS run FROM orders""")
+def stream_catalog_table(spark, sf):
+    """A catalog table read as a stream: two drops, two runs of the query, each row once."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    name, root = scratch_table("stream_orders"), scratch_path(spark, "stream-table")
+    late = F.col("o_orderkey") % 3 == 0
+    o.filter(~late).write.option("path", f"{root}/table").saveAsTable(name)
+    for run, more in enumerate([None, o.filter(late)]):
+        if more is not None:
+            more.write.insertInto(name)
+        rows = stream_table(spark, name, max_files=2).withColumn("run", F.lit(run))
+        query = (rows.writeStream.format("parquet").option("path", f"{root}/sink").option("checkpointLocation", f"{root}/_ckpt")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    return spark.read.parquet(f"{root}/sink")

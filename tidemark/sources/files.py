@@ -52,3 +52,14 @@ def cast_like(df: DataFrame, like: T.StructType) -> DataFrame:
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Catalog table by name."""
     return spark.table(name)
+
+
+def stream_table(spark: SparkSession, name: str, max_files: int | None = None) -> DataFrame:
+    """Catalog table by name as a stream (A11): rows present at the first start, then what is appended.
+
+    Progress is in the checkpoint of the query that reads it; ``max_files`` bounds a micro-batch.
+    """
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.table(name)
