@@ -665,3 +665,30 @@ def test_top_k_length_is_that_of_the_corpus(spark):
     got = retrieval.top_k(corpus, "vec_id", "v", questions, "q", "v", k=1).collect()
     assert {(r.query_id, r.vec_id) for r in got} == {(2, 0), (3, 4)}
     assert retrieval.top_k(corpus, "vec_id", "v", questions.limit(0), "q", "v", k=1).count() == 0
+
+
+# --- B3: type changes ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("old, new, want", [
+    ("int", "bigint", "bigint"), ("bigint", "int", "bigint"), ("tinyint", "smallint", "smallint"), ("int", "decimal(12,2)", "decimal(12,2)"),
+    ("bigint", "decimal(12,2)", "decimal(22,2)"), ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"), ("decimal(10,2)", "int", "decimal(12,2)"),
+    ("float", "double", "double"), ("double", "float", "double"), ("int", "double", "double"), ("date", "timestamp_ntz", "timestamp_ntz"),
+    ("bigint", "double", None), ("string", "int", None), ("int", "string", None), ("decimal(38,2)", "decimal(38,10)", None), ("boolean", "int", None),
+    ("timestamp", "timestamp_ntz", None), ("int", "float", None)])
+def test_common_type(spark, old, new, want):
+    from tidemark.operators.tables import common_type
+    kind = lambda t: spark.createDataFrame([], f"c {t}").schema["c"].dataType
+    got = common_type(kind(old), kind(new))
+    assert (got.simpleString() if got else None) == want
+
+
+def test_a_lossy_type_change_is_refused_and_changes_nothing(spark):
+    from tidemark.operators import tables
+    name, root = scratch_table("t_lossy"), scratch_path(spark, "lossy")
+    tables.save_evolving(spark.createDataFrame([(1, "a")], "k int, v string"), name, root)
+    with pytest.raises(ValueError, match="v is string, got int"):
+        tables.save_evolving(spark.createDataFrame([(2, 5)], "k bigint, v int"), name, root)
+    assert spark.table(name).dtypes == [("k", "int"), ("v", "string")] and spark.table(name).count() == 1
+    tables.save_evolving(spark.createDataFrame([(1 << 40, "b", 1.5)], "k bigint, v string, w double"), name, root)
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a", None), (1 << 40, "b", 1.5)]
+    assert not spark.catalog.tableExists(f"{name}__before") and not spark.catalog.tableExists(f"{name}__promoted")

@@ -107,6 +107,28 @@ def sink_catalog_evolve(spark, sf):
     return spark.table(name)
 
 
+@check("sink_type_promotion", """
+SELECT o_orderkey::BIGINT AS o_orderkey, o_custkey::DECIMAL(12, 2) AS part, o_orderdate::DATE::TIMESTAMP AS at, o_totalprice::FLOAT::DOUBLE AS price,
+       '2024-02-01' AS partition_col FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL
+SELECT o_orderkey::BIGINT + 10000000000, (o_custkey + 0.25)::DECIMAL(12, 2), o_orderdate::TIMESTAMP + INTERVAL 90 MINUTE, o_totalprice, '2024-02-02'
+FROM orders WHERE o_orderkey % 2 = 1
+UNION ALL
+SELECT o_orderkey::BIGINT, o_custkey::DECIMAL(12, 2), o_orderdate::DATE::TIMESTAMP, o_totalprice::FLOAT::DOUBLE, '2024-02-03' FROM orders WHERE o_orderkey % 5 = 0""")
+def sink_type_promotion(spark, sf):
+    """Narrow, then wide, then narrow loads of one table: its columns widen once, old files are read as they are."""
+    db, root = fresh_db(spark, "promote")
+    o, name = table(spark, sf, "orders"), f"{db}.orders"
+    narrow = o.select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int").alias("part"),
+                      F.to_date("o_orderdate").alias("at"), F.col("o_totalprice").cast("float").alias("price"))
+    wide = o.select((F.col("o_orderkey").cast("long") + 10_000_000_000).alias("o_orderkey"),
+                    (F.col("o_custkey") + F.lit(0.25).cast("decimal(3,2)")).cast("decimal(12,2)").alias("part"),
+                    (F.col("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL 90 MINUTES")).alias("at"), F.col("o_totalprice").alias("price"))
+    for rows, day in ((narrow.filter("o_orderkey % 2 = 0"), 1), (wide.filter("o_orderkey % 2 = 1"), 2), (narrow.filter("o_orderkey % 5 = 0"), 3)):
+        tables.save_evolving(stamp(rows, "partition_col", "%Y-%m-%d", f"2024-02-0{day} 08:00:00"), name, f"{root}/orders", ["partition_col"])
+    return spark.table(name)
+
+
 @check("ddl_create_idempotent", "SELECT *, 0 AS rows_before, 1 AS tables FROM supplier")
 def ddl_create_idempotent(spark, sf):
     db, root = fresh_db(spark, "ddl")

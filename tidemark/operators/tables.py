@@ -110,8 +110,9 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
                   replace_partitions: bool = False, constant=()) -> None:
     """Write and register a table, adding new columns first when the frame has them.
 
-    Columns are never dropped or retyped: a frame missing a column writes
-    NULL there. New partitions are registered by the write itself. With
+    Columns are never dropped: a frame missing a column writes NULL there. A column of a
+    wider type promotes the table's (``common_type``), old files are read under the new
+    type; a narrower one is widened on write; a change that could lose values is refused. New partitions are registered by the write itself. With
     ``replace_partitions`` the partitions present in ``df`` are overwritten
     (dynamic mode) instead of appended to.
     """
@@ -124,7 +125,16 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
         w.saveAsTable(name)
         return
     current = spark.table(name).schema
-    have = {f.name for f in current.fields}
+    have = {f.name: f.dataType for f in current.fields}
+    fixed = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}      # cast on write, as folder names are text
+    wider = {f.name: common_type(have[f.name], f.dataType) for f in df.schema.fields if f.name in have and f.name not in fixed}
+    lossy = [n for n, kind in wider.items() if kind is None]
+    if lossy:
+        raise ValueError(f"columns {lossy} of {name} cannot take the new values without loss: "
+                         + ", ".join(f"{n} is {have[n].simpleString()}, got {df.schema[n].dataType.simpleString()}" for n in lossy))
+    wider = {n: kind for n, kind in wider.items() if kind != have[n]}
+    if wider:
+        promote_columns(spark, name, wider)
     new = [f for f in df.schema.fields if f.name not in have]
     if new:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
@@ -142,6 +152,65 @@ def save_evolving(df: DataFrame, name: str, location: str, partition_by: list[st
         aligned.write.mode("append").insertInto(name)
 
 
+# Whole numbers by the digits they need; each is contained in the next.
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+
+
+def common_type(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The narrower of the types that hold all values of both and under which files of ``old`` can be read; None if there is none.
+
+    Whole numbers widen up to bigint and on to decimals, decimals to more digits before and
+    after the point, float to double, int and smaller to double, date to timestamp without zone.
+    A column never becomes narrower than it is.
+    """
+    if old == new:
+        return old
+    a, b = _WHOLE.get(type(old)), _WHOLE.get(type(new))
+    if a and b:
+        return old if a >= b else new
+    if isinstance(old, T.DecimalType) and (b or isinstance(new, T.DecimalType)):
+        whole, scale = (b, 0) if b else (new.precision - new.scale, new.scale)
+        scale = max(scale, old.scale)
+        whole = max(whole, old.precision - old.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if a and isinstance(new, T.DecimalType):
+        whole = max(a, new.precision - new.scale)
+        return T.DecimalType(whole + new.scale, new.scale) if whole + new.scale <= 38 else None
+    for small, large in ((T.FloatType, T.DoubleType), (T.DateType, T.TimestampNTZType)):
+        if {type(old), type(new)} == {small, large}:
+            return large()
+    if {type(old), type(new)} & {T.DoubleType} and (a or b or 99) <= 10:
+        return T.DoubleType()
+    return None
+
+
+def promote_columns(spark: SparkSession, name: str, kinds: dict[str, T.DataType]) -> None:
+    """Give columns of a registered Parquet table wider types; no file is rewritten.
+
+    The catalog cannot retype a column of such a table, so a table of the new schema is
+    registered over the same folders and takes the name. The files belong to their location and stay
+    at every step; a crash between the two renames leaves both entries under other names
+    (``<name>__promoted`` is whole).
+    """
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    facts = {r.col_name: r.data_type for r in about}
+    if facts.get("Type") != "EXTERNAL":
+        raise ValueError(f"{name} has no location of its own: register it with one to change types")
+    schema = spark.table(name).schema
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if any(p in kinds for p in parts):
+        raise ValueError(f"{name}: the type of a partition column is fixed")
+    cols = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType).simpleString()}" for f in schema.fields)
+    by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    spark.sql(f"CREATE TABLE {name}__promoted ({cols}) USING parquet{by} LOCATION '{facts['Location']}'")
+    if parts:
+        spark.catalog.recoverPartitions(f"{name}__promoted")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__before")
+    spark.sql(f"ALTER TABLE {name}__promoted RENAME TO {name}")
+    spark.sql(f"DROP TABLE {name}__before")
+    spark.catalog.refreshTable(name)
+
+
 def register_partitions(spark: SparkSession, name: str) -> None:
     """Add partition folders written straight to a table's location to the catalog."""
     spark.catalog.recoverPartitions(norm_name(name))
