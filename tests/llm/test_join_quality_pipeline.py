@@ -127,8 +127,8 @@ def test_rounds_shorten_and_pairs_met_are_left_out(spark, monkeypatch):
             rows.append((4 * g + c, " ".join(copy)))
     links = ngram_join._links
 
-    def count(slim, nodes, work, n, threshold):
-        out = links(slim, nodes, work, n, threshold)
+    def count(slim, nodes, tries, work, n, threshold):
+        out = links(slim, nodes, tries, work, n, threshold)
         seen.append((work.prefix, work.longer, out.agg({"links": "sum"}).first()[0] or 0))
         return out
 

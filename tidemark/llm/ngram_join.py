@@ -340,25 +340,35 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _links(slim: DataFrame, nodes: DataFrame, work: _Units, n: int, threshold: float) -> DataFrame:
-    """One round's links: a row per linked node and unit (key, a: its vertex, b: the smallest vertex
-    of its local component, links)."""
-    trees, size = work.trees, work.size
+def _members(nodes: DataFrame, trees: int, size: int, rounds: list[int]) -> DataFrame:
+    """(key, grams, tree, a slot per length of ``rounds``) of the nodes that share a trie node of the
+    last, shortest length with another: all later steps work on these alone. A slot is a hash of the
+    tree and the prefix."""
     run_bytes = 2 * size // trees
+    slot = lambda t, k: F.xxhash64(t, F.substring(F.col("sig"), 1 + t * run_bytes, F.lit(2 * k)))
     runs = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.substring(F.col("sig"), 1 + t * run_bytes, F.lit(2 * work.prefix)).alias("prefix"),
-        F.xxhash64(F.substring(F.col("sig"), 1 + t * run_bytes, F.lit(2 * (work.longer or work.prefix)))).alias("child")))
+        t.alias("tree"), *[slot(t, k).alias(f"slot{k}") for k in rounds]))
     tries = nodes.filter("sig is not null").select("key", "grams", F.explode(runs).alias("r")).select("key", "grams", "r.*")
+    last = f"slot{rounds[-1]}"
+    shared = tries.groupBy(last).agg(F.count("*").alias("n")).filter("n > 1").select(last)
+    return materialise(tries.join(shared, last, "left_semi").select("key", "grams", "tree", *[f"slot{k}" for k in rounds]), "join-tries")
+
+
+def _links(slim: DataFrame, nodes: DataFrame, tries: DataFrame, work: _Units, n: int, threshold: float) -> DataFrame:
+    """One round's links: a row per linked node and unit (key, a: its vertex, b: the smallest vertex
+    of its local component, links)."""
+    size = work.size
+    tries = tries.select("key", "grams", "tree", F.col(f"slot{work.prefix}").alias("slot"),
+                         F.col(f"slot{work.longer or work.prefix}").alias("child"))
     several = "n > 1" + (" and low < high" if work.longer else "")         # pairs within one child met before
-    shared = materialise(tries.groupBy("tree", "prefix").agg(
-        F.count("*").alias("n"), F.sum("grams").alias("all_grams"), F.min("child").alias("low"), F.max("child").alias("high"))
-        .filter(several).select("tree", "prefix", "n", "all_grams"), "join-tries")
+    shared = tries.groupBy("slot").agg(F.count("*").alias("n"), F.sum("grams").alias("all_grams"),
+                                       F.min("child").alias("low"), F.max("child").alias("high")).filter(several)
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("all_grams") / BLOCK_GRAMS)).cast("int")
-    members = (tries.join(shared, ["tree", "prefix"]).withColumn("blocks", blocks)
+    members = (tries.select("key", "tree", "slot").join(shared, "slot").withColumn("blocks", blocks)
                .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-               .select("key", "tree", "prefix", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")))
+               .select("key", "tree", "slot", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")))
     units = members.select("key", "tree", "block", (F.col("block") != F.col("other")).alias("crossed"), F.xxhash64(
-        "tree", "prefix", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
+        "slot", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
 
     def paired(batches):
         for table in _whole_units(batches):
@@ -416,9 +426,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: flo
     nodes = rows.groupBy("key").agg(F.min("tm_id").alias("node"), F.count("*").alias("copies"),
                                     F.first("grams").alias("grams"), F.first("sig").alias("sig"))
     nodes = materialise(nodes.withColumn("vertex", _vertex("node", "key")), "join-nodes")
+    rounds = lengths(depth, shortened(threshold, trees, depth, target_recall), step)
+    tries = _members(nodes, trees, size, rounds)
     linked, longer = None, None
-    for length in lengths(depth, shortened(threshold, trees, depth, target_recall), step):
-        new = _links(slim, nodes, _Units(trees, length, longer, size, least), n, threshold)
+    for length in rounds:
+        new = _links(slim, nodes, tries, _Units(trees, length, longer, size, least), n, threshold)
         linked, longer = new if linked is None else linked.unionByName(new), length
     roots = components(linked.select("a", "b"))
     per_key = materialise(
