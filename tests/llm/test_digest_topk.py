@@ -143,3 +143,10 @@ def test_index_bounds_hold():
             scores[q] = -(1 << 60)
             assert set(np.flatnonzero(scores >= np.sort(scores)[-5])) <= set(members.tolist())
         assert touched < 0.9 * 40 * len(index.row)              # stops on proof before the last postings
+
+
+def test_many_rows_of_one_id_are_dealt_by_their_texts(spark):
+    rows = [(5, f"text {i % 90} of one id " + "word " * (i % 7)) for i in range(240)] + [(9, "x"), (1, "y"), (None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = digest.fingerprint_edits(docs, partitions=6).collect()
+    assert Counter((*r[:5], round(r[5], 9), round(r[6], 9)) for r in got) == _slow_edits(rows)

@@ -167,3 +167,13 @@ def test_every_shared_passage_of_50_words_has_a_run():
         text, _, _, two = spans._runs(texts, 2, 13, 8)
         held = [set(zip(*two[:, text == i].tolist())) for i in range(2)]
         assert held[0] & held[1]
+
+
+def test_many_null_ids_lose_only_their_own_lines(spark):
+    """Rows without an id hold different texts: what one row loses is not copied to the others."""
+    shared = [f"a line that several documents hold, number {i}" for i in range(300)]
+    rows = [(1, "\n".join(shared))] + [(None, shared[i] + f"\nonly here {i} in this text") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.dedup_lines(df).collect()
+    assert sorted(r.text for r in got if r.doc_id is None) == sorted(f"only here {i} in this text" for i in range(300))
+    assert all(r.n_dropped == 1 for r in got if r.doc_id is None) and [r.text for r in got if r.doc_id == 1] == [rows[0][1]]

@@ -254,7 +254,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield table()
 
     done = materialise(
-        slim.repartitionByRange(partitions, F.desc("tm_id")).sortWithinPartitions(F.desc("tm_id"), "text")
+        slim.repartitionByRange(partitions, F.desc("tm_id"), F.substring("text", 1, 64)).sortWithinPartitions(F.desc("tm_id"), "text")
         .mapInArrow(run, f"tm_id long, {RESULT}, part int, head string, head_mark string, tail string, tail_mark string"),
         "fingerprints")
 
@@ -263,9 +263,12 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.max("head").alias("head"), F.max("head_mark").alias("head_mark"), F.max("tail").alias("tail"),
         F.max("tail_mark").alias("tail_mark"),
         F.max(F.when(F.col("tail").isNotNull(), F.col("tm_id"))).alias("tm_id"))
+    # Only their numbers meet in one task; texts are joined by number.
     after, whole = Window.orderBy("part"), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pairs = ends.select("tm_id", "tail", "tail_mark", *[
-        F.coalesce(F.lead(c).over(after), F.first(c).over(whole)).alias(c) for c in ("head", "head_mark")])
+    following = ends.select("part", F.coalesce(F.lead("part").over(after), F.first("part").over(whole)).alias("next_part"))
+    heads = ends.select(F.col("part").alias("next_part"), "head", "head_mark")
+    pairs = (ends.select("part", "tm_id", "tail", "tail_mark").join(following, "part").join(heads, "next_part")
+             .select("tm_id", "tail", "tail_mark", "head", "head_mark"))
 
     def finish(batches):
         for batch in batches:

@@ -24,7 +24,7 @@ the same. Raise it with executor memory: a task needs ``filter_bits`` bytes.
 
 Defined results: a null or empty text is one empty line; a null id counts as one
 id after all others; rows that repeat an id count as one document, and each of
-them loses the same keys; ties cannot occur between ids; an empty table gives an
+them loses those of the same keys that it holds; ties cannot occur between ids; an empty table gives an
 empty result; input columns named ``n_lines`` or ``n_dropped`` are replaced and
 all others are kept.
 """
@@ -130,18 +130,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with repeated lines removed from the text, plus ``n_lines`` and ``n_dropped``."""
     spark = docs.sparkSession
     docs = without(docs, ["n_lines", "n_dropped"])
-    slim = docs.select(id_key(id_col).alias("tm_id"), F.col(text_col).alias("tm_text"))
+    keyed = docs.withColumns({"tm_id": id_key(id_col), "tm_hash": F.xxhash64(text_col)})
+    slim = keyed.select("tm_id", "tm_hash", F.col(text_col).alias("tm_text"))
     shared = spark.sparkContext.broadcast(twice_seen(slim, "tm_text", min_chars, filter_bits, probes))
 
     def suspects(batches):
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            ids, keys, hashes = [], [], []
-            for i, t in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
+            rows, keys, hashes = [], [], []
+            for i, t in enumerate(_texts(batch.column(2))):
                 for k, h in _suspects(keys_of(t, min_chars), bits, filter_bits, probes):
-                    ids.append(i), keys.append(k), hashes.append(h)
+                    rows.append(i), keys.append(k), hashes.append(h)
+            rows = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "tm_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.binary()),
+                "tm_id": batch.column(0).take(rows), "tm_hash": batch.column(1).take(rows), "key": pa.array(keys, pa.binary()),
                 "hash": pa.array(np.array(hashes, np.uint64).view(np.int64), pa.int64())})
 
     def flag(batches):
@@ -171,18 +173,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 texts.append(b"\n".join(kept)), dropped.append(len(lines) - len(kept))
             columns = [pa.array(texts, pa.binary()).cast(pa.string()) if i == at else c
                        for i, c in enumerate(batch.columns)]
-            keep = [i for i, n in enumerate(batch.schema.names) if n not in ("tm_id", "tm_lost")]
+            keep = [i for i, n in enumerate(batch.schema.names) if n not in ("tm_id", "tm_hash", "tm_lost")]
             yield pa.RecordBatch.from_arrays([columns[i] for i in keep] + [pa.array(dropped, pa.int64())],
                                              names=[batch.schema.names[i] for i in keep] + ["n_dropped"])
 
-    found = materialise(slim.mapInArrow(suspects, "tm_id long, key binary, hash long"), "line-suspects")
+    found = materialise(slim.mapInArrow(suspects, "tm_id long, tm_hash long, key binary, hash long"), "line-suspects")
     repeats = materialise(found.groupBy("key").agg(F.min("tm_id").alias("first"), F.max("tm_id").alias("last"))
                           .filter("first < last").select("key", "first"), "line-repeats")
     lost = (found.join(repeats, "key").filter("tm_id > first")
-            .groupBy("tm_id").agg(F.collect_set("hash").alias("tm_lost")))   # at most one document's lines
+            .groupBy("tm_id", "tm_hash").agg(F.collect_set("hash").alias("tm_lost")))   # at most one text's lines
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     flagged = docs.mapInArrow(flag, f"{fields}, n_lines long, tm_some boolean")
     clean = flagged.filter("not tm_some").drop("tm_some").withColumn("n_dropped", F.lit(0).cast("long"))
-    held = flagged.filter("tm_some").drop("tm_some").withColumn("tm_id", id_key(id_col)).join(lost, "tm_id", "left")
+    held = flagged.filter("tm_some").drop("tm_some").withColumns({"tm_id": id_key(id_col), "tm_hash": F.xxhash64(text_col)})
+    held = held.join(lost, ["tm_id", "tm_hash"], "left")
     return clean.unionByName(held.mapInArrow(strip, f"{fields}, n_lines long, n_dropped long"))
