@@ -82,3 +82,44 @@ def test_arrays_and_maps_are_typed_at_any_depth(spark):
     assert first.ids == [1, 2, None] and {k: str(v) for k, v in first.prices.items()} == {"a": "1.50", "b": "2.00"}
     assert first.seats[0].n == 7 and first.seats[0]["at"].minute == 4
     assert got[4].data.ids == [] and got[4].data.prices == {}
+
+
+@pytest.mark.parametrize("crash", ["quarantine", "audit", "target", None])
+def test_each_sink_of_a_batch_is_written_once(spark, sf, monkeypatch, crash):
+    """A crash after any sink: the replay writes the others, and a second replay writes nothing."""
+    from tidemark.streaming.ledger import Ledger
+    root, target = scratch_path(spark, "ledger"), scratch_table("t_ledger")
+    ledger = Ledger(spark, f"{root}/ledger", "activity")
+    lines = cs.typed_records(spark.read.text(_landed(spark, sf, f"{root}/landing")))
+    batch = lines.unionByName(cs.typed_records(spark.createDataFrame([("{broken",)], "value string"))).persist()
+    done = []
+    write_part, upsert_table = cs._write_part, cs.upsert_table
+    monkeypatch.setattr(cs, "_write_part", lambda rows, i, path: (done.append(path.split("/")[-1]), write_part(rows, i, path)))
+    monkeypatch.setattr(cs, "upsert_table", lambda *a: (done.append("target"), upsert_table(*a)))
+    fn = cs.upsert_batch_fn(target, lambda: (table(spark, sf, "customer"), table(spark, sf, "nation")), n_buckets=4, ledger=ledger,
+                            location=f"{root}/t", audit_path=f"{root}/audit", quarantine_path=f"{root}/quarantine")
+    once = ledger.once
+
+    def failing(batch_id, sink, write):
+        once(batch_id, sink, write)
+        if sink == crash:
+            raise RuntimeError("lost")
+
+    if crash:
+        monkeypatch.setattr(ledger, "once", failing)
+        with pytest.raises(RuntimeError):
+            fn(batch, 7)
+        monkeypatch.setattr(ledger, "once", once)
+    fn(batch, 7)
+    fn(batch, 7)
+    assert sorted(done) == ["audit", "quarantine", "target"]
+    held = read_table(spark, target)
+    assert held.count() > 0 and held.count() == spark.read.parquet(f"{root}/audit").count()
+    assert [(r.record, r.batch_id) for r in spark.read.parquet(f"{root}/quarantine").collect()] == [("{broken", 7)]
+    fn(batch, 8)                                                # another batch is not taken for this one
+    assert len(done) == 6 and ledger.forget(8) == 1 and not ledger.has(7, "target") and ledger.has(8, "target")
+
+
+def _landed(spark, sf, path):
+    cs.write_change_files(events_as_changes(table(spark, sf, "events")), path)
+    return path

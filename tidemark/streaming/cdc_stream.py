@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tidemark.operators.upsert import upsert_table
 from tidemark.plans.enrich import ACTIVITY, ChangeSpec
 from tidemark.sources.cdc import change_schema
+from tidemark.streaming.ledger import Ledger
 
 # JSON text of change records keeps microseconds (the JSON default keeps
 # milliseconds, which would create ties that are not in the source).
@@ -126,17 +127,27 @@ def quarantine(batch: DataFrame, batch_id: int, path: str | None) -> DataFrame:
         return batch
     bad = batch.filter(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("record"))
     if path:
-        (bad.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        _write_part(bad, batch_id, path)
     elif not bad.isEmpty():
         raise ValueError(f"malformed change records, such as {bad.first()[0][:200]!r}: name a quarantine folder")
-    return batch.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    return well_formed(batch)
+
+
+def well_formed(batch: DataFrame) -> DataFrame:
+    return batch.filter(F.col(MALFORMED).isNull()).drop(MALFORMED) if MALFORMED in batch.columns else batch
+
+
+def _write_part(rows: DataFrame, batch_id: int, path: str) -> None:
+    """One partition per batch id, replaced if the batch is replayed."""
+    (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
 def upsert_batch_fn(target: str, dims: Callable[[], tuple[DataFrame, ...]],
                     keys: list[str] | None = None, n_buckets: int | None = None, ties: str = "rank",
                     audit_path: str | None = None, guard_col: str | None = None, location: str | None = None,
-                    spec: ChangeSpec = ACTIVITY, quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                    spec: ChangeSpec = ACTIVITY, quarantine_path: str | None = None,
+                    ledger: Ledger | None = None) -> Callable[[DataFrame, int], None]:
     """The per-batch function (R5, U1): enrich as ``spec`` says, then upsert.
 
     ``keys`` of the target default to the spec's. Malformed records go to
@@ -145,26 +156,32 @@ def upsert_batch_fn(target: str, dims: Callable[[], tuple[DataFrame, ...]],
     raises, so the checkpoint does not advance past it (S8). Without
     ``guard_col`` a late, older record overwrites a newer row, as in the
     reference (S3); with it (e.g. ``"updated_at"``) the newer row stays.
+    The source is read and its records typed once per batch, whatever the number of sinks.
+    With a ``ledger`` a replayed batch writes only the sinks it had not finished.
     """
     keys = keys or spec.keys
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch = quarantine(batch, batch_id, quarantine_path)
-        rows = spec.enrich(batch, dims(), ties=ties)
-        if not audit_path:
-            upsert_table(batch.sparkSession, target, rows, keys, n_buckets, guard_col, location)
+        once = ledger.once if ledger else lambda _, __, write: write()
+        if ledger and ledger.has(batch_id, "target"):           # the last sink: nothing is left to do
             return
-        # Used twice (audit and upsert): persist for this batch only. The audit
-        # is one partition per batch id, replaced if the batch is replayed.
-        rows = rows.persist()
+        batch = batch.persist()                                 # for this batch only
         try:
-            (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(audit_path))
-            upsert_table(batch.sparkSession, target, rows, keys, n_buckets, guard_col, location)
+            if batch.isEmpty():
+                return
+            once(batch_id, "quarantine", lambda: quarantine(batch, batch_id, quarantine_path))
+            rows = spec.enrich(well_formed(batch), dims(), ties=ties)
+            if not audit_path:
+                once(batch_id, "target", lambda: upsert_table(batch.sparkSession, target, rows, keys, n_buckets, guard_col, location))
+                return
+            rows = rows.persist()                               # used twice: audit and upsert
+            try:
+                once(batch_id, "audit", lambda: _write_part(rows, batch_id, audit_path))
+                once(batch_id, "target", lambda: upsert_table(batch.sparkSession, target, rows, keys, n_buckets, guard_col, location))
+            finally:
+                rows.unpersist()
         finally:
-            rows.unpersist()
+            batch.unpersist()
     return process
 
 
