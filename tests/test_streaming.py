@@ -123,3 +123,26 @@ def test_each_sink_of_a_batch_is_written_once(spark, sf, monkeypatch, crash):
 def _landed(spark, sf, path):
     cs.write_change_files(events_as_changes(table(spark, sf, "events")), path)
     return path
+
+
+def test_late_records_are_dropped_and_state_is_bounded(spark):
+    """Times advance by a day a batch; an old record of a known key, a tie, a null time, and keys that go idle."""
+    import datetime as dt
+
+    from tidemark.streaming.late import interval_ms, newest_per_key
+    root = scratch_path(spark, "late")
+    day = lambda d: dt.datetime(2024, 1, 1, 12) + dt.timedelta(days=d)
+    batches = [[("a", day(0), 1), ("a", day(-1), 2), ("idle", day(0), 3)], [("a", day(-1), 4), ("b", day(1), 5), ("n", None, 6)],
+               [("a", day(0), 7), ("b", day(2), 8), ("b", day(1), 9)]] + [[("c", day(d), 100 + d)] for d in range(3, 12)]
+    got, schema = [], "k string, at timestamp, n int"
+    query = None
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        query = cs.run_stream(newest_per_key(stream, ["k"], "at", "2 days"), lambda df, _: got.extend(r.n for r in df.collect()), f"{root}/_ckpt")
+    assert sorted(got) == [1, 3, 5, 6, 7, 8] + [100 + d for d in range(3, 12)]
+    # a, idle and b were last seen more than twice the delay ago: only c is held.
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held[-1] == 1
+    with pytest.raises(ValueError):
+        interval_ms("soon")

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tidemark.checks import check, table
 from tidemark.checks.core import CHANGES_SQL, changes
 from tidemark.operators.cdc import flatten
-from tidemark.operators.upsert import read_table
+from tidemark.operators.upsert import read_table, upsert_table
 from tidemark.session import scratch_path, scratch_table
 from tidemark.sources.files import read_parquet, stream_table
 from tidemark.streaming import cdc_stream as cs
+from tidemark.streaming.late import newest_per_key
 
 CUT = "2024-01-16"
 
@@ -141,3 +142,21 @@ def stream_catalog_table(spark, sf):
                  .trigger(availableNow=True).start())
         query.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
+
+
+@check("stream_late_records", """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, rank() OVER (PARTITION BY user_id ORDER BY ts DESC) AS n FROM events) WHERE n = 1""")
+def stream_late_records(spark, sf):
+    """Events arrive in an order of their own, in six batches: the table is that of the order of their times."""
+    root, target = scratch_path(spark, "late"), scratch_table("late_events")
+    ev = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("at"))
+    for i in range(6):
+        ev.filter(F.pmod(F.xxhash64("event_id"), F.lit(6)) == i).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+
+    def put(batch, _):
+        upsert_table(batch.sparkSession, target, batch, ["user_id"], 4, location=f"{root}/table")
+
+    cs.run_stream(newest_per_key(stream, ["user_id"], "at", "60 days"), put, f"{root}/_ckpt")
+    return read_table(spark, target).drop("at")
