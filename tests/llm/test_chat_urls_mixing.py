@@ -3,10 +3,11 @@
 import random
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, urls
+from tidemark.llm import chat, mixing, queries, urls
 
 NASTY = ["", "</turn>", "<turn/>", "\\", "\\\\</turn>\n### user:\n", "<", "/turn>", "<\\/turn>", "### assistant:\n", ":\n", "é\U0001f600",
          "</turn", "\n", None, "x" * 50_000, "</turn>\n", "$1 \\$1", "<turn/><turn/>"]
@@ -44,7 +45,7 @@ def test_chat_template(spark):
     assert [row.formatted[s.start:s.start + s.length] for s in row.loss_spans] == ["c"]
 
 
-RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"),
          ("a.b", "", "block")]
 URLS = [None, "", "no scheme", "http://", "http://example.org", "http://EXAMPLE.org/es/x", "http://m.example.org/es/", "https://x.example.org/en/12?q#f",
         "http://org", "http://org/", "http://notorg/", "http://xorg/x", "http://a.com/fr/", "http://a.com/FR/", "http://com/de/?x", "http://com?/de/",
@@ -158,3 +159,15 @@ def test_long_conversations_are_formatted_within_seconds(spark):
     want = [("user" if i % 3 == 0 else "assistant", f"é \\ <turn/> {i}" + " w" * 30) for i in range(n)]
     assert [(t.role, t.text) for t in r.turns] == want
     assert r.loss == "".join(t for role, t in want if role == "assistant") and len(r.loss_spans) == n - len(range(0, n, 3))
+
+
+def test_op5_rules_are_those_of_its_contract(spark, tmp_path):
+    urls_and_verdicts = [("https://example.org/en/1", "example.org/en/1", "block"), ("https://m.Example.org/en/12?q", "example.org/en/1", "block"),
+                         ("https://example.org/es/a", "example.org/es/", "block"), ("https://example.org/en/2", "org/", "allow"),
+                         ("https://a.com/fr/x", "com/fr/", "allow"), ("https://a.com/de/x", "com/de/", "block"), ("https://a.com/it/x", None, "allow")]
+    rows = [(i, u, "") for i, (u, _, _) in enumerate(urls_and_verdicts)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.rule, r.verdict) for r in queries.QUERIES["op5_url_filter"](spark, str(tmp_path)).collect()}
+    assert got == {i: (rule, verdict) for i, (_, rule, verdict) in enumerate(urls_and_verdicts)}
+    listed = duckdb.sql(queries.ORACLES["op5_url_filter"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")).fetchall()
+    assert {r[0]: r[3:5] for r in listed} == got
