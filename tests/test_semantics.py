@@ -692,3 +692,14 @@ def test_a_lossy_type_change_is_refused_and_changes_nothing(spark):
     tables.save_evolving(spark.createDataFrame([(1 << 40, "b", 1.5)], "k bigint, v string, w double"), name, root)
     assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a", None), (1 << 40, "b", 1.5)]
     assert not spark.catalog.tableExists(f"{name}__before") and not spark.catalog.tableExists(f"{name}__promoted")
+
+
+def test_children_that_a_generator_makes_are_not_broadcast(spark, tmp_path, monkeypatch):
+    spark.range(50).selectExpr("concat('s', id) AS name").write.parquet(f"{tmp_path}/parents")
+    parents = spark.read.parquet(f"{tmp_path}/parents")
+    kids = parents.select("name", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("n"))
+    plans, assign = [], keys.assign_keys
+    monkeypatch.setattr(keys, "assign_keys", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or assign(df, *a, **k))
+    got = keys.parent_child_keys(parents, "name", kids, "name", child_order=["n"])
+    assert got.children.selectExpr("count(*)", "count(DISTINCT child_id)", "max(child_id)").first() == (5000, 5000, 5000)
+    assert got.orphans.count() == 0 and "SortMergeJoin [name" in plans[1]

@@ -78,7 +78,9 @@ def parent_child_keys(parents: DataFrame, parent_natural: str, children: DataFra
     """Keys for parents, then children carrying their parent's new key.
 
     The children are joined to the numbered parents on the natural key (one
-    equi-join, no per-row lookups), then numbered themselves. A natural key that
+    equi-join, no per-row lookups), then numbered themselves. The join is a merge
+    join, so that neither side is broadcast: the size of children that a generator makes
+    from few rows is underestimated. A natural key that
     several parents share fails the job, as it cannot name one; children without a
     parent come back as ``orphans``, with their own columns.
     """
@@ -87,7 +89,7 @@ def parent_child_keys(parents: DataFrame, parent_natural: str, children: DataFra
            .filter(F.col(child_fk).isNotNull()))
     key = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"several parents share a {parent_natural}")).cast("long")).otherwise(F.col("_key"))
     link = one.select(child_fk, key.alias(parent_key))
-    c = assign_keys(children.join(link, child_fk), [parent_key, *child_order], child_key, start=start)
+    c = assign_keys(children.join(link.hint("merge"), child_fk), [parent_key, *child_order], child_key, start=start)
     return Keyed(p, c, children.join(one.select(child_fk), child_fk, "left_anti"))
 
 
