@@ -87,3 +87,26 @@ def test_passages_cover_every_word_and_overlap(spark, words, overlap):
         assert got.get(i, {}) == want
     with pytest.raises(ValueError):
         lexical.cut_passages(spark.createDataFrame(docs, "id long, text string"), "id", "text", 3, 3)
+
+
+def test_questions_in_several_scans_find_what_one_scan_finds(spark, monkeypatch):
+    docs, asked = corpus()
+    questions = spark.createDataFrame(asked + [(None, "w1"), (54, "w2 w3")], "q long, text string")
+    for kind in ("long", "string"):
+        df = spark.createDataFrame(docs, "id long, text string").selectExpr(f"CAST(id AS {kind}) AS id", "text").repartition(5)
+        index = lexical.build(df, scratch_path(spark, "lex"), "id", "text", block_docs=4, parts=4)
+        one = [sorted(map(tuple, x.collect())) for x in index.search_with_work(questions, "q", "text", k=4)]
+        with monkeypatch.context() as m:
+            m.setattr(lexical, "QUESTIONS_PER_SCAN", 6)
+            m.setattr(lexical, "_CELLS", 700)
+            assert [sorted(map(tuple, x.collect())) for x in index.search_with_work(questions, "q", "text", k=4)] == one
+        assert len(one[0]) > 60
+
+
+def test_postings_cross_a_shuffle_once_for_all_questions(spark):
+    docs, asked = corpus(50)
+    index = lexical.build(spark.createDataFrame(docs, "id long, text string"), scratch_path(spark, "lex"), "id", "text", parts=4)
+    rows = spark.createDataFrame([(q, "w1") for q in range(50)], "q long, term string").join(index._read("terms"), "term")
+    blocks = index._read("postings").select("block").distinct().crossJoin(rows.select("q"))
+    plan = index._scored(rows, blocks, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" in plan and "hashpartitioning(q" not in plan and "MapInArrow" in plan
