@@ -703,3 +703,15 @@ def test_children_that_a_generator_makes_are_not_broadcast(spark, tmp_path, monk
     got = keys.parent_child_keys(parents, "name", kids, "name", child_order=["n"])
     assert got.children.selectExpr("count(*)", "count(DISTINCT child_id)", "max(child_id)").first() == (5000, 5000, 5000)
     assert got.orphans.count() == 0 and "SortMergeJoin [name" in plans[1]
+
+
+def test_blocks_of_questions_share_a_scan(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    emb = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(120)], "vec_id long, v array<double>")
+    scans, block = [], retrieval._top_k_block
+    monkeypatch.setattr(retrieval, "_top_k_block", lambda *a: scans.append(1) or block(*a))
+    run = lambda: sorted(map(tuple, retrieval.top_k(emb, "vec_id", "v", emb, "vec_id", "v", k=3, per_scan=5).collect()))
+    got = run()
+    assert len(got) == 360 and len(scans) == 1
+    monkeypatch.setattr(retrieval, "SCAN_BYTES", 40 * 8 * 8)
+    assert run() == got and len(scans) == 1 + 3

@@ -1,7 +1,7 @@
 """Similarity top-k over an embedding table (T4) and the retrieval response.
 
-Questions are worked on in blocks of bounded size; each block is broadcast (as
-a numpy matrix) for one scan of the corpus. Each corpus partition scores its rows against all
+Questions are worked on in blocks of bounded size; as many blocks as ``SCAN_BYTES``
+hold are broadcast together (as a numpy matrix) for one scan of the corpus. Each corpus partition scores its rows against all
 questions with matrix products inside ``mapInArrow`` and emits only its
 local candidates, so what crosses the shuffle is at most
 ``partitions x questions x k`` rows, whatever the corpus size. The exact
@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
 
-QUESTIONS_PER_SCAN = 4096     # broadcast bound: questions x dims x 8 bytes
+QUESTIONS_PER_SCAN = 4096     # questions of a block
+SCAN_BYTES = 4 << 20          # broadcast bound of a scan: questions x dims x 8 bytes
 QUESTION_BLOCK = 256          # questions scored together against one Arrow batch
 SCORE_DIGITS = 6
 _MARGIN = 10.0 ** -SCORE_DIGITS   # keep near-ties so rounding cannot change the winners
@@ -100,9 +101,10 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
 
     Score is cosine similarity in double precision, rounded to 6 places;
     ties are broken by the smaller ``vec_id``. Any number of questions: they are
-    dealt by hash into blocks of about ``per_scan``, one scan of the corpus each. With
-    several blocks each one's hits are written to the shared scratch folder before the
-    next one starts, so the driver holds the vectors of one block only.
+    dealt by hash into blocks of about ``per_scan``. A scan of the corpus answers one
+    block, or as many as hold ``SCAN_BYTES`` of vectors, so the number of scans does not
+    grow with smaller blocks. With several scans the hits of each are written to the shared
+    scratch folder before the next one starts, so the driver holds the vectors of one scan only.
     Vectors that are null, hold a null, NaN or infinite component or have another length than most of the
     corpus (of equally common ones the smallest) are left out, in questions as in
     the corpus; ``unusable_vectors`` lists them.
@@ -116,11 +118,13 @@ def top_k(corpus: DataFrame, id_col: str, vec_col: str, questions: DataFrame, q_
     corpus = corpus.filter(usable(vec_col, first[0]))
     blocks = max(1, -(-questions.count() // per_scan))
     block = F.pmod(F.xxhash64(q_id_col), F.lit(blocks))
-    if blocks == 1:
+    together = max(1, SCAN_BYTES // (8 * max(1, first[0]) * per_scan))
+    if blocks <= together:
         return _top_k_block(corpus, id_col, vec_col, questions, q_id_col, q_vec_col, k)
     path = scratch_path(spark, "retrieval-hits")
-    for b in range(blocks):
-        _top_k_block(corpus, id_col, vec_col, questions.filter(block == b), q_id_col, q_vec_col, k).write.mode("append").parquet(path)
+    for b in range(0, blocks, together):
+        some = questions.filter((block >= b) & (block < b + together))
+        _top_k_block(corpus, id_col, vec_col, some, q_id_col, q_vec_col, k).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
