@@ -146,3 +146,12 @@ def test_late_records_are_dropped_and_state_is_bounded(spark):
     assert held[-1] == 1
     with pytest.raises(ValueError):
         interval_ms("soon")
+
+
+def test_landed_changes_are_compressed_files_of_bounded_size(spark, sf, monkeypatch):
+    monkeypatch.setattr(cs, "RECORDS_PER_FILE", 100)
+    landing = _landed(spark, sf, scratch_path(spark, "compressed"))
+    lines = spark.read.text(landing)
+    per_file = lines.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert len(per_file) > 5 and all(r.file.endswith(".json.gz") and r["count"] <= 100 for r in per_file)
+    assert cs.typed_records(lines).filter("malformed IS NULL").count() == sum(r["count"] for r in per_file)

@@ -47,9 +47,13 @@ ACTIVITY_DATA = T.StructType([
 ])
 
 
+RECORDS_PER_FILE = 250_000      # a compressed file is read by one task
+
+
 def write_change_files(changes: DataFrame, landing: str) -> None:
-    """Land change records as JSON files (what a capture task delivers)."""
-    changes.write.mode("append").options(**JSON_TS_OPTIONS).json(landing)
+    """Land change records as compressed JSON files (what a capture task delivers)."""
+    (changes.write.mode("append").options(**JSON_TS_OPTIONS).option("compression", "gzip")
+     .option("maxRecordsPerFile", RECORDS_PER_FILE).json(landing))
 
 
 MALFORMED = "malformed"
