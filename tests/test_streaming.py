@@ -155,3 +155,12 @@ def test_landed_changes_are_compressed_files_of_bounded_size(spark, sf, monkeypa
     per_file = lines.groupBy(F.input_file_name().alias("file")).count().collect()
     assert len(per_file) > 5 and all(r.file.endswith(".json.gz") and r["count"] <= 100 for r in per_file)
     assert cs.typed_records(lines).filter("malformed IS NULL").count() == sum(r["count"] for r in per_file)
+
+
+def test_late_records_land_in_files_for_several_tasks(spark, sf, monkeypatch, tmp_path):
+    from tidemark.checks import streams
+    monkeypatch.setattr(streams, "scratch_path", lambda *_: str(tmp_path))
+    assert streams.stream_late_records(spark, sf).count() > 0
+    landed = spark.read.parquet(f"{tmp_path}/landing")
+    assert landed.count() == table(spark, sf, "events").count()
+    assert len(landed.inputFiles()) == 6 * spark.sparkContext.defaultParallelism

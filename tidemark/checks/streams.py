@@ -151,9 +151,11 @@ def stream_late_records(spark, sf):
     """Events arrive in an order of their own, in six batches: the table is that of the order of their times."""
     root, target = scratch_path(spark, "late"), scratch_table("late_events")
     ev = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("at"))
+    files = spark.sparkContext.defaultParallelism           # of a batch, so that several tasks write and read it
     for i in range(6):
-        ev.filter(F.pmod(F.xxhash64("event_id"), F.lit(6)) == i).coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+        drop = ev.filter(F.pmod(F.xxhash64("event_id"), F.lit(6)) == i)
+        drop.repartition(files).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/landing")
 
     def put(batch, _):
         upsert_table(batch.sparkSession, target, batch, ["user_id"], 4, location=f"{root}/table")

@@ -42,13 +42,15 @@ def newest_per_key(stream: DataFrame, keys: list[str], time_col: str, delay: str
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(frames))
-        top = int(rows["_tm_us"].max())
+        frames = list(frames)
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames)
+        times = rows["_tm_us"].to_numpy()       # as numpy: this runs once a key and batch
+        top = int(times.max())
         if state.exists and top < state.get[0]:
             return
         state.update((top,))
         state.setTimeoutTimestamp(max(top // 1000 + span, state.getCurrentWatermarkMs() + 1))
-        yield rows.loc[rows["_tm_us"] == top, columns]
+        yield rows.iloc[(times == top).nonzero()[0]][columns]
 
     timed = stream.filter(F.col(time_col).isNotNull()).withColumn("_tm_us", F.unix_micros(time_col))
     newest = timed.withWatermark(time_col, delay).groupBy(*keys).applyInPandasWithState(
